@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessagraph.llm import text_queries
+from tessagraph.llm import budget_queries, text_queries
 
-QUERIES = {**text_queries.QUERIES}
-SQL = {**text_queries.SQL}
+QUERIES = {**text_queries.QUERIES, **budget_queries.QUERIES}
+SQL = {**text_queries.SQL, **budget_queries.SQL}
