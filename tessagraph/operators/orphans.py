@@ -15,6 +15,8 @@ from pyspark.sql import Window
 from tessagraph.session import checkpoint, split_join
 
 KEY = ["ref_label", "ref_id"]
+#: Stands for the period of references without a time.
+UNDATED = "0001-01-01"
 
 
 def trimmed(c: Column) -> Column:
@@ -84,21 +86,22 @@ def orphan_references(refs: DataFrame, loads: DataFrame, removals: DataFrame, he
         .join(history, KEY, "left")
         .filter(F.col("first_load").isNull() | (F.col("t_min") < F.col("first_load")) | (F.col("first_removal") <= F.col("t_max")))
         .withColumn("heavy", F.col("n") >= heavy_rows)
-        .withColumn("period_key", F.coalesce(F.col("period").cast("string"), F.lit("")))
+        .withColumn("period", F.coalesce("period", F.lit(UNDATED).cast("date")))
     )
-    on = [*KEY, "period_key"]
-    refs = refs.withColumn("period_key", F.coalesce(F.col("period").cast("string"), F.lit("")))
+    on = [*KEY, "period"]
+    refs = refs.withColumn("period", F.coalesce("period", F.lit(UNDATED).cast("date")))
     # A null label equals no label: such references are missing without a join.
     unlabelled = refs.filter(F.col("ref_label").isNull()).withColumn("reason", F.lit("missing"))
     hit = split_join(refs, suspects.select(*on, "first_load", "first_removal", "heavy"), on, "heavy")
     gone = removal_intervals(loads, removals)
     gone = suspects.filter(F.col("first_removal") <= F.col("t_max")).join(gone, KEY).filter((F.col("gone_from") <= F.col("t_max")) & (F.col("gone_to").isNull() | (F.col("gone_to") > F.col("t_min")))).select(*on, "gone_from", "gone_to")
-    early = hit.filter(F.col("first_load").isNull() | (F.col("t") < F.col("first_load"))).withColumn("reason", F.when(F.col("first_load").isNull(), "missing").otherwise("late"))
-    rest = hit.filter((F.col("t") >= F.col("first_load")) & (F.col("t") >= F.col("first_removal")))
-    r, g = rest.alias("r"), gone.alias("g")
-    deleted = r.join(g, [F.col(f"r.{c}") == F.col(f"g.{c}") for c in on] + [F.col("t") >= F.col("gone_from"), F.col("gone_to").isNull() | (F.col("t") < F.col("gone_to"))], "left_semi").withColumn("reason", F.lit("deleted"))
+    # The intervals of a key are disjoint, so that at most one of them meets a reference.
+    r, g = hit.alias("r"), gone.alias("g")
+    judged = r.join(g, [F.col(f"r.{c}") == F.col(f"g.{c}") for c in on] + [F.col("t") >= F.col("gone_from"), F.col("gone_to").isNull() | (F.col("t") < F.col("gone_to"))], "left").select("r.*", "gone_from")
+    judged = judged.withColumn("reason", F.when(F.col("first_load").isNull(), "missing").when(F.col("t") < F.col("first_load"), "late").when(F.col("gone_from").isNotNull(), "deleted"))
     cols = ["edge_id", "endpoint", "ref_label", "period", "reason"]
-    return early.select(cols).unionByName(deleted.select(cols)).unionByName(unlabelled.select(cols)).distinct()
+    out = judged.filter(F.col("reason").isNotNull()).select(cols).unionByName(unlabelled.select(cols)).distinct()
+    return out.withColumn("period", F.nullif(F.col("period"), F.lit(UNDATED).cast("date")))
 
 
 def orphan_counts(orphans: DataFrame) -> DataFrame:
