@@ -101,7 +101,7 @@ c AS (SELECT doc_id, sum(least(20, coalesce(i - before, 20))) AS covered FROM la
 """
 SQL = {
     "p1_found": _RECORDS + "SELECT first_id AS first_pair_id, pair_id AS copy_pair_id FROM firsts WHERE pair_id <> first_id",
-    "p1_records": _RECORDS + "SELECT pair_id, query, gremlin, CAST(n AS INT) AS copies FROM firsts WHERE pair_id = first_id",
+    "p1_records": _RECORDS + "SELECT pair_id, query, gremlin, CAST(n AS BIGINT) AS copies FROM firsts WHERE pair_id = first_id",
     "p4_found": f"SELECT doc_id FROM documents WHERE regexp_matches(text, {_RUN})",
     "p9_found": _SHARE + "SELECT c.doc_id FROM c JOIN d USING (doc_id) WHERE covered >= 0.3 * length(s)",
 }
