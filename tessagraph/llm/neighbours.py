@@ -5,11 +5,13 @@ Searches run for many queries at once on arrays; all sizes below are parameters
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessagraph.session import checkpoint, split_join
@@ -22,13 +24,13 @@ class GraphRule:
     shard_rows: vectors of one graph at most, about. block_rows: queries of one task, about."""
 
     degree: int = 24
-    beam: int = 64
+    beam: int = 48
     build_beam: int = 48
     relax: float = 1.3
     width: int = 4
-    batch: int = 512
-    shard_rows: int = 16_384
-    block_rows: int = 16_384
+    batch: int = 128
+    shard_rows: int = 24_576
+    block_rows: int = 24_576
 
 
 def beam_search(points: np.ndarray, edges: np.ndarray, queries: np.ndarray, starts: np.ndarray, beam: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -183,17 +185,25 @@ def build_graph(points: np.ndarray, rule: GraphRule, seed: int = 7) -> tuple[np.
     return edges, starts
 
 
-def usable(vec: Column, dim: int) -> Column:
-    """Whether a vector has `dim` finite numbers, not all zero."""
-    return F.coalesce((F.size(vec) == dim) & ~F.exists(vec, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(vec, lambda x: x != 0), F.lit(False))
+def unit_vectors(df: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFrame:
+    """(id, unit): the usable vectors at length 1, to nine digits, so that vectors of one direction are equal.
 
+    Usable are vectors of `dim` finite numbers that are not all zero; very large and small numbers do no harm.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            vec = b.column("vec")
+            b = b.filter(pc.and_(pc.is_valid(vec), pc.fill_null(pc.equal(pc.list_value_length(vec), dim), False)))
+            x = b.column("vec").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)  # nulls turn into NaN
+            good = np.isfinite(x).all(1) & (x != 0).any(1)
+            x = x[good]
+            x = x / np.abs(x).max(1, initial=0, keepdims=True)
+            x = np.round(x / np.sqrt((x * x).sum(1, keepdims=True)), 9) + 0.0
+            yield pa.RecordBatch.from_pydict({"id": b.column("id").filter(pa.array(good)), "unit": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), dim).cast(pa.list_(pa.float64()))})
 
-def unit(vec: Column) -> Column:
-    """The vector at length 1, to nine digits, so that vectors of one direction are equal; safe for very large and small numbers."""
-    top = F.array_max(F.transform(vec, lambda x: F.abs(x)))
-    scaled = F.transform(vec, lambda x: x.cast("double") / top)
-    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.transform(scaled, lambda x: F.round(x / length, 9) + F.lit(0.0))
+    src = df.select(df[id_col].alias("id"), df[vec_col].alias("vec"))
+    return src.mapInArrow(run, f"id {dict(src.dtypes)['id']}, unit array<double>")
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -256,7 +266,7 @@ def nearest_vectors(df: DataFrame, id_col: str, vec_col: str, k: int = 10, dim:
     exact to nine digits. Vectors that are null, of another length, all zero, or hold a null, NaN or infinity take no
     part. Ids are unique numbers or strings. An empty table gives an empty result.
     """
-    src = df.filter(usable(df[vec_col], dim)).select(df[id_col].alias("id"), unit(df[vec_col]).alias("unit"))
+    src = unit_vectors(df, id_col, vec_col, dim)
     keyed = checkpoint(src.withColumns({"h1": F.xxhash64("unit"), "h2": F.xxhash64(F.lit(5), "unit")}))
     groups = keyed.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("m"))
     many = checkpoint(groups.filter("m > 1").withColumn("heavy", F.col("m") > 100_000))
