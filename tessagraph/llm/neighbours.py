@@ -51,6 +51,8 @@ def beam_search(points: np.ndarray, edges: np.ndarray, queries: np.ndarray, star
     seen[:, starts[:k]] = 1
     live, row = np.arange(q), np.arange(q)[:, None]
     stamp = np.arange(1, width * edges.shape[1] + 1, dtype=np.uint8)[None, :]
+    # Written anew in each step: fresh arrays of this size cost more than the arithmetic.
+    left, right = (np.empty((q * width * edges.shape[1], points.shape[1]), np.float32) for _ in range(2))
     while len(live):
         rank = np.where(done, beam, np.arange(beam)[None, :])
         pick = np.partition(rank, width - 1, axis=1)[:, :width] if width < beam else rank
@@ -75,7 +77,10 @@ def beam_search(points: np.ndarray, edges: np.ndarray, queries: np.ndarray, star
         fresh[r, c] = seen[r, near[r, c]] == stamp[0, c]  # one of equal neighbours stays
         r, c = np.nonzero(fresh)
         new = np.full(near.shape, -np.inf, np.float32)
-        new[r, c] = np.einsum("ij,ij->i", points[near[r, c]], queries[r])
+        m = len(r)
+        np.take(points, near[r, c], axis=0, out=left[:m], mode="clip")
+        np.take(queries, r, axis=0, out=right[:m], mode="clip")
+        new[r, c] = np.einsum("ij,ij->i", left[:m], right[:m])
         all_sim = np.concatenate([sims, new], 1)
         best = np.argpartition(-all_sim, beam - 1, axis=1)[:, :beam]
         best = np.take_along_axis(best, np.argsort(-np.take_along_axis(all_sim, best, 1), axis=1), 1)
