@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
+from tessagraph.functions.expr import let
+
 #: Words that carry little meaning (fixed values; common English and Chinese function words).
 STOP_WORDS = {
     "english": "a an and are as at be been but by can could did do does for from had has have he her his how i if in into is it its may more most my no not of on or our she should so such than that the their them then there these they this those to was we were what when where which who why will with would you your".split(),
@@ -125,16 +127,17 @@ def bleu(reference: Column, candidate: Column, n: int = 4) -> Column:
     Counts run over the reference's n-grams, so that a short query costs little against a long text.
     """
     times = lambda xs, y: F.size(F.filter(xs, lambda x: x == y))
-    total = F.lit(0.0)
-    none = F.lit(False)
-    for k in range(1, n + 1):
-        r, c = ngrams(reference, k), ngrams(candidate, k)
-        hits = F.aggregate(F.array_distinct(r), F.lit(0), lambda acc, g: acc + F.least(times(r, g), times(c, g)))
-        none = none | (hits == 0)
-        total = total + F.ln(F.greatest(hits, F.lit(1)) / F.greatest(F.size(c), F.lit(1)))
+
+    def order(k: int) -> Column:
+        """Clipped precision of k-grams; null without an overlap."""
+        both = F.struct(ngrams(reference, k).alias("r"), ngrams(candidate, k).alias("c"))
+        hits = lambda z: F.aggregate(F.array_distinct(z.r), F.lit(0), lambda acc, g: acc + F.least(times(z.r, g), times(z.c, g)))
+        return let(both, lambda z: F.try_divide(F.nullif(hits(z), F.lit(0)).cast("double"), F.size(z.c)))
+
+    total = sum((F.ln(order(k)) for k in range(2, n + 1)), F.ln(order(1)))
     short = F.size(candidate) <= F.size(reference)
     penalty = F.when(short, F.exp(1 - F.size(reference) / F.greatest(F.size(candidate), F.lit(1)))).otherwise(1.0)
-    return F.when(none | (F.size(candidate) <= 0), 0.0).otherwise(penalty * F.exp(total / n))
+    return F.coalesce(penalty * F.exp(total / n), F.lit(0.0))
 
 
 def fenced_code(response: Column, label: str = "gremlin") -> Column:

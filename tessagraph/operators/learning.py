@@ -173,7 +173,7 @@ def drop_edges(edges: DataFrame, share: float, order: Column) -> DataFrame:
 
 def mask_features(df: DataFrame, feat_col: str, dims: int, share: float, seed: int = 7) -> DataFrame:
     """`df` with the same features zeroed in all rows: those whose hash is below `share`."""
-    keep = [float((i * 7919 + seed) % 1_000_003 / 1_000_003 >= share) for i in range(dims)]
+    keep = [float(((i * 7919 + seed) % 1_000_003 * 104_729 + seed) % 1_000_003 / 1_000_003 >= share) for i in range(dims)]
     return df.withColumn(feat_col, F.zip_with(feat_col, F.array(*[F.lit(k) for k in keep]), lambda x, k: x * k))
 
 
@@ -198,6 +198,6 @@ def replace_missing(df: DataFrame, cols: Sequence[str], train: Column) -> DataFr
 
 def target_encode(df: DataFrame, cat_col: str, y: str, train: Column) -> DataFrame:
     """`df` with `<cat>_enc`: the training mean of y per category; the overall mean for unseen ones."""
-    m = df.filter(train).groupBy(cat_col).agg(F.avg(y).alias(f"{cat_col}_enc"))
+    m = df.filter(train).groupBy(F.col(cat_col).alias("_c")).agg(F.avg(y).alias(f"{cat_col}_enc"))
     overall = df.filter(train).agg(F.avg(y).alias("_all"))
-    return df.join(m, df[cat_col].eqNullSafe(m[cat_col]), "left").drop(m[cat_col]).crossJoin(F.broadcast(overall)).withColumn(f"{cat_col}_enc", F.coalesce(f"{cat_col}_enc", "_all")).drop("_all")
+    return df.join(m, F.col(cat_col).eqNullSafe(F.col("_c")), "left").drop("_c").crossJoin(F.broadcast(overall)).withColumn(f"{cat_col}_enc", F.coalesce(f"{cat_col}_enc", "_all")).drop("_all")

@@ -163,7 +163,7 @@ def soft_pool(x: DataFrame, assign: DataFrame, edges: DataFrame) -> tuple[DataFr
 
 def entropy_loss(assign: DataFrame) -> DataFrame:
     """(loss): mean entropy of the assignments per node."""
-    e = assign.groupBy("node").agg(-F.sum(F.when(F.col("s") > 0, F.col("s") * F.ln("s")).otherwise(0.0)).alias("e"))
+    e = assign.groupBy("node").agg((-F.sum(F.when(F.col("s") > 0, F.col("s") * F.ln("s")).otherwise(0.0))).alias("e"))
     return e.agg(F.avg("e").alias("loss"))
 
 
