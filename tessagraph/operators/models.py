@@ -63,7 +63,7 @@ def weighted_detector(features: DataFrame, labels: DataFrame, train: Column, rou
 def link_scores(embeddings: DataFrame, pairs: DataFrame) -> DataFrame:
     """pairs (a, b, ...) with `score`: the product of their embeddings (node, feat)."""
     a, b = embeddings.select(F.col("node").alias("a"), F.col("feat").alias("fa")), embeddings.select(F.col("node").alias("b"), F.col("feat").alias("fb"))
-    s = F.aggregate(F.zip_with("fa", "fb", lambda x, y: x * y), F.lit(0.0), lambda p, q: p + q)
+    s = F.aggregate(F.zip_with("fa", "fb", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda p, q: p + q)
     return pairs.join(a, "a").join(b, "b").withColumn("score", s).drop("fa", "fb")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -116,7 +117,7 @@ def with_cells(df: DataFrame, vec_col: str, centres: np.ndarray, probes: int) ->
     def near(v):
         x = np.array(v.tolist(), np.float64)
         d = (x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1)[None, :]
-        return __import__("pandas").Series(list(np.argsort(d, axis=1)[:, :probes]))
+        return pd.Series(list(np.argsort(d, axis=1)[:, :probes]))
 
     return df.withColumn("cells", near(F.col(vec_col)))
 
