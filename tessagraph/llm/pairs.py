@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,25 +38,35 @@ def pair_defects(df: DataFrame, question: str, answer: str) -> DataFrame:
     a = F.coalesce(F.col(answer), F.lit(""))
     body = F.regexp_replace(F.regexp_replace(a, r"(?i)```+[ \t]*(gremlin|groovy|sql|cypher|sparql|json|text|java|python|plaintext)?", "\n"), r"[‘’‛′＇`]", "'")
     body = F.regexp_replace(F.regexp_replace(body, r"[“”„″＂]", '"'), r"(?U)^\s+|\s+$", "")
-    code = F.regexp_replace(body, r"(?U)^(?:(?:\s*(?://|#|--)[^\n]*\n)+)\s*(?=(?i:g\s*\.))", "")
-    code = F.regexp_replace(code, r"(?U)^(?i:gremlin)\s*>\s*|^[\"']\s*(?=(?i:g\s*\.\s*[VE]\s*\())", "")
-    traversal = code.rlike(r"(?U)^(?i:g)\s*(?:\.|…|$)(?!\s*\w+\s*=)") & code.rlike(r"(?U)^(?i:g)\s*(?:\.\s*(?i:V|E|addV|addE|inject|with|tx|io|mergeV|mergeE|$|…|\.)|…|$)")
-    bare = _bare(body)
-    empty = (bare == "") | bare.isin(PLACEHOLDERS)
-    open_ = F.regexp_replace(code, r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'", "S")
-    opens, closes = F.length(F.regexp_replace(open_, r"[^(\[{]", "")), F.length(F.regexp_replace(open_, r"[^)\]}]", ""))
-    broken = (opens > closes) | open_.rlike(r"[\"']") | open_.rlike(r"(?U)(?:[.,(…+=&|]|\.\.\.|…)\s*;?\s*$") | open_.rlike(r"(?U)\.\s*\w+\s*;?\s*$") | (F.length(F.regexp_replace(open_, r"(?U)\s", "")) <= 2)
     q = _bare(F.col(question))
-    left = F.replace(bare, q, F.lit(""))
-    copy = F.coalesce((q != "") & bare.contains(q) & ((left == "") | left.rlike(r"^(the|your|user|original|my|that|is|was|question|query|prompt|input|asked|you|q|问题|提问|问|题目|原问题|用户|您的|你的|是|answer|回答|答案)*$")), F.lit(False))
-    said = F.lower(F.regexp_replace(body, r"(?U)^[\s#/*\-\"'>(\[]+", ""))
-    refusal = said.rlike("^(?:" + "|".join(REFUSALS) + ")")
-    rules = {
-        "empty": empty,
-        "truncated": ~empty & traversal & broken,
-        "refusal": ~empty & ~traversal & refusal,
-        "copy": ~empty & ~traversal & copy,
-    }
-    other = ~empty & ~traversal & ~refusal & ~copy
-    found = [F.when(c, F.lit(k)) for k, c in [*rules.items(), ("other_language", other)]]
-    return df.withColumn("defects", F.filter(F.array(*found), lambda x: x.isNotNull()))
+    found = _let(F.struct(body.alias("body"), q.alias("q")), lambda x: _let(F.struct(x.body.alias("body"), x.q.alias("q"), _code(x.body).alias("code"), _bare(x.body).alias("bare")), lambda y: _let(_shape(y), _rules)))
+    return df.withColumn("defects", found)
+
+
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with the value computed once, however often f names it."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _code(body: Column) -> Column:
+    """The answer without comments before a traversal, a prompt sign, or a quote around it."""
+    code = F.regexp_replace(body, r"(?U)^(?:(?:\s*(?://|#|--)[^\n]*\n)+)\s*(?=(?i:g\s*\.))", "")
+    return F.regexp_replace(code, r"(?U)^(?i:gremlin)\s*>\s*|^[\"']\s*(?=(?i:g\s*\.\s*[VE]\s*\())", "")
+
+
+def _shape(y: Column) -> Column:
+    traversal = y.code.rlike(r"(?U)^(?i:g)\s*(?:\.|…|$)(?!\s*\w+\s*=)") & y.code.rlike(r"(?U)^(?i:g)\s*(?:\.\s*(?i:V|E|addV|addE|inject|with|tx|io|mergeV|mergeE|$|…|\.)|…|$)")
+    bare = F.regexp_replace(y.code, r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'", "S")
+    return F.struct(((y.bare == "") | y.bare.isin(PLACEHOLDERS)).alias("empty"), traversal.alias("traversal"), bare.alias("open"), y.body.alias("body"), y.bare.alias("bare"), y.q.alias("q"))
+
+
+def _rules(z: Column) -> Column:
+    opens, closes = F.length(F.regexp_replace(z.open, r"[^(\[{]", "")), F.length(F.regexp_replace(z.open, r"[^)\]}]", ""))
+    broken = (opens > closes) | z.open.rlike(r"[\"']") | z.open.rlike(r"(?U)(?:[.,(…+=&|]|\.\.\.|…)\s*;?\s*$") | z.open.rlike(r"(?U)\.\s*\w+\s*;?\s*$") | (F.length(F.regexp_replace(z.open, r"(?U)\s", "")) <= 2)
+    left = F.replace(z.bare, z.q, F.lit(""))
+    copy = F.coalesce((z.q != "") & z.bare.contains(z.q) & ((left == "") | left.rlike(r"^(the|your|user|original|my|that|is|was|question|query|prompt|input|asked|you|q|问题|提问|问|题目|原问题|用户|您的|你的|是|answer|回答|答案)*$")), F.lit(False))
+    refusal = F.lower(F.regexp_replace(z.body, r"(?U)^[\s#/*\-\"'>(\[]+", "")).rlike("^(?:" + "|".join(REFUSALS) + ")")
+    text = F.filter(F.array(F.when(refusal, "refusal"), F.when(copy, "copy")), lambda x: x.isNotNull())
+    text = _let(text, lambda t: F.when(F.size(t) > 0, t).otherwise(F.array(F.lit("other_language"))))
+    none = F.array().cast("array<string>")
+    return F.when(z.empty, F.array(F.lit("empty"))).when(z.traversal, F.when(broken, F.array(F.lit("truncated"))).otherwise(none)).otherwise(text)
