@@ -211,7 +211,7 @@ def pack(items: DataFrame, packs: DataFrame) -> tuple[DataFrame, DataFrame]:
     if split:  # only sizes with more than one group have offsets other than 0
         many = F.broadcast(spark.createDataFrame(sorted(split), "pack int, size bigint"))
         offsets = pieces.join(many, ["pack", "size"], "left_semi").groupBy(*group).agg(F.count("*").alias("n")).withColumn("offset", F.sum("n").over(Window.partitionBy("pack", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))).drop("n")
-        ranked = ranked.join(F.broadcast(offsets), group, "left").withColumn("rank", F.col("rank") + F.coalesce("offset", F.lit(0)))
+        ranked = ranked.join(offsets, group, "left").withColumn("rank", F.col("rank") + F.coalesce("offset", F.lit(0)))
     order = sorted(range(len(keys)), key=keys.__getitem__)
     width = max((c for _, c in given), default=0) + 1
     table = spark.sparkContext.broadcast((np.array([keys[i][0] * width + keys[i][1] for i in order], np.int64), np.array([starts[i] for i in order], np.int64), np.array([base[i] for i in order], np.int64), np.array([each[i] for i in order], np.int64), total))
