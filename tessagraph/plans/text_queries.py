@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessagraph.functions import text as X
-from tessagraph.session import table
+from tessagraph.session import spread, table
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents").select("doc_id", "text", "lang"))
 
 
 def txt_sentences(spark: SparkSession, d: str) -> DataFrame:

@@ -38,6 +38,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A file scan with fewer partitions than the session has cores, dealt out to all of them; any other as it is.
+
+    For work on rows that costs far more than moving them; a large table has more partitions anyway.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 #: Rows of a side that may be broadcast after its count was checked; beyond it, joins shuffle.
 BROADCAST_ROWS = 200_000
 
