@@ -57,7 +57,7 @@ def bigrams(text: Column) -> Column:
 def cooccurrence(df: DataFrame, id_col: str, tokens_col: str, window: int = 3) -> DataFrame:
     """(id, a, b, n): unordered pairs of different words at most `window` apart (1..10, else 3), with their number."""
     window = window if 1 <= window <= 10 else 3
-    pairs = F.flatten(F.transform(tokens_col, lambda x, i: F.transform(F.slice(tokens_col, i + 2, window), lambda y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")))))
+    pairs = let(F.col(tokens_col), lambda t: F.flatten(F.transform(t, lambda x, i: F.transform(F.slice(t, i + 2, window), lambda y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))))))
     return df.select(F.col(id_col).alias("id"), F.inline(pairs)).filter("a <> b").groupBy("id", "a", "b").agg(F.count("*").alias("n"))
 
 
