@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from tessagraph.graph import PropertyGraph, union_all
 from tessagraph.session import checkpoint
 
+#: Neighbours of one node that are paired in one task.
+CHUNK = 1000
+
 
 def seeds(steps: DataFrame, ids: Sequence[str]) -> DataFrame:
     return steps.sparkSession.createDataFrame([(i,) for i in ids], "source string")
@@ -61,15 +64,20 @@ def jaccard_similarity(steps: DataFrame, pairs: DataFrame) -> DataFrame:
     return x.select("a", "b", F.coalesce(F.try_divide(F.col("common").cast("double"), F.col("da") + F.col("db") - F.col("common")), F.lit(0.0)).alias("jaccard"))
 
 
-def jaccard_all(steps: DataFrame, max_degree: int) -> DataFrame:
-    """(a, b, common, jaccard) a < b: all pairs with a common neighbour that has at most max_degree neighbours.
+def jaccard_all(steps: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """(a, b, common, jaccard) a < b: all pairs with a common neighbour.
 
-    Beyond max_degree a shared neighbour says little and its pairs are quadratic, so that it only counts in the degrees.
+    The pairs of a hub are quadratic: neighbours of a node with more than `chunk` of them are cut into chunks by hash, and each
+    pair of chunks is joined in a group of its own. None is lost.
     """
-    e = steps.select("src", "dst").distinct()
+    e = checkpoint(steps.select("src", "dst").distinct())
     deg = e.groupBy(F.col("src").alias("n")).agg(F.count("*").alias("deg"))
-    mid = e.join(deg.filter(F.col("deg") <= max_degree).select(F.col("n").alias("src")), "src", "left_semi")
-    pairs = mid.select("src", F.col("dst").alias("a")).join(mid.select("src", F.col("dst").alias("b")), "src").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("common"))
+    posts = e.join(deg.select(F.col("n").alias("src"), F.ceil(F.col("deg") / chunk).cast("int").alias("chunks")), "src")
+    posts = posts.withColumn("own", F.pmod(F.xxhash64("dst"), F.col("chunks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    left = posts.select("src", F.col("own").alias("i"), other.alias("j"), F.col("dst").alias("a"))
+    right = posts.select("src", F.col("own").alias("j"), other.alias("i"), F.col("dst").alias("b"))
+    pairs = left.join(right, ["src", "i", "j"]).filter("a < b").groupBy("a", "b").agg(F.count("*").alias("common"))
     x = pairs.join(deg.withColumnsRenamed({"n": "a", "deg": "da"}), "a").join(deg.withColumnsRenamed({"n": "b", "deg": "db"}), "b")
     return x.select("a", "b", "common", (F.col("common") / (F.col("da") + F.col("db") - F.col("common"))).alias("jaccard"))
 

@@ -87,7 +87,7 @@ def same_neighbors(spark: SparkSession, d: str) -> DataFrame:
 def jaccard_top(spark: SparkSession, d: str) -> DataFrame:
     """The ten most similar persons by shared software, for every pair with a common one."""
     g = graph_of_tables(spark, d).restrict(["created"])
-    x = T.jaccard_all(g.undirected, 1000).filter("a like '1:%'")
+    x = T.jaccard_all(g.undirected).filter("a like '1:%'")
     return x.withColumn("jaccard", F.round("jaccard", 6)).orderBy(F.desc("jaccard"), F.desc("common"), "a", "b").limit(10)
 
 
