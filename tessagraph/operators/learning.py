@@ -70,8 +70,8 @@ def negative_edges(positive: DataFrame, nodes: int, per_edge: int = 1, seed: int
     return drawn.join(positive.select("src", "dst"), ["src", "dst"], "left_anti")
 
 
-def path_lengths(steps: DataFrame, sources: DataFrame, cutoff: int) -> DataFrame:
-    """(source, node, depth): least numbers of steps up to the cutoff, the source itself at 0."""
+def path_lengths(steps: DataFrame, sources: DataFrame, cutoff: int | None = None) -> DataFrame:
+    """(source, node, depth): least numbers of steps up to the cutoff, or all, the source itself at 0."""
     return union_all(levels(steps, sources, cutoff))
 
 

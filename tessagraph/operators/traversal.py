@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,12 +25,14 @@ def seeds(steps: DataFrame, ids: Sequence[str]) -> DataFrame:
     return steps.sparkSession.createDataFrame([(i,) for i in ids], "source string")
 
 
-def levels(steps: DataFrame, sources: DataFrame, max_depth: int) -> list[DataFrame]:
-    """(source, node, depth) for depths 0..max_depth, each node at its least distance."""
+def levels(steps: DataFrame, sources: DataFrame, max_depth: int | None) -> list[DataFrame]:
+    """(source, node, depth) for depths 0..max_depth, each node at its least distance; None: until no node is new."""
     steps = steps.select("src", "dst").distinct()
+    if max_depth is None:
+        steps = checkpoint(steps)
     seen = checkpoint(sources.select("source", F.col("source").alias("node"), F.lit(0).alias("depth")).distinct())
     out = [seen]
-    for depth in range(1, max_depth + 1):
+    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
         near = out[-1].join(steps, F.col("node") == F.col("src")).select("source", F.col("dst").alias("node")).distinct()
         near = checkpoint(near.join(seen, ["source", "node"], "left_anti").withColumn("depth", F.lit(depth)))
         out.append(near)

@@ -92,7 +92,7 @@ def gml_negative_edges(spark, d):
 def gml_closeness(spark, d):
     g = _social(spark, d, ("reports_to",))
     start = g.vertices.filter("label = 'department'").select(F.col("id").alias("source"))
-    return L.closeness(L.path_lengths(g.undirected, start, 2)).withColumn("closeness", F.round("closeness", 6))
+    return L.closeness(L.path_lengths(g.undirected, start)).withColumn("closeness", F.round("closeness", 6))
 
 
 def gml_nearest_anchors(spark, d):
@@ -100,7 +100,7 @@ def gml_nearest_anchors(spark, d):
     start = g.vertices.filter("label = 'department'").select(F.col("id").alias("source"))
     nodes = L.dense_index(start.withColumnRenamed("source", "id"), "id")
     sets = L.anchor_sets(nodes, nodes.count()).join(nodes, "idx").select("set", F.col("id").alias("idx"))
-    return L.nearest_anchors(L.closeness(L.path_lengths(g.undirected, start, 2)), sets).withColumn("closeness", F.round("closeness", 6))
+    return L.nearest_anchors(L.closeness(L.path_lengths(g.undirected, start)), sets).withColumn("closeness", F.round("closeness", 6))
 
 
 

@@ -4,7 +4,30 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
+from tessagraph.graph import graph_of_tables
+from tessagraph.operators import learning as L
 from tessagraph.operators import traversal as T
+from tessagraph.plans import learning_queries
+
+DATA = "/root/testdata/sf0.001"
+
+
+def distances(near, start):
+    """Least numbers of steps from start to all nodes that it reaches."""
+    d, front = {start: 0}, [start]
+    for x in front:
+        for y in near.get(x, ()):
+            if y not in d:
+                d[y] = d[x] + 1
+                front.append(y)
+    return d
+
+
+def neighbours(steps):
+    near = {}
+    for a, b in steps:
+        near.setdefault(a, set()).add(b)
+    return near
 
 
 def test_jaccard_keeps_hubs(spark):
@@ -18,3 +41,29 @@ def test_jaccard_keeps_hubs(spark):
     for chunk in (7, 1000):
         rows = T.jaccard_all(steps, chunk).select("a", "b", "common", F.round("jaccard", 9).alias("j")).collect()
         assert len(rows) == len(want) and {(r.a, r.b): (r.common, r.j) for r in rows} == want
+
+
+def test_closeness_of_far_nodes(spark):
+    g = graph_of_tables(spark, DATA).restrict(["reports_to"])
+    near = neighbours((r.src, r.dst) for r in g.undirected.collect())
+    ids = sorted(r.id for r in g.vertices.filter("label = 'department'").collect())
+    far = {i: distances(near, i) for i in ids}
+    assert max(d for x in far.values() for d in x.values()) > 2
+    got = {(r.source, r.node): r.closeness for r in learning_queries.gml_closeness(spark, DATA).collect()}
+    assert got == {(i, n): round(1 / (d + 1), 6) for i, x in far.items() for n, d in x.items()}
+    m = len(ids).bit_length() - 1
+    u = lambda i, s: ((i + s * 31) * 7919 + 7) % 1_000_003 * 104_729
+    sets = {i * m + j: [x for k, x in enumerate(ids) if (u(k, i * m + j) + 7) % 1_000_003 / 1_000_003 < 1 / 2 ** (i + 1)] for i in range(m) for j in range(m)}
+    want = {}
+    for s, members in sets.items():
+        for a in members:
+            for n, d in far[a].items():
+                want[n, s] = min(want.get((n, s), (d, a)), (d, a))
+    rows = learning_queries.gml_nearest_anchors(spark, DATA).collect()
+    assert {(r.node, r.set): (r.closeness, r.anchor) for r in rows} == {k: (round(1 / (d + 1), 6), a) for k, (d, a) in want.items()}
+
+
+def test_levels_without_limit(spark):
+    steps = spark.createDataFrame([(i, i + 1) for i in range(14)], "src int, dst int")
+    got = {r.node: r.depth for r in L.path_lengths(steps, spark.createDataFrame([(0,)], "source int")).collect()}
+    assert got == {i: i for i in range(15)}
