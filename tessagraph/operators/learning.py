@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,12 +105,12 @@ def enclosing_subgraphs(steps: DataFrame, pairs: DataFrame, hops: int = 1) -> tu
     return nodes, e
 
 
-def _distances(edges: DataFrame, start: DataFrame, blocked: DataFrame, rounds: int) -> DataFrame:
+def _distances(edges: DataFrame, start: DataFrame, blocked: DataFrame) -> DataFrame:
     """(pair, node, d) from start (pair, node) in each pair's edges without its blocked node (pair, gone)."""
     e = checkpoint(edges.join(blocked, "pair").filter((F.col("src") != F.col("gone")) & (F.col("dst") != F.col("gone"))).select("pair", "src", "dst"))
     front = checkpoint(start.withColumn("d", F.lit(0)))
     seen = front
-    for d in range(1, rounds + 1):
+    for d in count(1):
         front = checkpoint(front.withColumnRenamed("node", "src").join(e, ["pair", "src"]).select("pair", F.col("dst").alias("node")).distinct().join(seen, ["pair", "node"], "left_anti").withColumn("d", F.lit(d)))
         if front.isEmpty():
             break
@@ -117,14 +118,14 @@ def _distances(edges: DataFrame, start: DataFrame, blocked: DataFrame, rounds: i
     return seen
 
 
-def drnl_labels(nodes: DataFrame, edges: DataFrame, pairs: DataFrame, rounds: int = 10) -> DataFrame:
+def drnl_labels(nodes: DataFrame, edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """(pair, node, z): 1 + min(x, y) + (d // 2)(d // 2 + d % 2 - 1), d = x + y, of the distances to either end without the other.
 
     The ends are 1, nodes that miss an end are 0.
     """
     a, b = pairs.select("pair", F.col("a").alias("node")), pairs.select("pair", F.col("b").alias("node"))
-    x = _distances(edges, a, b.withColumnRenamed("node", "gone"), rounds).withColumnRenamed("d", "x")
-    y = _distances(edges, b, a.withColumnRenamed("node", "gone"), rounds).withColumnRenamed("d", "y")
+    x = _distances(edges, a, b.withColumnRenamed("node", "gone")).withColumnRenamed("d", "x")
+    y = _distances(edges, b, a.withColumnRenamed("node", "gone")).withColumnRenamed("d", "y")
     n = nodes.join(x, ["pair", "node"], "left").join(y, ["pair", "node"], "left").join(pairs, "pair")
     h = F.floor((F.col("x") + F.col("y")) / 2)
     z = 1 + F.least("x", "y") + h * (h + (F.col("x") + F.col("y")) % 2 - 1)

@@ -115,7 +115,7 @@ def gml_drnl(spark, d):
     g = _social(spark, d)
     p = checkpoint(g.edges.filter("label = 'knows' and src <> dst").select(F.col("id").alias("pair"), F.col("src").alias("a"), F.col("dst").alias("b")))
     n, e = L.enclosing_subgraphs(g.undirected, p)
-    return L.drnl_labels(n, checkpoint(e), p, 4).groupBy("z").agg(F.count("*").alias("nodes"))
+    return L.drnl_labels(n, checkpoint(e), p).groupBy("z").agg(F.count("*").alias("nodes"))
 
 
 def gml_walks(spark, d):

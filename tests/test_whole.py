@@ -67,3 +67,31 @@ def test_levels_without_limit(spark):
     steps = spark.createDataFrame([(i, i + 1) for i in range(14)], "src int, dst int")
     got = {r.node: r.depth for r in L.path_lengths(steps, spark.createDataFrame([(0,)], "source int")).collect()}
     assert got == {i: i for i in range(15)}
+
+
+def test_node_labels_of_far_nodes(spark):
+    ring = [(i, (i + 1) % 26) for i in range(26)]
+    near = neighbours([p for i, j in ring[1:] for p in ((i, j), (j, i))])
+    x = distances({k: v - {1} for k, v in near.items() if k != 1}, 0)
+    y = distances({k: v - {0} for k, v in near.items() if k != 0}, 1)
+    want = {i: 1 if i < 2 else 1 + min(x[i], y[i]) + (x[i] + y[i]) // 2 * ((x[i] + y[i]) // 2 + (x[i] + y[i]) % 2 - 1) for i in range(26)}
+    pairs = spark.createDataFrame([(1, 0, 1)], "pair int, a int, b int")
+    edges = spark.createDataFrame([(1, i, j) for i in near for j in near[i]], "pair int, src int, dst int")
+    nodes = spark.createDataFrame([(1, i) for i in range(26)], "pair int, node int")
+    assert {r.node: r.z for r in L.drnl_labels(nodes, edges, pairs).collect()} == want
+
+
+def test_drnl_query(spark):
+    g = graph_of_tables(spark, DATA).restrict(["knows", "created"])
+    near = neighbours((r.src, r.dst) for r in g.undirected.collect())
+    want = {}
+    for r in g.edges.filter("label = 'knows' and src <> dst").collect():
+        a, b = r.src, r.dst
+        inside = {a, b} | near[a] | near[b]
+        cut = lambda gone: {n: (near[n] & inside) - {gone} for n in inside if n != gone}
+        x, y = distances(cut(b), a), distances(cut(a), b)
+        for n in inside:
+            h = (x.get(n, 0) + y.get(n, 0)) // 2
+            z = 1 if n in (a, b) else 1 + min(x[n], y[n]) + h * (h + (x[n] + y[n]) % 2 - 1) if n in x and n in y else 0
+            want[z] = want.get(z, 0) + 1
+    assert {r.z: r.nodes for r in learning_queries.gml_drnl(spark, DATA).collect()} == want
