@@ -44,7 +44,7 @@ def vec_search_many(spark, d):
 def vec_search_cells(spark, d):
     """The same through an index of cells (approximate)."""
     e = _emb(spark, d)
-    return N.search_cells(e, "vec_id", "embedding", e.filter("vec_id % 50 = 0"), "vec_id", 5, N.fit_cells(e, "embedding", 32), 12)
+    return N.search_cells(e, "vec_id", "embedding", e.filter("vec_id % 50 = 0"), "vec_id", 5, N.fit_cells(e, "embedding", 32), 20)
 
 
 def vec_pairwise(spark, d):

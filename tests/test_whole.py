@@ -95,3 +95,10 @@ def test_drnl_query(spark):
             z = 1 if n in (a, b) else 1 + min(x[n], y[n]) + h * (h + (x[n] + y[n]) % 2 - 1) if n in x and n in y else 0
             want[z] = want.get(z, 0) + 1
     assert {r.z: r.nodes for r in learning_queries.gml_drnl(spark, DATA).collect()} == want
+
+
+def test_cells_recall(spark):
+    d = DATA.replace("0.001", "0.01")
+    pairs = lambda f: {(r.query, r.id) for r in f(spark, d).collect()}
+    exact = pairs(learning_queries.vec_search_many)
+    assert len(pairs(learning_queries.vec_search_cells) & exact) / len(exact) >= 0.9
