@@ -1,7 +1,7 @@
 """Queries on scans, neighbourhoods, paths, cycles and ranks, and the same in SQL.
 
-Start vertices are the smallest source of a label (one value read to the driver); path queries run over the labels knows and
-created, whose graph has no hub.
+Start vertices are the smallest source of a label (one value read to the driver). Neighbourhoods and shortest paths run over all
+labels; queries that list paths run over the labels knows and created, whose graph has no hub.
 """
 
 from __future__ import annotations
@@ -23,6 +23,13 @@ def _graph(spark: SparkSession, sf_dir: str, labels: tuple[str, ...] = SOCIAL) -
     return PropertyGraph(g.vertices, e), e.filter(F.col("label") == labels[0]).agg(F.min("src")).first()[0]
 
 
+def _whole(spark: SparkSession, sf_dir: str) -> tuple[PropertyGraph, str]:
+    """The graph with all labels, and the smallest source of knows."""
+    g = graph_of_tables(spark, sf_dir)
+    e = checkpoint(g.edges)
+    return PropertyGraph(g.vertices, e), e.filter("label = 'knows'").agg(F.min("src")).first()[0]
+
+
 def _text(df: DataFrame) -> DataFrame:
     return df.withColumn("path", F.array_join("path", ">"))
 
@@ -62,12 +69,12 @@ def remove_vertices(spark: SparkSession, d: str) -> DataFrame:
 
 
 def k_out(spark: SparkSession, d: str) -> DataFrame:
-    g, s = _graph(spark, d)
+    g, s = _whole(spark, d)
     return T.k_out(g.undirected, T.seeds(g.edges, [s]), 3)
 
 
 def k_neighbor(spark: SparkSession, d: str) -> DataFrame:
-    g, s = _graph(spark, d)
+    g, s = _whole(spark, d)
     return T.k_neighbor(g.undirected, T.seeds(g.edges, [s]), 4)
 
 
@@ -92,18 +99,18 @@ def jaccard_top(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shortest_paths_from(spark: SparkSession, d: str) -> DataFrame:
-    g, s = _graph(spark, d)
+    g, s = _whole(spark, d)
     return _text(T.single_source_shortest(g.undirected, T.seeds(g.edges, [s]), 4))
 
 
 def shortest_path(spark: SparkSession, d: str) -> DataFrame:
-    g, s = _graph(spark, d)
+    g, s = _whole(spark, d)
     t = T.k_out(g.undirected, T.seeds(g.edges, [s]), 4).agg(F.max("node")).first()[0]
     return _text(T.shortest_path(g.undirected, s, t, 5))
 
 
 def all_shortest_paths(spark: SparkSession, d: str) -> DataFrame:
-    g, s = _graph(spark, d)
+    g, s = _whole(spark, d)
     t = T.k_out(g.undirected, T.seeds(g.edges, [s]), 4).agg(F.max("node")).first()[0]
     return _text(T.all_shortest_paths(g.undirected, s, t, 5))
 
@@ -116,7 +123,7 @@ def weighted_paths(spark: SparkSession, d: str) -> DataFrame:
 
 
 def multi_node_paths(spark: SparkSession, d: str) -> DataFrame:
-    g, s = _graph(spark, d)
+    g, s = _whole(spark, d)
     ids = [r.node for r in T.k_neighbor(g.undirected, T.seeds(g.edges, [s]), 2).select("node").orderBy("node").limit(4).collect()]
     return T.multi_node_shortest(g.undirected, ids, 4).select("source", "node", "weight")
 

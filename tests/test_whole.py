@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessagraph.graph import graph_of_tables
 from tessagraph.operators import learning as L
 from tessagraph.operators import traversal as T
-from tessagraph.plans import learning_queries
+from tessagraph.plans import learning_queries, traversal_queries
 
 DATA = "/root/testdata/sf0.001"
 
@@ -102,3 +102,23 @@ def test_cells_recall(spark):
     pairs = lambda f: {(r.query, r.id) for r in f(spark, d).collect()}
     exact = pairs(learning_queries.vec_search_many)
     assert len(pairs(learning_queries.vec_search_cells) & exact) / len(exact) >= 0.9
+
+
+def test_searches_over_all_labels(spark):
+    g = graph_of_tables(spark, DATA)
+    near = neighbours((r.src, r.dst) for r in g.undirected.collect())
+    start = min(r.src for r in g.edges.filter("label = 'knows'").collect())
+    far = distances(near, start)
+    got = {n: {tuple(r) for r in traversal_queries.QUERIES[n](spark, DATA).collect()} for n in ("k_out", "k_neighbor", "shortest_paths_from", "shortest_path", "all_shortest_paths", "multi_node_paths")}
+    assert got["k_out"] == {(start, n) for n, d in far.items() if d == 3}
+    assert got["k_neighbor"] == {(start, n, d) for n, d in far.items() if 0 < d <= 4}
+    all_paths = {start: [[start]]}
+    for n in sorted(far, key=far.get):
+        if n != start:
+            all_paths[n] = [[*p, n] for x in near[n] if far[x] == far[n] - 1 for p in all_paths[x]]
+    assert got["shortest_paths_from"] == {(start, n, float(d), ">".join(min(all_paths[n]))) for n, d in far.items() if 0 < d <= 4}
+    end = max(n for n, d in far.items() if d == 4)
+    assert got["shortest_path"] == {(start, end, 4.0, ">".join(min(all_paths[end])))}
+    assert got["all_shortest_paths"] == {(">".join(p),) for p in all_paths[end]}
+    ids = sorted(n for n, d in far.items() if 0 < d <= 2)[:4]
+    assert got["multi_node_paths"] == {(a, b, float(distances(near, a)[b])) for a, b in combinations(ids, 2) if distances(near, a)[b] <= 4}
