@@ -75,13 +75,13 @@ def rag_fuzzy_match(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _paths(spark: SparkSession, d: str):
-    g = graph_of_tables(spark, d).restrict(["created", "knows"])
-    s = g.vertices.filter("label = 'software' and price < 60").select(F.col("price").cast("bigint").alias("q"), "id")
-    return g, checkpoint(R.expand(g, s, 2, 4, 6))
+    g = graph_of_tables(spark, d)
+    s = g.vertices.filter("label = 'software'").select(F.col("price").cast("bigint").alias("q"), "id")
+    return g, checkpoint(R.expand(g, s))
 
 
 def rag_paths(spark: SparkSession, d: str) -> DataFrame:
-    """Paths around the matched vertices: at most 4 edges from a vertex, 6 paths a start."""
+    """Paths around all software over all labels, with the limits of `expand`: 40 edges from a vertex, 30 paths a start."""
     x = _paths(spark, d)[1]
     return x.select("q", "start", "path_no", F.array_join(F.transform("path", lambda n: n.vertex), ">").alias("vertices"))
 
@@ -99,7 +99,7 @@ def rag_merge(spark: SparkSession, d: str) -> DataFrame:
     """Graph texts and similar documents of each question by quota, reranked by BLEU."""
     g, p = _paths(spark, d)
     graph = R.path_texts(g, p).select("q", F.lit("graph").alias("source"), "text")
-    questions = g.vertices.filter("label = 'software' and price < 60").groupBy(F.col("price").cast("bigint").alias("q")).agg(F.concat(F.lit("which worker created the tool "), F.min("name")).alias("question"))
+    questions = g.vertices.filter("label = 'software'").groupBy(F.col("price").cast("bigint").alias("q")).agg(F.concat(F.lit("which worker created the tool "), F.min("name")).alias("question"))
     docs = table(spark, d, "documents").filter("lang = 'en'")
     vec = hashing_embedder()
     near = search_many(docs.select("doc_id", embed(F.col("text"), vec).alias("vec")), "doc_id", "vec", questions.select("q", embed(F.col("question"), vec).alias("vec")), "q", 5)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessagraph.graph import graph_of_tables
 from tessagraph.operators import learning as L
 from tessagraph.operators import traversal as T
-from tessagraph.plans import learning_queries, traversal_queries
+from tessagraph.plans import learning_queries, retrieval_queries, traversal_queries
 
 DATA = "/root/testdata/sf0.001"
 
@@ -122,3 +122,28 @@ def test_searches_over_all_labels(spark):
     assert got["all_shortest_paths"] == {(">".join(p),) for p in all_paths[end]}
     ids = sorted(n for n, d in far.items() if 0 < d <= 2)[:4]
     assert got["multi_node_paths"] == {(a, b, float(distances(near, a)[b])) for a, b in combinations(ids, 2) if distances(near, a)[b] <= 4}
+
+
+def test_paths_of_all_software(spark):
+    g = graph_of_tables(spark, DATA)
+    edges = [(r.id, r.src, r.dst) for r in g.edges.collect()]
+    steps = {}
+    for i, a, b in edges:
+        steps.setdefault(a, []).append((i, False, b))
+        if a != b:
+            steps.setdefault(b, []).append((i, True, a))
+    steps = {a: sorted(x)[:40] for a, x in steps.items()}
+    want = set()
+    for r in g.vertices.filter("label = 'software'").collect():
+        one = [((r.id, b), (i,)) for i, _, b in steps.get(r.id, ()) if b != r.id]
+        two = [((*p, b), (*e, i)) for p, e in one for i, _, b in steps[p[-1]] if b not in p]
+        for n, (p, _) in enumerate(sorted(one + two, key=lambda x: (len(x[0]), *x))[:30], 1):
+            want.add((r.price, r.id, n, ">".join(p)))
+    got = {(r.q, r.start, r.path_no, r.vertices) for r in retrieval_queries.rag_paths(spark, DATA).collect()}
+    assert got == want
+    assert {(r.q, r.start, r.path_no) for r in retrieval_queries.rag_path_texts(spark, DATA).collect()} == {x[:3] for x in want}
+    sets = {}
+    for q, _, _, p in want:
+        for i, v in enumerate(p.split(">")):
+            sets.setdefault((q, i), set()).add(v)
+    assert {(r.q, r.depth, r.vertices) for r in retrieval_queries.rag_depth_sets(spark, DATA).collect()} == {(*k, ",".join(sorted(v))) for k, v in sets.items()}
