@@ -100,7 +100,7 @@ def rag_merge(spark: SparkSession, d: str) -> DataFrame:
     g, p = _paths(spark, d)
     graph = R.path_texts(g, p).select("q", F.lit("graph").alias("source"), "text")
     questions = g.vertices.filter("label = 'software'").groupBy(F.col("price").cast("bigint").alias("q")).agg(F.concat(F.lit("which worker created the tool "), F.min("name")).alias("question"))
-    docs = table(spark, d, "documents").filter("lang = 'en'")
+    docs = table(spark, d, "documents")
     vec = hashing_embedder()
     near = search_many(docs.select("doc_id", embed(F.col("text"), vec).alias("vec")), "doc_id", "vec", questions.select("q", embed(F.col("question"), vec).alias("vec")), "q", 5)
     vector = near.join(docs.select(F.col("doc_id").alias("id"), "text"), "id").select(F.col("query").alias("q"), F.lit("vector").alias("source"), "text")

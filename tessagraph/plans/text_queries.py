@@ -27,8 +27,8 @@ def txt_words(spark: SparkSession, d: str) -> DataFrame:
 
 
 def txt_cooccurrence(spark: SparkSession, d: str) -> DataFrame:
-    """Word pairs near each other in at least 20 documents."""
-    t = _docs(spark, d).filter("lang = 'en'").select("doc_id", X.without_stop_words(X.tokens(F.col("text"))).alias("t"))
+    """Word pairs near each other in at least 5 documents."""
+    t = _docs(spark, d).select("doc_id", X.without_stop_words(X.tokens(F.col("text"))).alias("t"))
     return X.cooccurrence(t, "doc_id", "t", 2).groupBy("a", "b").agg(F.count("*").alias("docs"), F.sum("n").alias("n")).filter("docs >= 5")
 
 
@@ -39,7 +39,7 @@ def txt_textrank(spark: SparkSession, d: str) -> DataFrame:
 
 def txt_hybrid_keywords(spark: SparkSession, d: str) -> DataFrame:
     """Rank scores mixed with scores of term frequency."""
-    t = _docs(spark, d).filter("lang = 'en'").select("doc_id", X.without_stop_words(X.tokens(F.col("text"))).alias("t"))
+    t = _docs(spark, d).select("doc_id", X.without_stop_words(X.tokens(F.col("text"))).alias("t"))
     rank = t.select(F.col("doc_id").alias("id"), F.inline(X.textrank(F.col("t"))))
     tf = t.select(F.col("doc_id").alias("id"), F.explode("t").alias("word"), F.size("t").alias("n")).groupBy("id", "word").agg((F.count("*") / F.max("n")).alias("score"))
     return X.hybrid_scores(rank, tf, 0.6)

@@ -4,10 +4,11 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
+from tessagraph.functions import text as X
 from tessagraph.graph import graph_of_tables
 from tessagraph.operators import learning as L
 from tessagraph.operators import traversal as T
-from tessagraph.plans import learning_queries, retrieval_queries, traversal_queries
+from tessagraph.plans import learning_queries, retrieval_queries, text_queries, traversal_queries
 
 DATA = "/root/testdata/sf0.001"
 
@@ -147,3 +148,13 @@ def test_paths_of_all_software(spark):
         for i, v in enumerate(p.split(">")):
             sets.setdefault((q, i), set()).add(v)
     assert {(r.q, r.depth, r.vertices) for r in retrieval_queries.rag_depth_sets(spark, DATA).collect()} == {(*k, ",".join(sorted(v))) for k, v in sets.items()}
+
+
+def test_texts_of_all_languages(spark):
+    d = DATA.replace("0.001", "0.01")
+    t = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "lang", X.without_stop_words(X.tokens(F.col("text"))).alias("t")).filter("size(t) > 0").cache()
+    assert t.filter("lang is null or lang <> 'en'").count() > 0
+    ids = {r[0] for r in text_queries.txt_hybrid_keywords(spark, d).select("id").distinct().collect()}
+    assert ids == {r.doc_id for r in t.collect()}
+    pairs = X.cooccurrence(t, "doc_id", "t", 2).groupBy("a", "b").agg(F.count("*").alias("docs")).filter("docs >= 5")
+    assert {(r.a, r.b): r.docs for r in text_queries.txt_cooccurrence(spark, d).collect()} == {(r.a, r.b): r.docs for r in pairs.collect()}
