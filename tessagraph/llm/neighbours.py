@@ -21,74 +21,94 @@ from tessagraph.session import checkpoint, split_join
 class GraphRule:
     """degree: edges kept per node. beam, build_beam: candidates kept in a search. relax: a candidate is pruned if it is this many
     times nearer (squared distance) to a kept neighbour than to the node. width: nodes opened per step. batch: queries at once.
-    shard_rows: vectors of one graph at most, about. block_rows: queries of one task, about."""
+    starts: nodes at which every search may begin. shard_rows: vectors from which a shard is split, while the cluster has slots
+    for more graphs; most_rows: vectors that one task's memory holds, beyond which there are more shards than slots."""
 
-    degree: int = 24
+    degree: int = 48
     beam: int = 48
-    build_beam: int = 48
+    build_beam: int = 56
     relax: float = 1.3
     width: int = 4
-    batch: int = 128
-    shard_rows: int = 24_576
-    block_rows: int = 24_576
+    batch: int = 256
+    starts: int = 256
+    shard_rows: int = 32_768
+    most_rows: int = 500_000
 
 
 def beam_search(points: np.ndarray, edges: np.ndarray, queries: np.ndarray, starts: np.ndarray, beam: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, similarities), both queries x beam and by falling similarity; -1 and -inf where fewer nodes were reached.
 
-    edges: nodes x degree, -1 for none. Every query begins at `starts`. In each step it opens its `width` best unopened
-    candidates; a query ends when its best `beam` candidates are all open.
+    edges: nodes x degree, a node's own number for none. A query begins at the best of `starts`. In each step it opens its
+    `width` best unopened candidates; it ends when its best `beam` candidates are all open. No table of visited nodes is kept:
+    what a beam has dropped is worse than its last candidate and cannot come back.
     """
     q, n = len(queries), len(points)
-    out_id, out_sim = np.full((q, beam), -1, np.int32), np.full((q, beam), -np.inf, np.float32)
-    ids, sims = np.full((q, beam), -1, np.int32), np.full((q, beam), -np.inf, np.float32)
-    done = np.ones((q, beam), bool)
     k = min(len(starts), beam)
-    first = queries @ points[starts[:k]].T
-    order = np.argsort(-first, axis=1)
-    ids[:, :k], sims[:, :k], done[:, :k] = starts[:k][order], np.take_along_axis(first, order, 1), False
-    seen = np.zeros((q, n), np.uint8)
-    seen[:, starts[:k]] = 1
-    live, row = np.arange(q), np.arange(q)[:, None]
-    stamp = np.arange(1, width * edges.shape[1] + 1, dtype=np.uint8)[None, :]
-    # Written anew in each step: fresh arrays of this size cost more than the arithmetic.
-    left, right = (np.empty((q * width * edges.shape[1], points.shape[1]), np.float32) for _ in range(2))
-    while len(live):
-        rank = np.where(done, beam, np.arange(beam)[None, :])
-        pick = np.partition(rank, width - 1, axis=1)[:, :width] if width < beam else rank
-        ok = pick < beam
-        active = ok.any(1)
+    first = queries @ points[starts].T
+    lead = np.argpartition(-first, k - 1, axis=1)[:, :k] if k else np.zeros((q, 0), np.int64)
+    lead = np.take_along_axis(lead, np.argsort(-np.take_along_axis(first, lead, 1), axis=1), 1)
+    ids, sims, closed = np.full((q, beam), -1, np.int32), np.full((q, beam), -np.inf, np.float32), np.ones((q, beam), bool)
+    ids[:, :k], sims[:, :k], closed[:, :k] = starts[lead], np.take_along_axis(first, lead, 1), False
+    out_id, out_sim = ids.copy(), sims.copy()
+    live = np.arange(q)
+    room = np.empty((q * width * edges.shape[1], points.shape[1]), np.float32)  # fresh arrays of this size cost more than the arithmetic
+    while True:
+        place = np.cumsum(~closed, axis=1, dtype=np.int32)
+        active = place[:, -1] > 0 if beam else np.zeros(len(live), bool)
         if not active.all():
-            over = ~active
-            out_id[live[over]], out_sim[live[over]] = ids[over], sims[over]
-            live, ids, sims, done, seen, queries, pick, ok = live[active], ids[active], sims[active], done[active], seen[active], queries[active], pick[active], ok[active]
-            row = np.arange(len(live))[:, None]
-            if not len(live):
-                break
-        safe = np.where(ok, pick, 0)
-        opened = np.where(ok, np.take_along_axis(ids, safe, 1), -1)
-        hit, col = np.nonzero(ok)
-        done[hit, pick[hit, col]] = True
-        near = np.where(opened[:, :, None] >= 0, edges[opened], -1).reshape(len(live), -1)
-        at = np.where(near >= 0, near, 0)
-        fresh = (near >= 0) & (seen[row, at] == 0)
-        r, c = np.nonzero(fresh)
-        seen[r, near[r, c]] = stamp[0, c]
-        fresh[r, c] = seen[r, near[r, c]] == stamp[0, c]  # one of equal neighbours stays
-        r, c = np.nonzero(fresh)
-        new = np.full(near.shape, -np.inf, np.float32)
-        m = len(r)
-        np.take(points, near[r, c], axis=0, out=left[:m], mode="clip")
-        np.take(queries, r, axis=0, out=right[:m], mode="clip")
-        new[r, c] = np.einsum("ij,ij->i", left[:m], right[:m])
-        all_sim = np.concatenate([sims, new], 1)
-        best = np.argpartition(-all_sim, beam - 1, axis=1)[:, :beam]
-        best = np.take_along_axis(best, np.argsort(-np.take_along_axis(all_sim, best, 1), axis=1), 1)
-        ids = np.take_along_axis(np.concatenate([ids, near], 1), best, 1)
-        sims = np.take_along_axis(all_sim, best, 1)
-        done = np.take_along_axis(np.concatenate([done, ~fresh], 1), best, 1)
-        done |= ~np.isfinite(sims)
-    return out_id, out_sim
+            out_id[live[~active]], out_sim[live[~active]] = ids[~active], sims[~active]
+            live, ids, sims, closed, queries, place = (x[active] for x in (live, ids, sims, closed, queries, place))
+        if not len(live):
+            return out_id, out_sim
+        pick = ~closed & (place <= width)
+        closed |= pick
+        row, col = np.nonzero(pick)
+        near = edges[ids[row, col]]
+        vec = np.take(points, near.ravel(), axis=0, out=room[: near.size], mode="clip").reshape(*near.shape, -1)
+        sim = np.matmul(vec, queries[row][:, :, None])[:, :, 0]
+        i, j = np.nonzero(sim > sims[row, -1][:, None])
+        key, at = np.unique(row[i] * n + near[i, j], return_index=True)
+        i, j = i[at], j[at]
+        known = (ids[row[i]] == near[i, j][:, None]).any(1)
+        i, j = i[~known], j[~known]
+        if not len(i):
+            continue
+        to, count = row[i], np.bincount(row[i], minlength=len(live))
+        wide = beam + int(count.max())
+        spot = beam + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+        all_id, all_sim, all_closed = np.full((len(live), wide), -1, np.int32), np.full((len(live), wide), -np.inf, np.float32), np.ones((len(live), wide), bool)
+        all_id[:, :beam], all_sim[:, :beam], all_closed[:, :beam] = ids, sims, closed
+        all_id[to, spot], all_sim[to, spot], all_closed[to, spot] = near[i, j], sim[i, j], False
+        best = np.argsort(-all_sim, axis=1)[:, :beam] + np.arange(len(live))[:, None] * wide
+        ids, sims, closed = all_id.ravel()[best], all_sim.ravel()[best], all_closed.ravel()[best]
+
+
+class NearLists:
+    """The k nearest that each of n nodes has met so far."""
+
+    def __init__(self, n: int, k: int) -> None:
+        self.ids, self.sims = np.full((n, k), -1, np.int32), np.full((n, k), -np.inf, np.float32)
+
+    def meet(self, a: np.ndarray, b: np.ndarray, sim: np.ndarray) -> None:
+        """Each a[i] has met b[i]; a pair that was met before changes nothing."""
+        better = (a != b) & (sim > self.sims[a, -1])
+        a, b, sim = a[better], b[better], sim[better]
+        if not len(a):
+            return
+        at = np.unique(a * len(self.ids) + b.astype(np.int64), return_index=True)[1]
+        a, b, sim = a[at], b[at], sim[at]
+        new = ~(self.ids[a] == b[:, None]).any(1)
+        a, b, sim = a[new], b[new], sim[new]
+        if not len(a):
+            return
+        own, first, count = np.unique(a, return_index=True, return_counts=True)
+        k, spot = self.ids.shape[1], np.arange(len(a)) - np.repeat(first, count)
+        ids, sims = np.full((len(own), k + count.max()), -1, np.int32), np.full((len(own), k + count.max()), -np.inf, np.float32)
+        ids[:, :k], sims[:, :k] = self.ids[own], self.sims[own]
+        row = np.repeat(np.arange(len(own)), count)
+        ids[row, k + spot], sims[row, k + spot] = b, sim
+        best = np.argsort(-sims, axis=1)[:, :k]
+        self.ids[own], self.sims[own] = np.take_along_axis(ids, best, 1), np.take_along_axis(sims, best, 1)
 
 
 def robust_prune(points: np.ndarray, own: np.ndarray, cand: np.ndarray, sim: np.ndarray, degree: int, relax: float) -> np.ndarray:
@@ -115,79 +135,82 @@ def robust_prune(points: np.ndarray, own: np.ndarray, cand: np.ndarray, sim: np.
     return out
 
 
-def build_graph(points: np.ndarray, rule: GraphRule, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """(edges, starts): the points (unit vectors, float32) are inserted in batches in random order.
+def build_graph(points: np.ndarray, rule: GraphRule, k: int = 10, seed: int = 7) -> tuple[np.ndarray, np.ndarray, NearLists]:
+    """(edges, starts, near): the points (unit vectors, float32) are inserted in batches in random order.
 
-    A batch searches the graph so far, prunes the candidates and what it opened to its neighbours, and adds the edges back; nodes
-    with too many edges are pruned again. The first batch is compared with itself.
+    A batch searches the graph so far, prunes the candidates and adds the edges back; nodes with too many edges are pruned again.
+    The first batch is compared with itself. near: for every node the k nearest among those that its own insertion's search
+    met, or whose search met it, or that are nearest to one of these, so that the graph's own nodes need not search it again. In
+    edges, a node's own number stands for none.
     """
     n, d = len(points), rule.degree
     rng = np.random.default_rng(seed)
-    order = rng.permutation(n)
-    centre = points.mean(0)
-    starts = np.unique(np.append(np.argmax(points @ centre), order[:7])) if n else np.zeros(0, np.int64)
-    order = np.concatenate([starts, order[~np.isin(order, starts)]]).astype(np.int32)
-    slack = d + d // 2
-    edges = np.full((n, slack), -1, np.int32)
+    order = rng.permutation(n).astype(np.int32)
+    slack = d + d // 4
+    edges = np.repeat(np.arange(n, dtype=np.int32)[:, None], slack, axis=1)
     size = np.zeros(n, np.int32)
-
-    def back(own: np.ndarray, new: np.ndarray) -> None:
-        src = np.repeat(own, new.shape[1])
-        dst = new.ravel()
-        src, dst = src[dst >= 0], dst[dst >= 0]
-        o = np.argsort(dst, kind="stable")
-        src, dst = src[o], dst[o]
-        rank = np.arange(len(dst)) - np.searchsorted(dst, dst)
-        place = size[dst] + rank
-        fits = place < slack
-        edges[dst[fits], place[fits]] = src[fits]
-        over = np.unique(dst[~fits])
-        size[:] = np.minimum(slack, np.bincount(dst[fits], minlength=n) + size)
-        for i in range(0, len(over), rule.batch):
-            part = over[i : i + rule.batch]
-            more = np.full((len(part), d), -1, np.int32)
-            sel = np.isin(dst, part) & ~fits
-            s2, d2 = src[sel], np.searchsorted(part, dst[sel])
-            r2 = np.arange(len(d2)) - np.searchsorted(d2, d2)
-            keep = r2 < d
-            more[d2[keep], r2[keep]] = s2[keep]
-            cand = np.concatenate([edges[part], more], 1)
-            shrink(part, cand)
+    near = NearLists(n, k + 6)
 
     def shrink(own: np.ndarray, cand: np.ndarray) -> None:
-        sim = np.where(cand >= 0, np.einsum("bd,bcd->bc", points[own], points[np.maximum(cand, 0)]), -np.inf).astype(np.float32)
+        sim = np.matmul(points[cand], points[own][:, :, None])[:, :, 0]
+        sim[cand == own[:, None]] = -np.inf
+        keep(own, cand, sim)
+
+    def keep(own: np.ndarray, cand: np.ndarray, sim: np.ndarray) -> np.ndarray:
         o = np.argsort(-sim, axis=1)
-        kept = robust_prune(points, own, np.take_along_axis(cand, o, 1), np.take_along_axis(sim, o, 1), d, rule.relax)
-        edges[own, :d], edges[own, d:] = kept, -1
+        cand, sim = np.take_along_axis(cand, o, 1), np.take_along_axis(sim, o, 1)
+        kept = robust_prune(points, own, np.where(np.isfinite(sim), cand, -1), sim, d, rule.relax)
+        edges[own] = own[:, None]
+        edges[own, :d] = np.where(kept >= 0, kept, own[:, None])
         size[own] = (kept >= 0).sum(1)
+        return kept
 
-    at = min(n, 128)
-    head = order[:at]
-    if at > 1:
-        s = points[head] @ points[head].T
-        np.fill_diagonal(s, -np.inf)
-        o = np.argsort(-s, axis=1)[:, : min(at - 1, 96)]
-        kept = robust_prune(points, head, head[o].astype(np.int32), np.take_along_axis(s, o, 1).astype(np.float32), d, rule.relax)
-        edges[head, :d] = kept
-        size[head] = (kept >= 0).sum(1)
-    while at < n:
-        own = order[at : at + min(rule.batch, max(64, at // 2))]
-        ids, sims = beam_search(points, edges, points[own], starts, rule.build_beam, rule.width)
-        # Members of the batch see each other too.
+    def back(own: np.ndarray, kept: np.ndarray) -> None:
+        src, dst = np.repeat(own, kept.shape[1]), kept.ravel()
+        src, dst = src[dst >= 0], dst[dst >= 0]
+        o = np.argsort(dst, kind="stable")
+        src, dst = src[o], dst[o]
+        while len(dst):
+            place = size[dst] + np.arange(len(dst)) - np.searchsorted(dst, dst)
+            fits = place < slack
+            edges[dst[fits], place[fits]] = src[fits]
+            size[:] += np.bincount(dst[fits], minlength=n).astype(np.int32)
+            src, dst = src[~fits], dst[~fits]
+            over = np.unique(dst)
+            for i in range(0, len(over), rule.batch):
+                shrink(over[i : i + rule.batch], edges[over[i : i + rule.batch]])
+
+    def insert(own: np.ndarray, ids: np.ndarray, sims: np.ndarray) -> None:
         s = points[own] @ points[own].T
         np.fill_diagonal(s, -np.inf)
-        k = min(8, len(own) - 1)
-        if k > 0:
-            near = np.argpartition(-s, k - 1, axis=1)[:, :k]
-            ids, sims = np.concatenate([ids, own[near]], 1), np.concatenate([sims, np.take_along_axis(s, near, 1)], 1)
-            o = np.argsort(-sims, axis=1)
-            ids, sims = np.take_along_axis(ids, o, 1), np.take_along_axis(sims, o, 1)
-        kept = robust_prune(points, own, ids.astype(np.int32), sims.astype(np.float32), d, rule.relax)
-        edges[own, :d], edges[own, d:] = kept, -1
-        size[own] = (kept >= 0).sum(1)
-        back(own, kept)
+        c = min(max(k, 8 if at else 96), len(own) - 1)
+        if c > 0:  # members of the batch see each other too
+            mates = np.argpartition(-s, c - 1, axis=1)[:, :c]
+            ids, sims = np.concatenate([ids, own[mates]], 1), np.concatenate([sims, np.take_along_axis(s, mates, 1)], 1)
+        a = np.repeat(own, ids.shape[1])
+        real = ids.ravel() >= 0
+        a, b, sim = a[real], ids.ravel()[real], sims.ravel()[real]
+        near.meet(a, b, sim)
+        near.meet(b, a, sim)
+        back(own, keep(own, np.where(ids >= 0, ids, own[:, None]), np.where(ids >= 0, sims, -np.inf)))
+
+    at = 0
+    while at < n:
+        own = order[at : at + (min(rule.batch, at // 2) if at else 128)]
+        if at:
+            ids, sims = beam_search(points, edges, points[own], order[: min(at, rule.starts)], rule.build_beam, rule.width)
+        else:
+            ids, sims = np.zeros((len(own), 0), np.int32), np.zeros((len(own), 0), np.float32)
+        insert(own, ids, sims)
         at += len(own)
-    return edges, starts
+    for at in range(0, n, 2 * rule.batch):
+        own = np.arange(at, min(n, at + 2 * rule.batch), dtype=np.int32)
+        far = near.ids[near.ids[own]].reshape(len(own), -1)
+        sim = np.matmul(points[far], points[own][:, :, None])[:, :, 0]
+        i, j = np.nonzero((sim > near.sims[own, -1][:, None]) & (near.ids[own] >= 0).repeat(near.ids.shape[1], 1) & (far >= 0))
+        near.meet(own[i], far[i, j], sim[i, j])
+        near.meet(far[i, j], own[i], sim[i, j])
+    return edges, order[: rule.starts], near
 
 
 def unit_vectors(df: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFrame:
@@ -215,59 +238,92 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks] or [np.zeros(0)]).reshape(-1, dim)
 
 
-def graph_index(reps: DataFrame, dim: int, shards: int, rule: GraphRule) -> DataFrame:
-    """(shard, pos, id, unit, edges, start): one graph per shard of `reps` (id, unit), written once."""
+def graph_index(reps: DataFrame, dim: int, k: int, shards: int, rule: GraphRule) -> DataFrame:
+    """(shard, pos, id, unit, edges, start, near, near_sim): one graph per shard of `reps` (id, unit), written once."""
 
     def build(t: pa.Table) -> pa.Table:
         t = t.sort_by("id")
-        edges, starts = build_graph(_matrix(t["unit"], dim).astype(np.float32), rule)
-        n = t.num_rows
-        return pa.table({"shard": t["shard"], "pos": pa.array(np.arange(n, dtype=np.int32)), "id": t["id"], "unit": t["unit"], "edges": pa.FixedSizeListArray.from_arrays(pa.array(edges.ravel()), edges.shape[1]).cast(pa.list_(pa.int32())), "start": pa.array(np.isin(np.arange(n), starts))})
+        exact = _matrix(t["unit"], dim)
+        edges, starts, near = build_graph(exact.astype(np.float32), rule, k)
+        n, ids = t.num_rows, t["id"].to_numpy()
+        other, sims = np.empty((n, k), ids.dtype), np.empty((n, k))
+        for at in range(0, n, 8192):
+            got = near.ids[at : at + 8192]
+            sim = np.where(got >= 0, np.einsum("bd,bcd->bc", exact[at : at + 8192], exact[np.maximum(got, 0)]), -np.inf)
+            top = np.argsort(-sim, axis=1, kind="stable")[:, :k]
+            other[at : at + 8192], sims[at : at + 8192] = ids[np.maximum(np.take_along_axis(got, top, 1), 0)], np.take_along_axis(sim, top, 1)
+        lists = lambda x, kind: pa.FixedSizeListArray.from_arrays(pa.array(x.ravel(), kind), x.shape[1]).cast(pa.list_(kind))
+        return pa.table({"shard": t["shard"], "pos": pa.array(np.arange(n, dtype=np.int32)), "id": t["id"], "unit": t["unit"], "edges": lists(edges, pa.int32()), "start": pa.array(np.isin(np.arange(n), starts)), "near": lists(other, t.schema.field("id").type), "near_sim": lists(sims, pa.float64())})
 
+    kind = dict(reps.dtypes)["id"]
     sharded = reps.select("id", "unit", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"))
-    return checkpoint(sharded.groupBy("shard").applyInArrow(build, f"shard int, pos int, id {dict(reps.dtypes)['id']}, unit array<double>, edges array<int>, start boolean"))
-
-
-def search_shards(index: DataFrame, queries: DataFrame, dim: int, k: int, shards: int, blocks: int, rule: GraphRule) -> DataFrame:
-    """(id, other, similarity): the k nearest of each query (id, unit) over all shards, itself left out."""
-    kind = dict(queries.dtypes)["id"]
-    schema = pa.schema([("id", pa.from_numpy_dtype(np.int64) if kind == "bigint" else pa.string()), ("other", pa.from_numpy_dtype(np.int64) if kind == "bigint" else pa.string()), ("similarity", pa.float64())])
-
-    def search(graph: pa.Table, block: pa.Table) -> pa.Table:
-        if not graph.num_rows or not block.num_rows:
-            return schema.empty_table()
-        graph = graph.sort_by("pos")
-        exact, asked = _matrix(graph["unit"], dim), _matrix(block["unit"], dim)
-        points = exact.astype(np.float32)
-        edges = np.concatenate([c.flatten().to_numpy() for c in graph["edges"].chunks]).reshape(graph.num_rows, -1)
-        starts = np.flatnonzero(graph["start"].to_numpy())
-        gid, qid = graph["id"].to_numpy(), block["id"].to_numpy()
-        parts = []
+    return checkpoint(sharded.groupBy("shard").applyInArrow(build, f"shard int, pos int, id {kind}, unit array<double>, edges array<int>, start boolean, near array<{kind}>, near_sim array<double>"))
+
+
+def search_shards(index: DataFrame, dim: int, k: int, shards: int, slots: int, rule: GraphRule) -> DataFrame:
+    """(id, other, similarity): the k nearest of each vector of the index in each shard.
+
+    Each shard's graph goes once to each of its tasks, of which all shards together have about as many as the cluster has
+    slots, and the vectors of the other shards stream past it in Arrow batches; a task holds one graph and one batch. In its
+    own shard a vector has met its nearest when the graph was built.
+    """
+    kind = dict(index.dtypes)["id"]
+    own = index.select("id", F.inline(F.arrays_zip(F.col("near").alias("other"), F.col("near_sim").alias("similarity")))).filter("similarity > double('-infinity')")
+    if shards == 1:
+        return own
+    type_ = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
+
+    def look(graph: dict, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        asked, own = _matrix(pa.chunked_array([batch["unit"]]), dim), batch["id"].to_numpy(zero_copy_only=False)
         for i in range(0, len(asked), rule.batch):
             q = asked[i : i + rule.batch]
-            ids, _ = beam_search(points, edges, q.astype(np.float32), starts, rule.beam, rule.width)
-            sim = np.einsum("bd,bcd->bc", q, exact[np.maximum(ids, 0)])
-            own = qid[i : i + rule.batch]
-            sim[(ids < 0) | (gid[np.maximum(ids, 0)] == own[:, None])] = -np.inf
+            ids, _ = beam_search(graph["points"], graph["edges"], q.astype(np.float32), graph["starts"], max(rule.beam, k), rule.width)
+            sim = np.einsum("bd,bcd->bc", q, graph["exact"][np.maximum(ids, 0)])
+            sim[ids < 0] = -np.inf
             top = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-            s, other = np.take_along_axis(sim, top, 1), gid[np.maximum(np.take_along_axis(ids, top, 1), 0)]
+            s, other = np.take_along_axis(sim, top, 1), graph["id"][np.maximum(np.take_along_axis(ids, top, 1), 0)]
             good = np.isfinite(s)
-            parts.append(pa.table({"id": pa.array(np.repeat(own, good.sum(1)), schema.field("id").type), "other": pa.array(other[good], schema.field("other").type), "similarity": pa.array(s[good])}))
-        return pa.concat_tables(parts)
+            yield pa.RecordBatch.from_pydict({"id": pa.array(np.repeat(own[i : i + rule.batch], good.sum(1)), type_), "other": pa.array(other[good], type_), "similarity": pa.array(s[good])})
 
-    g = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    q = queries.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = g.groupBy("shard", "block").cogroup(q.groupBy("shard", "block")).applyInArrow(search, f"id {kind}, other {kind}, similarity double")
-    rank = Window.partitionBy("id").orderBy(F.desc("similarity"), "other")
-    return found.withColumn("r", F.row_number().over(rank)).filter(F.col("r") <= k).drop("r")
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, graph, of = [], None, None
+        for b in batches:
+            cell = b["cell"].to_numpy()
+            cut = [0, *(np.flatnonzero(np.diff(cell)) + 1), len(cell)]
+            for lo, hi in zip(cut, cut[1:]):
+                if hi == lo:
+                    continue
+                piece = b.slice(lo, hi - lo)
+                if cell[lo] != of:
+                    parts, graph, of = [], None, cell[lo]
+                nodes = piece.filter(pc.is_valid(piece["pos"]))
+                if nodes.num_rows:
+                    parts.append(nodes)
+                rest = piece.filter(pc.is_null(piece["pos"]))
+                if not rest.num_rows or not parts:
+                    continue
+                if graph is None:
+                    t = pa.Table.from_batches(parts)
+                    exact, parts = _matrix(t["unit"], dim), [True]
+                    graph = {"exact": exact, "points": exact.astype(np.float32), "edges": np.concatenate([c.flatten().to_numpy() for c in t["edges"].chunks]).reshape(t.num_rows, -1), "starts": np.flatnonzero(t["start"].to_numpy()), "id": t["id"].to_numpy()}
+                yield from look(graph, rest)
+
+    blocks = max(1, -(-slots // shards))
+    cell = F.col("shard") * blocks + F.col("block")
+    g = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(cell.alias("cell"), "pos", "id", "unit", "edges", "start")
+    q = index.select("id", "unit", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("shard"))).alias("shard"))
+    q = q.select(cell.alias("cell"), F.lit(None).cast("int").alias("pos"), "id", "unit", F.lit(None).cast("array<int>").alias("edges"), F.lit(None).cast("boolean").alias("start"))
+    rows = g.unionByName(q).repartition(shards * blocks, "cell").sortWithinPartitions("cell", F.col("pos").asc_nulls_last())
+    return own.unionByName(rows.mapInArrow(search, f"id {kind}, other {kind}, similarity double"))
 
 
 def nearest_vectors(df: DataFrame, id_col: str, vec_col: str, k: int = 10, dim: int = 64, rule: GraphRule = GraphRule()) -> DataFrame:
     """(id, rank, other, similarity): for each row with a usable vector, the k other rows of the largest cosine similarity.
 
     Vectors of one direction are one node of a graph, however many rows have them; they are each other's most similar ones, the
-    smallest ids first. The other rows come by falling similarity, then id. Graphs are built per shard of about
-    `rule.shard_rows` nodes and every node queries every shard, in blocks. The index is approximate; similarities are
+    smallest ids first. The other rows come by falling similarity, then id. There are as many graphs as `rule.shard_rows`
+    asks for, but no more than the cluster has slots unless `rule.most_rows` demands it, so that graphs grow with the vectors
+    and the work grows with vectors times slots. Every node queries every shard. The index is approximate; similarities are
     exact to nine digits. Vectors that are null, of another length, all zero, or hold a null, NaN or infinity take no
     part. Ids are unique numbers or strings. An empty table gives an empty result.
     """
@@ -280,8 +336,11 @@ def nearest_vectors(df: DataFrame, id_col: str, vec_col: str, k: int = 10, dim:
     n = reps.count()
     if n == 0:
         return df.sparkSession.createDataFrame([], f"id {dict(src.dtypes)['id']}, rank int, other {dict(src.dtypes)['id']}, similarity double")
-    shards, blocks = -(-n // rule.shard_rows), -(-n // rule.block_rows)
-    near = checkpoint(search_shards(graph_index(reps, dim, shards, rule), reps, dim, k, shards, blocks, rule).withColumnRenamed("id", "rep"))
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    shards = max(min(slots, -(-n // rule.shard_rows)), -(-n // rule.most_rows))
+    found = search_shards(graph_index(reps, dim, k, shards, rule), dim, k, shards, slots, rule)
+    found = found.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "other"))).filter(F.col("r") <= k).drop("r")
+    near = checkpoint(found.withColumnRenamed("id", "rep"))
     # The first k + 1 rows of each direction with copies stand for all of it.
     first = copies.withColumn("r", F.row_number().over(Window.partitionBy("rep").orderBy("id"))).filter(F.col("r") <= k + 1).select("rep", "id")
     own = first.select("rep", F.col("id").alias("other"), F.lit(1.0).alias("similarity"), F.lit(0).alias("tier"))

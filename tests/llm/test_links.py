@@ -6,6 +6,7 @@ import pytest
 
 from tessagraph.llm.names import components, entity_pairs, lcs, link_names, one_slip, read_company, read_person
 from tessagraph.llm.neighbours import GraphRule, nearest_vectors
+from tessagraph.llm.recall import recall
 
 
 @pytest.mark.parametrize("name", ["Matthew Trombemwyn", "Trombemwyn, Matt", 'Matthew "Matt" Trombemwyn', "TROMBEMWYN Matthew", "Dr. matthew  trómbemwyn", "MatthewTrombemwyn", "Mathew J. Trombemwyn", "trombemwyn matthew"])
@@ -94,7 +95,7 @@ def brute(data, k):
     return {int(ids[i]): [(int(ids[j]), s[i, j]) for j in np.lexsort((ids, -s[i]))[:k]] for i in range(len(ids))}
 
 
-@pytest.mark.parametrize("rule", [GraphRule(), GraphRule(degree=8, beam=40, build_beam=24, batch=32, shard_rows=150, block_rows=100)])
+@pytest.mark.parametrize("rule", [GraphRule(), GraphRule(degree=8, beam=40, build_beam=24, batch=32, shard_rows=150), GraphRule(degree=8, beam=40, build_beam=24, batch=32, shard_rows=150, most_rows=60)])
 def test_nearest_vectors(spark, rule):
     data = vectors(400, copies=30)
     df = spark.createDataFrame(data, "vertex_id bigint, feat array<double>, id string")
@@ -114,3 +115,8 @@ def test_nearest_vectors_small_tables(spark):
     assert nearest_vectors(df, "vertex_id", "feat", 10, 16).count() == 0
     two = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [2.0, 0.0])], "vertex_id bigint, feat array<double>")
     assert [(r.id, r.other) for r in nearest_vectors(two, "vertex_id", "feat", 1, 2).orderBy("id").collect()] == [(1, 3), (2, 1), (3, 1)]
+
+
+def test_recall_of_several_graphs(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/feat_vertices.parquet")
+    assert recall(df, "vertex_id", "feat", rule=GraphRule(shard_rows=250), each=5) > 0.97
