@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessagraph.llm.pairs import PLACEHOLDERS, pair_defects
+from tessagraph.llm.pairs import defect_sql, main_defect, pair_defects
 from tessagraph.llm.pieces import cut_pieces
 from tessagraph.llm.records import collapse, record_fields
 from tessagraph.llm.repetition import BIT, RULES, ablate, apply_policies, repetition_ledger
@@ -42,7 +42,8 @@ def p4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Defective pairs with the first defect in the order of the rules."""
-    return pair_defects(table(spark, sf_dir, "gremlin_pairs"), "query", "gremlin").filter("size(defects) > 0").select("pair_id", F.col("defects")[0].alias("defect"))
+    d = pair_defects(table(spark, sf_dir, "gremlin_pairs").select("pair_id", "query", "gremlin"), "query", "gremlin")
+    return d.select("pair_id", main_defect(F.col("defects")).alias("defect")).filter("defect is not null")
 
 
 def p5_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +92,6 @@ canon AS (
     ELSE 'valuemap' || {_NORM.format("x")} END), '') END AS g FROM parts),
 firsts AS (SELECT *, min(pair_id) OVER (PARTITION BY q, g) AS first_id, count(*) OVER (PARTITION BY q, g) AS n FROM canon)
 """
-_EMPTY = ", ".join(f"'{x}'" for x in PLACEHOLDERS)
 _RUN = r"'[^\s.,;:!?。，；：！？、\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{0B}\x{1C}-\x{1F}]{500}[^\s.,;:!?。，；：！？、\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{0B}\x{1C}-\x{1F}]'"
 _SHARE = r"""
 WITH d AS (SELECT doc_id, lower(regexp_replace(text, '[^\p{L}\p{N}]', '', 'g')) AS s FROM documents WHERE text IS NOT NULL),
@@ -102,6 +102,8 @@ c AS (SELECT doc_id, sum(least(20, coalesce(i - before, 20))) AS covered FROM la
 SQL = {
     "p1_found": _RECORDS + "SELECT first_id AS first_pair_id, pair_id AS copy_pair_id FROM firsts WHERE pair_id <> first_id",
     "p1_records": _RECORDS + "SELECT pair_id, query, gremlin, CAST(n AS BIGINT) AS copies FROM firsts WHERE pair_id = first_id",
+    "p5_found": defect_sql() + "SELECT pair_id, coalesce(list_filter(defects, lambda x: x <> 'truncated')[1], defects[1]) AS defect FROM e WHERE len(defects) > 0",
+    "p5_defects": defect_sql() + "SELECT source, lang, defect, count(*) AS pairs FROM (SELECT source, lang, unnest(defects) AS defect FROM e) GROUP BY ALL",
     "p4_found": f"SELECT doc_id FROM documents WHERE regexp_matches(text, {_RUN})",
     "p9_found": _SHARE + "SELECT c.doc_id FROM c JOIN d USING (doc_id) WHERE covered >= 0.3 * length(s)",
 }

@@ -4,7 +4,9 @@ import re
 import numpy as np
 import pytest
 
-from tessagraph.llm.pairs import pair_defects
+from pyspark.sql import functions as F
+
+from tessagraph.llm.pairs import main_defect, pair_defects
 from tessagraph.llm.pieces import PieceRule, cut_pieces, cut_table
 from tessagraph.llm.records import collapse, record_fields
 from tessagraph.llm.repetition import BIT, RULES, Policy, ablate, apply_policies, measure, repetition_ledger
@@ -49,9 +51,22 @@ PAIRS = [
 
 def test_pair_defects(spark):
     df = spark.createDataFrame([(i, "Who is Ann?", a, "z") for i, (a, _) in enumerate(PAIRS)] + [(99, None, "g.V()", "z")], "pair_id int, query string, gremlin string, defect string")
+    got = {r.pair_id: (list(r.defects), r.main) for r in pair_defects(df, "query", "gremlin").withColumn("main", main_defect(F.col("defects"))).collect()}
+    assert [(a, got[i][1]) for i, (a, _) in enumerate(PAIRS)] == PAIRS
+    assert got[99] == ([], None)
+
+
+def test_every_defect_comes_out(spark):
+    q = "Which companies does Ann serve?"
+    cases = [
+        ("g.V().has('name','x'].count()", ["truncated"]), ("g.V().hasLabel(']').out(]", ["truncated"]), ("g.V().hasLabel(')').out()", []), ("graph.traversal().V().count()", []), (":> g.V().count()", []), ("x = g.V().count()", []),
+        ("Je regrette, impossible.", ["refusal", "other_language"]), ("Ich möchte das nicht beantworten.", ["refusal", "other_language"]), ("SELECT a FROM b WHERE (c = 'x", ["truncated", "other_language"]), ("Which companies does", ["copy", "other_language"]),
+        ("Which companies does Ann serve? g.V().count()", ["copy", "other_language"]), ("Sorry, which companies does Ann serve", ["refusal", "other_language"]), ("...", ["empty"]), ("Анна служит", ["other_language"]), ("42", []), ("g" * 90_000, []),
+    ]
+    df = spark.createDataFrame([(i, q, a) for i, (a, _) in enumerate(cases)], "pair_id int, query string, gremlin string")
     got = {r.pair_id: list(r.defects) for r in pair_defects(df, "query", "gremlin").collect()}
-    assert [(a, got[i]) for i, (a, _) in enumerate(PAIRS)] == [(a, [w] if w else []) for a, w in PAIRS]
-    assert got[99] == []
+    assert [(a[:60], got[i]) for i, (a, _) in enumerate(cases)] == [(a[:60], w) for a, w in cases]
+    assert pair_defects(df.limit(0), "query", "gremlin").count() == 0
 
 
 def longest_run(t):
