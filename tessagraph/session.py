@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,14 +31,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in which this application keeps checkpoints and stored tables."""
+    sc = spark.sparkContext._jsc.sc()
+    if not sc.getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
+    return sc.getCheckpointDir().get()
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage of `df` with a reliable checkpoint that outlives any executor."""
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def version(*scans: DataFrame) -> str:
+    """A name for the present state of file scans: it changes with their files, sizes and times. Reads no column."""
+    parts = []
+    for s in scans:
+        seen = s.select(F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").alias("h"))
+        r = seen.groupBy("h").agg(F.count("*").alias("n")).agg(F.sum(F.col("h").cast("decimal(38,0)")).alias("h"), F.sum("n").alias("n")).first()
+        parts.append(f"{r.h}_{r.n}")
+    return "-".join(parts)
+
+
+def stored(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table `name` of this application: made and written into the shared folder at its first use, read from there afterwards."""
+    path = f"{shared_dir(spark)}/tables/{name}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A file scan with fewer partitions than the session has cores, dealt out to all of them; any other as it is.
 
