@@ -59,7 +59,7 @@ def mix_sources(docs: DataFrame, targets: DataFrame, total: float | None = None,
         rows.append((x.source, demand, min(x.r, max(1, ceil(demand / x.have - 1e-9))), -(-x.documents // GROUP), parts))
     plan = spark.createDataFrame(rows, "source string, demand double, epochs int, groups bigint, parts array<struct<t0:double,t1:double,d0:double,d1:double,before:double>>")
     drawn = docs.filter("tokens > 0").join(F.broadcast(plan), "source").withColumn("epoch", F.explode(F.sequence(F.lit(1), "epochs")))
-    drawn = drawn.withColumn("h", F.xxhash64(F.lit(seed), "id", "epoch")).withColumn("grp", F.shiftright(F.shiftrightunsigned("h", 24) * F.col("groups"), 40)).withColumn("key", F.shiftrightunsigned("h", 1))
+    drawn = drawn.withColumn("h", F.xxhash64(F.lit(seed), "id", "epoch")).withColumn("grp", F.shiftright(F.shiftrightunsigned("h", 24) * F.col("groups"), 40))
     drawn = drawn.withColumn("key", F.shiftrightunsigned("h", 24))
     sums = drawn.groupBy("source", "epoch", "grp").agg(F.sum("tokens").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("epoch", "grp").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     inner = Window.partitionBy("source", "epoch", "grp").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)

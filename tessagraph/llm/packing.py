@@ -170,6 +170,42 @@ def lower_bound(histogram: dict[int, int], capacity: int) -> int:
     return best
 
 
+@dataclass
+class Runs:
+    """All plans' runs, sorted by pack, size and first rank, and the containers of each pack."""
+
+    pack: np.ndarray
+    size: np.ndarray
+    first: np.ndarray
+    base: np.ndarray
+    each: np.ndarray
+    containers: np.ndarray
+
+    def place(self, pack: np.ndarray, size: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """The container of each item by its rank among the items of its size; items of size 0 are spread over all.
+
+        Packs are searched first, then sizes among the runs of the pack, then ranks among those of the size, so that no
+        combined code has to fit into a word.
+        """
+        spread = rank % np.maximum(1, self.containers[pack])
+        if not len(self.pack):
+            return spread
+        low, high = np.searchsorted(self.pack, pack, "left"), np.searchsorted(self.pack, pack, "right")
+        low, high = self._last(self.size, low, high, size - 1) + 1, self._last(self.size, low, high, size) + 1
+        i = np.maximum(self._last(self.first, low, high, rank), 0)
+        return np.where(size == 0, spread, self.base[i] + (rank - self.first[i]) // self.each[i])
+
+    @staticmethod
+    def _last(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """The last index in [low, high) whose value, rising there, is at most `wanted`; low - 1 for none."""
+        low, high = low - 1, high.copy()
+        while (open_ := high - low > 1).any():
+            mid = (low + high) // 2
+            fits = open_ & (values[np.clip(mid, 0, len(values) - 1)] <= wanted)
+            low, high = np.where(fits, mid, low), np.where(open_ & ~fits, mid, high)
+        return low
+
+
 def pack(items: DataFrame, packs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(assignment, summary) of items (id, tokens) for each row of packs (pack_name, capacity_tokens).
 
@@ -213,18 +249,13 @@ def pack(items: DataFrame, packs: DataFrame) -> tuple[DataFrame, DataFrame]:
         offsets = pieces.join(many, ["pack", "size"], "left_semi").groupBy(*group).agg(F.count("*").alias("n")).withColumn("offset", F.sum("n").over(Window.partitionBy("pack", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))).drop("n")
         ranked = ranked.join(offsets, group, "left").withColumn("rank", F.col("rank") + F.coalesce("offset", F.lit(0)))
     order = sorted(range(len(keys)), key=keys.__getitem__)
-    width = max((c for _, c in given), default=0) + 1
-    table = spark.sparkContext.broadcast((np.array([keys[i][0] * width + keys[i][1] for i in order], np.int64), np.array([starts[i] for i in order], np.int64), np.array([base[i] for i in order], np.int64), np.array([each[i] for i in order], np.int64), total))
+    column = lambda x: np.array([x[i] for i in order], np.int64)
+    runs = Runs(column([k[0] for k in keys]), column([k[1] for k in keys]), column(starts), column(base), column(each), np.array([total[i] for i in range(len(given))], np.int64))
+    table = spark.sparkContext.broadcast(runs)
 
     @F.pandas_udf("bigint")
     def container(p: pd.Series, size: pd.Series, rank: pd.Series) -> pd.Series:
-        code, first, at, k, count = table.value
-        own, r = p.to_numpy(np.int64) * width + size.to_numpy(np.int64), rank.to_numpy(np.int64)
-        if not len(code):
-            return pd.Series(np.zeros(len(own), np.int64))
-        i = np.maximum(np.searchsorted((code << 44) + first, (own << 44) + r, "right") - 1, 0)
-        spread = r % np.array([max(1, count[x]) for x in p])
-        return pd.Series(np.where(size.to_numpy() == 0, spread, at[i] + (r - first[i]) // k[i]))
+        return pd.Series(table.value.place(p.to_numpy(np.int64), size.to_numpy(np.int64), rank.to_numpy(np.int64)))
 
     out = ranked.select("pack_name", container("pack", "size", "rank").alias("container_id"), "id", "piece_no", F.col("size").alias("tokens"))
     return out, summary

@@ -144,3 +144,17 @@ def test_token_counts_are_whole_texts(spark):
     got = {r.id: r.tokens for r in with_token_counts(df, "text", {"doc_id": "id"}).collect()}
     assert got == {i: len(enc.encode(t)) if t else 0 for i, t in enumerate(texts)}
     assert all(enc.decode(enc.encode_ordinary(t)) == t for t in texts if t)
+
+
+def test_many_large_packs(spark):
+    """More than 2^19 pairs of pack and size."""
+    sizes = [131_072, 131_071, 131_000, 1, 72, 65_536, 65_536, 0, 300_000]
+    items = spark.createDataFrame([(i, s) for i, s in enumerate(sizes)], "id bigint, tokens bigint")
+    packs = spark.createDataFrame([(f"p{i}", 131_072) for i in range(5)], "pack_name string, capacity_tokens int")
+    rows, summary = (x.collect() for x in pack(items, packs))
+    used = Counter()
+    for r in rows:
+        used[r.pack_name, r.container_id] += r.tokens
+    assert max(used.values()) <= 131_072 and len({r.pack_name for r in rows}) == 5
+    for s in summary:
+        assert sum(v for (p, _), v in used.items() if p == s.pack_name) == sum(sizes) and s.containers == len([k for k in used if k[0] == s.pack_name])
