@@ -47,26 +47,29 @@ def multiset_hash(fields: Column, seed: int) -> Column:
 
 
 def same_multiset(a: Column, b: Column) -> Column:
-    """Whether two arrays hold the same elements equally often; compares counts, sorts nothing."""
+    """Whether two arrays hold the same elements equally often: by hash sets, and by counts only where elements repeat; sorts nothing."""
     times = lambda xs, y: F.size(F.filter(xs, lambda x: x == y))
-    return (F.size(a) == F.size(b)) & F.forall(a, lambda y: times(a, y) == times(b, y))
+    sets = (F.size(a) == F.size(b)) & (F.size(F.array_except(a, b)) == 0) & (F.size(F.array_except(b, a)) == 0)
+    once = F.size(F.array_distinct(a)) == F.size(a)
+    return sets & ((once & (F.size(F.array_distinct(b)) == F.size(b))) | F.forall(F.array_distinct(a), lambda y: times(a, y) == times(b, y)))
 
 
 def collapse(records: DataFrame, heavy_rows: int = 100_000) -> DataFrame:
     """(first_id, copy_id): for each record that is a copy, the smallest id of its class and its own id.
 
-    records: (id unique, fields array<string>). Classes come from a 122-bit commutative fingerprint in a hash aggregation with
-    map-side combine, so that a class with a third of all rows costs one row per task; joins back to such classes are
-    broadcast after a count. Every row is then compared with its class's first record field by field; rows that fail (a
-    collision of fingerprints) are grouped by their very fields instead. Empty input gives an empty result.
+    records: (id unique, fields array<string>). The table is read and normalised once, into a checkpoint. Classes come from a
+    122-bit commutative fingerprint in a hash aggregation with map-side combine, so that a class with a third of all rows
+    costs one row per task; joins back to such classes are broadcast after a count. Only rows of classes with copies go
+    on; each is compared with its class's first record field by field; rows that fail (a collision of fingerprints) are
+    grouped by their very fields instead. Empty input gives an empty result.
     """
-    keyed = records.withColumns({"f1": multiset_hash(F.col("fields"), 11), "f2": multiset_hash(F.col("fields"), 23)})
+    keyed = checkpoint(records.withColumns({"f1": multiset_hash(F.col("fields"), 11), "f2": multiset_hash(F.col("fields"), 23)}))
     classes = checkpoint(keyed.groupBy("f1", "f2").agg(F.min("id").alias("first_id"), F.count("*").alias("n")).filter("n > 1").withColumn("heavy", F.col("n") >= heavy_rows).drop("n"))
     on = ["f1", "f2"]
-    members = split_join(keyed, classes, on, "heavy")
-    firsts = members.filter("id = first_id").select(*on, F.col("fields").alias("first_fields"))
-    firsts = firsts.join(classes.select(*on, "heavy"), on)
-    judged = checkpoint(split_join(members.filter("id <> first_id"), firsts, on, "heavy").withColumn("same", same_multiset(F.col("fields"), F.col("first_fields"))).select("id", "first_id", "same", F.when(~F.col("same"), F.array_sort("fields")).alias("fields")))
+    members = checkpoint(split_join(keyed, classes, on, "heavy"))
+    firsts = members.filter("id = first_id").select(*on, F.col("fields").alias("first_fields")).join(classes.select(*on, "heavy"), on)
+    judged = split_join(members.filter("id <> first_id"), firsts, on, "heavy").withColumn("same", same_multiset(F.col("fields"), F.col("first_fields")))
+    judged = checkpoint(judged.select("id", "first_id", "same", F.when(~F.col("same"), F.array_sort("fields")).alias("fields")))
     good = judged.filter("same").select("first_id", F.col("id").alias("copy_id"))
     bad = judged.filter("not same")
     again = bad.join(bad.groupBy("fields").agg(F.min("id").alias("own_first")), "fields").filter("id <> own_first").select(F.col("own_first").alias("first_id"), F.col("id").alias("copy_id"))
