@@ -20,12 +20,24 @@ STRONG = "。！？!?；;\n\r  \x85\x0b\x0c"
 class PieceRule:
     """At most `limit` code points a piece, `overlap` of them from the end of the piece before.
 
-    A sentence or line end that fills at least `fill` of the limit is preferred to a later blank or comma.
+    Each cut goes to the farthest boundary in reach. With `fill`, another mode, a sentence or line end that fills at least that
+    part of the limit is preferred to a later blank or comma.
     """
 
     limit: int = 500
     overlap: int = 30
-    fill: float = 0.5
+    fill: float | None = None
+
+
+def strong_ends(codes: np.ndarray, can: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which of the boundaries `can` are ends of sentences, lines or texts."""
+    table = np.zeros(0x110000, bool)
+    table[[ord(c) for c in STRONG]] = True
+    strong = np.zeros(len(can), bool)
+    strong[1:] = table[codes] | ((codes == 46) & np.append(kinds()[codes[1:]] != 1, True))  # a point before a letter or digit ends no sentence
+    strong &= can
+    strong[end] = True
+    return strong
 
 
 def cut_table(texts: list[str], rule: PieceRule) -> dict[str, np.ndarray]:
@@ -50,14 +62,6 @@ def cut_table(texts: list[str], rule: PieceRule) -> dict[str, np.ndarray]:
     can[1:] |= natural
     can[begin] = False
     can[end] = True
-    strong = np.zeros(size + 1, bool)
-    table = np.zeros(0x110000, bool)
-    table[[ord(c) for c in STRONG]] = True
-    strong[1:] = table[codes]
-    point = (codes == 46) & np.append(kinds()[codes[1:]] != 1, True)  # a point before a letter or digit ends no sentence
-    strong[1:] |= point
-    strong &= can
-    strong[end] = True
     full = end > begin
     pos = np.flatnonzero(can)
     # Hard cuts: step by step through each stretch of more than `limit` without a boundary; the first piece has no overlap.
@@ -79,10 +83,11 @@ def cut_table(texts: list[str], rule: PieceRule) -> dict[str, np.ndarray]:
     far = pos[np.maximum(np.searchsorted(pos, reach, "right") - 1, 0)] if len(pos) else nodes
     after = np.searchsorted(pos, nodes, "right")
     nxt = pos[np.minimum(after, max(len(pos) - 1, 0))] if len(pos) else nodes
-    spos = np.flatnonzero(strong)
-    best = spos[np.maximum(np.searchsorted(spos, reach, "right") - 1, 0)] if len(spos) else nodes
     succ = np.where(far > nodes, far, np.where(nxt - nodes <= limit, nxt, reach))
-    succ = np.where((best >= nodes + int(rule.fill * limit)) & (best <= reach), best, succ)
+    if rule.fill is not None:
+        strong = np.flatnonzero(strong_ends(codes, can, end))
+        best = strong[np.maximum(np.searchsorted(strong, reach, "right") - 1, 0)] if len(strong) else nodes
+        succ = np.where((best >= nodes + int(rule.fill * limit)) & (best <= reach), best, succ)
     succ = np.where(reach >= end[of], end[of], succ)
     succ = np.minimum(succ, end[of])
     to = np.searchsorted(nodes, succ)

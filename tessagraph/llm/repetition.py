@@ -110,6 +110,11 @@ def _segments(letters_before: np.ndarray, prefix: np.ndarray, inverse: np.ndarra
 
 def measure(texts: list[str], k: int = PASSAGE) -> np.ndarray:
     """One row per text, one column per rule; see `repetition_ledger`."""
+    return measured(texts, k)[0]
+
+
+def measured(texts: list[str], k: int = PASSAGE) -> tuple[np.ndarray, np.ndarray]:
+    """`measure`, and the letters and digits of each text."""
     n = len(texts)
     codes, starts = code_points([t.lower() for t in texts], 1)
     doc_all = np.repeat(np.arange(n), np.diff(starts))
@@ -156,7 +161,7 @@ def measure(texts: list[str], k: int = PASSAGE) -> np.ndarray:
     if len(pair):
         at = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
         np.maximum.at(out[:, 9], pair[at] // 0x110000, np.diff(np.append(at, len(pair))) / width[pair[at] // 0x110000])
-    return out
+    return out, count
 
 
 def repetition_ledger(df: DataFrame, id_col: str, text_col: str, passage: int = PASSAGE) -> DataFrame:
@@ -174,10 +179,7 @@ def repetition_ledger(df: DataFrame, id_col: str, text_col: str, passage: int =
     weights = 1 << np.arange(len(RULES), dtype=np.int64)
 
     def run(ids: list, texts: list[str]) -> pa.RecordBatch:
-        m = measure(texts, passage)
-        letters = [sum(map(str.isalnum, t)) for t in texts] if False else None
-        codes, starts = code_points([t.lower() for t in texts], 1)
-        letters = np.add.reduceat(kinds()[codes] == 1, starts[:-1]).astype(np.int64)
+        m, letters = measured(texts, passage)
         return pa.RecordBatch.from_pydict({"id": pa.array(ids), "failed": pa.array(((m >= limits) * weights).sum(1)), "n_letters": pa.array(letters), "measures": pa.FixedSizeListArray.from_arrays(pa.array(m.ravel()), len(RULES)).cast(pa.list_(pa.float64()))})
 
     return src.mapInArrow(by_chunks(run, "id", "text"), f"id {dict(src.dtypes)['id']}, failed bigint, n_letters bigint, measures array<double>")

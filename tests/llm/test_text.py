@@ -92,6 +92,19 @@ def test_pieces_are_whole_and_small(rule):
             assert len(p) == 1 or len(x) > rule.limit
 
 
+def test_cuts_go_to_the_farthest_boundary():
+    text = "One two. " * 30 + "a b c d e f g h i j"
+    t = cut_table([text], PieceRule(40, 5))
+    ends = [i for i in range(1, len(text) + 1) if i == len(text) or text[i] in " ." or text[i - 1] in " ."]
+    at, want = 0, []
+    while at < len(text):
+        at = max(e for e in ends if at < e <= at + (40 if not want else 35))
+        want.append(at)
+    assert t["stop"].tolist() == want
+    strong = cut_table([text], PieceRule(40, 5, 0.5))["stop"].tolist()
+    assert all(text[e - 1] == "." for e in strong[:5])
+
+
 def test_pieces_on_tables(spark):
     df = spark.createDataFrame([(1, "ab. " * 300, "u"), (1, "ab. " * 300, "u"), (2, None, "u"), (3, "", "u"), (4, "q" * 1001, "u")], "doc_id bigint, text string, id string")
     rows = cut_pieces(df, "doc_id", "text").collect()
@@ -100,6 +113,19 @@ def test_pieces_on_tables(spark):
     assert cut_pieces(df.limit(0), "doc_id", "text").count() == 0
 
 
+def test_the_ledger_is_stored(spark, tmp_path, monkeypatch):
+    from tessagraph.llm import text_queries
+
+    d = str(tmp_path)
+    spark.createDataFrame([(1, "ab " * 60), (2, None), (3, "")], "doc_id bigint, text string").write.parquet(f"{d}/documents.parquet")
+    first = {tuple(r) for r in text_queries.p9_policies(spark, d).collect()}
+    monkeypatch.setattr(text_queries, "_ledger", None)
+    assert {tuple(r) for r in text_queries.p9_policies(spark, d).collect()} == first and text_queries.p9_ablation(spark, d).count() == 28
+    monkeypatch.undo()
+    spark.createDataFrame([(4, "cd " * 60)], "doc_id bigint, text string").write.mode("append").parquet(f"{d}/documents.parquet")
+    assert text_queries.p9_ledger(spark, d).count() == 4
+
+
 def covered(t, k):
     s = "".join(c for c in t.lower() if c.isalnum())
     seen, out = set(), set()
