@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessagraph.session import checkpoint, split_join
@@ -260,6 +260,13 @@ def graph_index(reps: DataFrame, dim: int, k: int, shards: int, rule: GraphRule)
     return checkpoint(sharded.groupBy("shard").applyInArrow(build, f"shard int, pos int, id {kind}, unit array<double>, edges array<int>, start boolean, near array<{kind}>, near_sim array<double>"))
 
 
+def own_partitions(spark: SparkSession, n: int) -> list[int]:
+    """For each of n partitions a whole number that Spark's hash partitioning sends there, so that n groups of rows get one each."""
+    tried = spark.range(n * (n.bit_length() + 12)).select(F.col("id").cast("int").alias("k"))
+    found = {r.p: r.k for r in tried.groupBy(F.pmod(F.hash("k"), F.lit(n)).alias("p")).agg(F.min("k").alias("k")).collect()}
+    return [found.get(i, i) for i in range(n)]
+
+
 def search_shards(index: DataFrame, dim: int, k: int, shards: int, slots: int, rule: GraphRule) -> DataFrame:
     """(id, other, similarity): the k nearest of each vector of the index in each shard.
 
@@ -309,7 +316,8 @@ def search_shards(index: DataFrame, dim: int, k: int, shards: int, slots: int, r
                 yield from look(graph, rest)
 
     blocks = max(1, -(-slots // shards))
-    cell = F.col("shard") * blocks + F.col("block")
+    keys = own_partitions(index.sparkSession, shards * blocks)
+    cell = F.element_at(F.array(*[F.lit(k) for k in keys]), F.col("shard") * blocks + F.col("block") + 1)
     g = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(cell.alias("cell"), "pos", "id", "unit", "edges", "start")
     q = index.select("id", "unit", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("shard"))).alias("shard"))
     q = q.select(cell.alias("cell"), F.lit(None).cast("int").alias("pos"), "id", "unit", F.lit(None).cast("array<int>").alias("edges"), F.lit(None).cast("boolean").alias("start"))
