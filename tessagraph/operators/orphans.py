@@ -1,18 +1,22 @@
 """References to vertices that are missing, were removed before, or were loaded only later.
 
 Plan: references are pre-aggregated per key and period with map-side combine, so that a key that holds a third of all rows
-costs one row per period. The aggregates meet the per-key history (first load, first removal) in a shuffle join; keys whose
-period is clean for certain drop out there. Only the references of suspect (key, period) pairs are joined again: pairs above
-`heavy_rows` references by a broadcast whose size is counted first, the others by a shuffle.
+costs one row per period. Pairs of key and period with `heavy_rows` references and more are split off, if their number allows a
+broadcast: they are checked against the loads of their keys alone, and their rows never shuffle. The other pairs meet the keys
+that were ever loaded in a shuffled anti-join, which gives the missing ones, and in a join with the first load and removal,
+which drops those that are clean for certain. Only the references of suspect pairs are joined again. Both parts' orphans, or
+their counts, are united.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from tessagraph.session import checkpoint, split_join
+from tessagraph.session import BROADCAST_ROWS, checkpoint, small
 
 KEY = ["ref_label", "ref_id"]
 #: Stands for the period of references without a time.
@@ -68,48 +72,80 @@ def removal_intervals(loads: DataFrame, removals: DataFrame) -> DataFrame:
     )
 
 
-def orphan_references(refs: DataFrame, loads: DataFrame, removals: DataFrame, heavy_rows: int = 100_000) -> DataFrame:
-    """The rows (edge_id, endpoint, ref_label, period, reason) of `refs` that refer to no vertex present at their time.
+@dataclass(frozen=True)
+class Orphans:
+    """Orphan references in disjoint parts (by key and period): of heavy keys, of all others, and without a label."""
+
+    parts: tuple[DataFrame, ...]
+
+    def rows(self) -> DataFrame:
+        """(edge_id, endpoint, ref_label, period, reason), each once."""
+        return reduce(DataFrame.unionByName, [_dated(p) for p in self.parts]).distinct()
+
+    def counts(self) -> DataFrame:
+        """(ref_label, endpoint, period, reason, orphans): each part is counted by itself, and the counts are united.
+
+        An edge whose rows name different vertices counts for each part that these fall into.
+        """
+        by = ["ref_label", "endpoint", "period", "reason"]
+        return reduce(DataFrame.unionByName, [_dated(p).distinct().groupBy(*by).agg(F.count("*").alias("n")) for p in self.parts]).groupBy(*by).agg(F.sum("n").alias("orphans"))
+
+
+def _dated(part: DataFrame) -> DataFrame:
+    return part.withColumn("period", F.nullif(F.col("period"), F.lit(UNDATED).cast("date")))
+
+
+def orphan_references(refs: DataFrame, loads: DataFrame, removals: DataFrame, heavy_rows: int = 100_000) -> Orphans:
+    """The references of `refs` to vertices that are not present at their time.
 
     refs: as of `edge_references`; loads and removals: ref_label, ref_id, ts. reason: 'missing' if the key was never loaded,
     else 'late' if every load is after t, else 'deleted' if the last load or removal up to t is a removal. Equal rows
     come out once. A null t can be neither late nor deleted; a null label or a load without time never matches. Empty
     tables give an empty result. Other columns of the inputs are ignored.
     """
-    refs = refs.select("edge_id", "endpoint", *KEY, "t", "period")
-    history = (
-        loads.select(*KEY, "ts", F.lit(True).alias("is_load")).unionByName(removals.select(*KEY, "ts", F.lit(False).alias("is_load")))
-        .groupBy(*KEY).agg(F.min(F.when(F.col("is_load"), F.col("ts"))).alias("first_load"), F.min(F.when(~F.col("is_load"), F.col("ts"))).alias("first_removal"))
-    )
-    suspects = checkpoint(
-        refs.groupBy(*KEY, "period").agg(F.count("*").alias("n"), F.min("t").alias("t_min"), F.max("t").alias("t_max"))
-        .join(history, KEY, "left")
-        .filter(F.col("first_load").isNull() | (F.col("t_min") < F.col("first_load")) | (F.col("first_removal") <= F.col("t_max")))
-        .withColumn("heavy", F.col("n") >= heavy_rows)
-        .withColumn("period", F.coalesce("period", F.lit(UNDATED).cast("date")))
-    )
-    on = [*KEY, "period"]
-    refs = refs.withColumn("period", F.coalesce("period", F.lit(UNDATED).cast("date")))
+    on, cols = [*KEY, "period"], ["edge_id", "endpoint", "ref_label", "period", "reason"]
+    refs = refs.select("edge_id", "endpoint", *KEY, "t", F.coalesce("period", F.lit(UNDATED).cast("date")).alias("period"))
+    keys = checkpoint(refs.filter(F.col("ref_label").isNotNull()).groupBy(*on).agg(F.count("*").alias("n"), F.min("t").alias("t_min"), F.max("t").alias("t_max")))
+    hot = keys.filter(F.col("n") >= heavy_rows)
+    few = 0 < hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    light = keys.join(F.broadcast(hot.select(*on)), on, "left_anti") if few else keys
+    events = loads.select(*KEY, "ts", F.lit(True).alias("is_load")).unionByName(removals.select(*KEY, "ts", F.lit(False).alias("is_load")))
+
+    def history(of: DataFrame) -> DataFrame:
+        return of.groupBy(*KEY).agg(F.min(F.when(F.col("is_load"), F.col("ts"))).alias("first_load"), F.min(F.when(~F.col("is_load"), F.col("ts"))).alias("first_removal")).filter(F.col("first_load").isNotNull())
+
+    def suspects(some: DataFrame, known: DataFrame) -> DataFrame:
+        """Keys that nothing loads, by an anti-join, and keys that may be late or deleted in their period."""
+        unclear = (F.col("t_min") < F.col("first_load")) | (F.col("first_removal") <= F.col("t_max"))
+        return some.join(known.select(*KEY), KEY, "left_anti").unionByName(some.join(known, KEY).filter(unclear), allowMissingColumns=True).drop("n")
+
+    def judged(rows: DataFrame, gone: DataFrame) -> DataFrame:
+        # The intervals of a key are disjoint, so that at most one of them meets a reference.
+        r, g = rows.alias("r"), gone.alias("g")
+        met = r.join(g, [F.col(f"r.{c}") == F.col(f"g.{c}") for c in on] + [F.col("t") >= F.col("gone_from"), F.col("gone_to").isNull() | (F.col("t") < F.col("gone_to"))], "left").select("r.*", "gone_from")
+        reason = F.when(F.col("first_load").isNull(), "missing").when(F.col("t") < F.col("first_load"), "late").when(F.col("gone_from").isNotNull(), "deleted")
+        return met.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(cols)
+
+    intervals = removal_intervals(loads, removals)
+
+    def gaps(some: DataFrame) -> DataFrame:
+        met = some.filter(F.col("first_removal") <= F.col("t_max")).join(intervals, KEY)
+        return met.filter((F.col("gone_from") <= F.col("t_max")) & (F.col("gone_to").isNull() | (F.col("gone_to") > F.col("t_min")))).select(*on, "gone_from", "gone_to")
+
+    cold = checkpoint(suspects(light, history(events)))
+    rest = refs.join(F.broadcast(hot.select(*on)), on, "left_anti") if few else refs
+    parts = [judged(rest.join(cold.select(*on, "first_load"), on), gaps(cold))]
+    if few:  # the rows of heavy keys stay where they are: their suspects, and their gaps after a count, are broadcast
+        own = F.broadcast(hot.select(*KEY).distinct())
+        warm = checkpoint(suspects(hot, history(events.join(own, KEY, "left_semi"))))
+        gone = checkpoint(gaps(warm))
+        parts.append(judged(refs.join(F.broadcast(warm.select(*on, "first_load")), on), F.broadcast(gone) if small(gone) else gone))
     # A null label equals no label: such references are missing without a join.
-    unlabelled = refs.filter(F.col("ref_label").isNull()).withColumn("reason", F.lit("missing"))
-    hit = split_join(refs, suspects.select(*on, "first_load", "first_removal", "heavy"), on, "heavy")
-    gone = removal_intervals(loads, removals)
-    gone = suspects.filter(F.col("first_removal") <= F.col("t_max")).join(gone, KEY).filter((F.col("gone_from") <= F.col("t_max")) & (F.col("gone_to").isNull() | (F.col("gone_to") > F.col("t_min")))).select(*on, "gone_from", "gone_to")
-    # The intervals of a key are disjoint, so that at most one of them meets a reference.
-    r, g = hit.alias("r"), gone.alias("g")
-    judged = r.join(g, [F.col(f"r.{c}") == F.col(f"g.{c}") for c in on] + [F.col("t") >= F.col("gone_from"), F.col("gone_to").isNull() | (F.col("t") < F.col("gone_to"))], "left").select("r.*", "gone_from")
-    judged = judged.withColumn("reason", F.when(F.col("first_load").isNull(), "missing").when(F.col("t") < F.col("first_load"), "late").when(F.col("gone_from").isNotNull(), "deleted"))
-    cols = ["edge_id", "endpoint", "ref_label", "period", "reason"]
-    out = judged.filter(F.col("reason").isNotNull()).select(cols).unionByName(unlabelled.select(cols)).distinct()
-    return out.withColumn("period", F.nullif(F.col("period"), F.lit(UNDATED).cast("date")))
-
-
-def orphan_counts(orphans: DataFrame) -> DataFrame:
-    """(ref_label, endpoint, period, reason, orphans): orphan references per endpoint label and month."""
-    return orphans.groupBy("ref_label", "endpoint", "period", "reason").agg(F.count("*").alias("orphans"))
+    parts.append(refs.filter(F.col("ref_label").isNull()).withColumn("reason", F.lit("missing")).select(cols))
+    return Orphans(tuple(parts))
 
 
-def graph_orphans(edges: DataFrame, vertices: list[DataFrame], removals: DataFrame, vertexlabels: DataFrame, heavy_rows: int = 100_000) -> DataFrame:
+def graph_orphans(edges: DataFrame, vertices: list[DataFrame], removals: DataFrame, vertexlabels: DataFrame, heavy_rows: int = 100_000) -> Orphans:
     """`orphan_references` for the tables of a property graph; the schema table is read to the driver (metadata)."""
     key_labels = {r["label"]: r["label_id"] for r in vertexlabels.filter(F.size("primary_keys") > 0).select("label", "label_id").collect()}
     loads = None

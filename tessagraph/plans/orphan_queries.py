@@ -5,23 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessagraph.operators.orphans import graph_orphans, orphan_counts
+from tessagraph.operators.orphans import Orphans, graph_orphans
 from tessagraph.session import table
 
 
-def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orphans(spark: SparkSession, sf_dir: str) -> Orphans:
     t = lambda n: table(spark, sf_dir, n)
     return graph_orphans(t("edges"), [t("vertices"), t("base_vertices")], t("vertex_removals"), t("vertexlabels"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per orphan endpoint of an edge, with its reason."""
-    return _orphans(spark, sf_dir).select("edge_id", "endpoint", "reason")
+    return _orphans(spark, sf_dir).rows().select("edge_id", "endpoint", "reason")
 
 
 def p2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orphan references per endpoint label and month of the edge's loaded_at."""
-    return orphan_counts(_orphans(spark, sf_dir)).withColumn("month", F.date_format("period", "yyyy-MM")).drop("period")
+    return _orphans(spark, sf_dir).counts().withColumn("month", F.date_format("period", "yyyy-MM")).drop("period")
 
 
 _SQL = r"""

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tessagraph.operators.orphans import graph_orphans, orphan_counts
+from tessagraph.operators.orphans import graph_orphans
 
 T = datetime(2024, 1, 1)
 VERTEX = "id string, label string, loaded_at timestamp_ntz, extra string"
@@ -33,7 +33,7 @@ def test_reasons_match_brute_force(spark, heavy_rows):
     names = ["1:a", " person:a\t", "1:b", "1:c", " 1:c", "1:d", "persons:a", None, "", "1:a"]
     edges = [edge(i, names[i % 10], names[(i * 7 + 3) % 10], at(i * 2 % 80, i % 3)) for i in range(120)]
     edges += edges[:15]
-    got = {(r.edge_id, r.endpoint, r.reason) for r in run(spark, edges, vertices, removals, heavy_rows).collect()}
+    got = {(r.edge_id, r.endpoint, r.reason) for r in run(spark, edges, vertices, removals, heavy_rows).rows().collect()}
     want = set()
     for i, out, label, inv, _, t, *_ in edges:
         for end, raw in (("outV", out), ("inV", inv)):
@@ -57,11 +57,11 @@ def test_reasons_match_brute_force(spark, heavy_rows):
 def test_hot_key_and_counts(spark):
     edges = [edge(i, "1:hub", "1:gone", at(i % 40)) for i in range(400)]
     out = run(spark, edges, [("1:hub", "person", at(0), None)], [], heavy_rows=10)
-    assert {(r.endpoint, str(r.period)[:7], r.reason, r.orphans) for r in orphan_counts(out).collect()} == {("inV", "2024-01", "missing", 310), ("inV", "2024-02", "missing", 90)}
+    assert {(r.endpoint, str(r.period)[:7], r.reason, r.orphans) for r in out.counts().collect()} == {("inV", "2024-01", "missing", 310), ("inV", "2024-02", "missing", 90)}
 
 
 def test_empty_and_null(spark):
-    assert run(spark, [], [], []).count() == 0
-    none = run(spark, [(1, "1:a", None, None, "person", at(0), None, None), (2, "1:a", "person", "1:a", "person", None, None, None)], [("1:a", "person", at(0), None), ("1:a", None, at(0), None)], [])
+    assert run(spark, [], [], []).rows().count() == 0
+    none = run(spark, [(1, "1:a", None, None, "person", at(0), None, None), (2, "1:a", "person", "1:a", "person", None, None, None)], [("1:a", "person", at(0), None), ("1:a", None, at(0), None)], []).rows()
     assert [(r.edge_id, r.endpoint, r.reason) for r in none.select("edge_id", "endpoint", "reason").collect()] == [(1, "outV", "missing")]
     assert none.filter(F.col("reason").isNull()).count() == 0
