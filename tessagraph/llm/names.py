@@ -9,7 +9,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
+from itertools import groupby
 
 import pandas as pd
 import pyarrow as pa
@@ -40,7 +41,9 @@ TRADE = {s: b for b, x in BUSINESS.items() for s in [b, *x.split()]}
 _PLAIN = str.maketrans({"ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ð": "d", "þ": "th", "ı": "i"})
 #: Suffix length of the index; and the ratio of the longest common subsequence from which two cores are one.
 SUFFIX, RATIO = 3, 0.75
-#: Readings of one block that are compared in one task; larger blocks are cut into chunks, and all pairs of chunks compared.
+#: Ratios from which given names that no list has are one, and below which two words are different ones.
+GIVEN, WORD = 0.85, 0.5
+#: Rows of one kind and field that one task links by itself; larger blocks are indexed across tasks, by suffix and in chunks of this size.
 CHUNK = 500
 
 
@@ -63,7 +66,7 @@ def one_slip(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i:] if len(a) > len(b) else a[i:] == b[i + 1 :]
 
 
-@cache
+@lru_cache(1 << 16)
 def _given(word: str) -> tuple[str, ...]:
     """Formal names that a word stands for, with one slip allowed in longer words."""
     if word in FORMAL:
@@ -74,7 +77,7 @@ def _given(word: str) -> tuple[str, ...]:
     return tuple(near or sorted({f for k, v in FORMAL.items() if len(k) >= 4 <= len(word) and one_slip(word, k) for f in v}))
 
 
-@cache
+@lru_cache(1 << 16)
 def _trade(word: str) -> str:
     """The line of business of a word, with one slip in longer words; 'legal' for legal forms; '' for others."""
     if word in TRADE:
@@ -90,8 +93,8 @@ def _trade(word: str) -> str:
     return ""
 
 
-def read_person(name: str) -> tuple[str, list[str], str]:
-    """(surname, formal given names, initial): any order of the parts; the initial stands only where no given name does."""
+def read_person(name: str) -> tuple[list[str], list[str], str]:
+    """(parts of the surname, formal given names, initial): any order of the parts; the initial stands only where no given name does."""
     s = re.sub(r"[\"“”„«»][^\"“”„«»]*[\"“”„«»]|\([^()]*\)", " ", name)
     if not re.search(r"[\s,.]", s.strip()):
         s = re.sub(r"(?<=[^\W\d_])(?=[A-ZÀ-Þ][a-zà-þ])", " ", s)
@@ -105,29 +108,29 @@ def read_person(name: str) -> tuple[str, list[str], str]:
     initials = [w for w in [*first, *last] if len(w) == 1]
     last = [w for w in last if len(w) > 1]
     if last and full:
-        return "".join([*last, *full[1:]]), list(_given(full[0])) or [full[0]], ""
+        return [*last, *full[1:]], list(_given(full[0])) or [full[0]], ""
     if last:
-        return "".join(last), [], initials[0] if initials else ""
+        return last, [], initials[0] if initials else ""
     if len(full) == 1 and not initials:
         for k in sorted(FORMAL, key=len, reverse=True):
             if len(k) >= 4 and full[0].startswith(k) and len(full[0]) >= len(k) + 3:
-                return full[0][len(k) :], FORMAL[k], ""
+                return [full[0][len(k) :]], FORMAL[k], ""
     if len(full) == 1:
-        return full[0], [], initials[0] if initials else ""
+        return full[:1], [], initials[0] if initials else ""
     at = next((i for i, w in enumerate(full) if w in FORMAL), None)
     if at is None:
         at = next((i for i, w in enumerate(full) if _given(w)), None)
     if at is None:
         if initials and first and len(first[0]) == 1:
-            return "".join(full), [], initials[0]
+            return full, [], initials[0]
         at = 0
     if not full:
-        return "", [], initials[0] if initials else ""
-    return "".join(full[:at] + full[at + 1 :]), list(_given(full[at])) or [full[at]], ""
+        return [], [], initials[0] if initials else ""
+    return full[:at] + full[at + 1 :], list(_given(full[at])) or [full[at]], ""
 
 
-def read_company(name: str, city: str | None, hint: str | None = None) -> tuple[str, list[str], str]:
-    """(own word, lines of business, ''): without legal forms, articles, and the place in brackets.
+def read_company(name: str, city: str | None, hint: str | None = None) -> tuple[list[str], list[str], str]:
+    """(own words, lines of business, ''): without legal forms, articles, and the place in brackets.
 
     `hint` is the line of business from another field, for names that leave it out.
     """
@@ -140,26 +143,22 @@ def read_company(name: str, city: str | None, hint: str | None = None) -> tuple[
     trades = sorted({k for k in kinds if k and k != "legal"})
     if own and not trades and hint:
         trades = sorted({k for k in map(_trade, re.findall(r"[^\W\d_]+", plain(hint).lower())) if k and k != "legal"})
-    return "".join(own) or "".join(words), trades if own else [], ""
+    return own or words, trades if own else [], ""
 
 
 def read_names(df: DataFrame) -> DataFrame:
-    """(id, kind, field, core, facet, initial) of (id, kind, name, field, place, hint); kind 'person' or another."""
+    """(id, kind, field, core, parts, facet, initial) of (id, kind, name, field, place, hint); kind 'person' or another."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            core, facet, initial = [], [], []
-            for kind, name, place, hint in zip(*[b[x].to_pylist() for x in ("kind", "name", "place", "hint")]):
-                c, f, i = read_person(name) if kind == "person" else read_company(name, place, hint)
-                core.append(c)
-                facet.append(f)
-                initial.append(i)
-            yield pa.RecordBatch.from_pydict({"id": b["id"], "kind": b["kind"], "field": b["field"], "core": pa.array(core, pa.string()), "facet": pa.array(facet, pa.list_(pa.string())), "initial": pa.array(initial, pa.string())})
+            seen = [read_person(n) if k == "person" else read_company(n, p, h) for k, n, p, h in zip(*[b[x].to_pylist() for x in ("kind", "name", "place", "hint")])]
+            parts, facet, initial = zip(*seen) if seen else ((), (), ())
+            yield pa.RecordBatch.from_pydict({"id": b["id"], "kind": b["kind"], "field": b["field"], "core": pa.array(["".join(p) for p in parts], pa.string()), "parts": pa.array(parts, pa.list_(pa.string())), "facet": pa.array(facet, pa.list_(pa.string())), "initial": pa.array(initial, pa.string())})
 
-    return df.select("id", "kind", "name", "field", "place", "hint").mapInArrow(run, f"id {dict(df.dtypes)['id']}, kind string, field string, core string, facet array<string>, initial string")
+    return df.select("id", "kind", "name", "field", "place", "hint").mapInArrow(run, f"id {dict(df.dtypes)['id']}, kind string, field string, core string, parts array<string>, facet array<string>, initial string")
 
 
-@cache
+@lru_cache(1 << 16)
 def lcs(a: str, b: str) -> int:
     """Length of the longest common subsequence, by bits."""
     if len(a) < len(b):
@@ -175,13 +174,97 @@ def lcs(a: str, b: str) -> int:
     return len(a) - v.bit_count()
 
 
+def ratio(a: str, b: str, least: float = 0.0) -> float:
+    """2 * longest common subsequence / sum of lengths; 0 for two empty ones, and where the lengths alone rule out `least`."""
+    total = len(a) + len(b)
+    if not total or 2 * min(len(a), len(b)) < least * total:
+        return 0.0
+    return 1.0 if a == b else 2 * lcs(a, b) / total
+
+
+def same_facet(kind: str, a: list[str], a_initial: str, b: list[str], b_initial: str) -> bool:
+    """Whether given names, or lines of business, can be one.
+
+    Known ones must share a formal name; names that no list has are one at a ratio of GIVEN. A person's initial stands for any
+    name that begins with it; a company may leave its line of business out.
+    """
+    if a and b:
+        return not set(a).isdisjoint(b) or (kind == "person" and len(a) == len(b) == 1 and a[0] not in FORMAL and b[0] not in FORMAL and ratio(a[0], b[0], GIVEN) >= GIVEN)
+    if kind != "person":
+        return True
+    if not a and not b:
+        return a_initial == b_initial
+    return any(x.startswith(a_initial or b_initial) for x in a or b)
+
+
+def likeness(kind: str, a: tuple, b: tuple, least: float) -> float:
+    """The ratio of two readings' cores (core, parts, facet, initial) if they can name one entity, else 0.
+
+    Cores of equally many words must agree word by word too, so that a long common word does not hide another one.
+    """
+    if not same_facet(kind, a[2], a[3], b[2], b[3]):
+        return 0.0
+    r = ratio(a[0], b[0], least)
+    if r < least or (len(a[1]) == len(b[1]) > 1 and any(max(ratio(x, y) for y in b[1]) < WORD for x in a[1])):
+        return 0.0
+    return r
+
+
 @F.pandas_udf(DoubleType())
-def lcs_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """2 * longest common subsequence / sum of lengths; 0 for two empty ones."""
+def likenesses(kind: pd.Series, a: pd.DataFrame, b: pd.DataFrame, least: pd.Series) -> pd.Series:
+    rows = lambda x: zip(x["core"], x["parts"].map(list), x["facet"].map(list), x["initial"])
+    return pd.Series([likeness(k, x, y, r) for k, x, y, r in zip(kind, rows(a), rows(b), least)], dtype="float64")
+
+
+def link_block(kind: str, rows: list[tuple], least: float, suffix: int = SUFFIX) -> list[tuple]:
+    """(id, entity) of the rows (id, core, parts, facet, initial) of one kind and field: `link_names` for a block that fits a task.
+
+    The suffix index is a table of the block: no suffix is discarded, as the block is refined by the other fields already.
+    """
+    ids: dict[tuple, list] = {}
+    for i, core, parts, facet, initial in rows:
+        ids.setdefault((core, tuple(parts), tuple(facet), initial), []).append(i)
+    nodes = sorted((min(v), k) for k, v in ids.items())
+    index: dict[tuple, list[int]] = {}
+    for n, (_, (core, _, facet, initial)) in enumerate(nodes):
+        for key in {("c", core[-suffix:]), *(("f", f[-suffix:]) for f in facet)}:
+            index.setdefault(key, []).append(n)
+        for letter in {f[0] for f in facet} if facet and kind == "person" else {initial}:
+            index.setdefault(("o", letter), []).append(n)
+    closed = [len(k[2]) == 1 for _, k in nodes]
+    links: dict[tuple[int, int], float] = {}
+    for (tag, _), some in index.items():
+        for x, a in enumerate(some):
+            for b in some[x + 1 :]:
+                if (a, b) not in links and (tag != "o" or not nodes[a][1][2] or not nodes[b][1][2]):
+                    links[a, b] = likeness(kind, nodes[a][1], nodes[b][1], least)
+    of = list(range(len(nodes)))
+
+    def top(n: int) -> int:
+        while of[n] != n:
+            of[n] = of[of[n]]
+            n = of[n]
+        return n
+
+    def unite(pairs) -> None:
+        for a, b in pairs:
+            x, y = top(a), top(b)
+            of[max(x, y)] = min(x, y)
+
+    good = {p: r for p, r in links.items() if r >= least}
+    unite(p for p in good if closed[p[0]] and closed[p[1]])
+    options: dict[int, dict[int, float]] = {}
+    for (a, b), r in good.items():
+        for n, to in ((a, b), (b, a)):
+            if closed[to] and not closed[n]:
+                best = options.setdefault(n, {})
+                best[top(to)] = max(best.get(top(to), 0.0), r)
+    unite(p for p in good if not closed[p[0]] and not closed[p[1]] and p[0] not in options and p[1] not in options)
     out = []
-    for x, y in zip(a, b):
-        out.append(2 * lcs.__wrapped__(x, y) / (len(x) + len(y)) if x or y else 0.0)
-    return pd.Series(out, dtype="float64")
+    for n, (_, key) in enumerate(nodes):
+        joined = [e for e, r in options[n].items() if r == max(options[n].values())] if n in options else [top(n)]
+        out += [(i, nodes[e][0]) for i in ids[key] for e in joined]
+    return out
 
 
 def candidate_pairs(nodes: DataFrame, suffix: int = SUFFIX, chunk: int = CHUNK) -> DataFrame:
@@ -240,46 +323,72 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select(F.col("a").alias("node"), F.col("l").alias("component"))
 
 
-def link_names(df: DataFrame, ratio: float = RATIO) -> DataFrame:
+def link_names(df: DataFrame, least: float = RATIO, chunk: int = CHUNK) -> DataFrame:
     """(id, entity): rows of df (id, kind, name, field, place, hint) that name one entity share the smallest id as entity.
 
     Readings with one formal given name or one line of business are linked if it is the same and their cores agree; their
     components are the entities. A reading that leaves it open (an initial, a short form of several names, no line of
-    business) joins the entity of the agreeing readings if it is one, else the one with the most similar core, else
-    none; open readings that agree only among themselves form an entity. Rows with a null name or field stand for themselves.
-    Equal readings are one node. Every id comes out once per different reading, as a rule once.
+    business) joins the entity with the most similar core; if several are equally similar, it comes out with each of them, as
+    its name can be read as either. Open readings that agree only among themselves form an entity. Rows with a null name or
+    field stand for themselves. Blocks of equal kind and field are linked in one task each, after one shuffle; the blocks
+    of more than `chunk` rows, known from counts, go through an index of suffixes across tasks, with the same result.
     """
-    usable_ = df.filter(F.col("name").isNotNull() & F.col("field").isNotNull()).select("id", "kind", "name", "field", "place", "hint").distinct()
-    read = checkpoint(read_names(usable_))
-    spelled = ["kind", "field", "core", "facet", "initial"]
+    usable = df.filter(F.col("name").isNotNull() & F.col("field").isNotNull()).select("id", "kind", "name", "field", "place", "hint").distinct()
+    read = checkpoint(read_names(usable))
+    kind_of = dict(read.dtypes)["id"]
+    block = ["kind", "field"]
+    big = checkpoint(read.groupBy(*block).agg(F.count("*").alias("n")).filter(F.col("n") > chunk).select(*block))
+    none = big.isEmpty()
+    narrow = big if none else F.broadcast(big) if small(big) else big
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for b in batches:
+                yield from zip(*[b[c].to_pylist() for c in ("kind", "field", "id", "core", "parts", "facet", "initial")])
+
+        ids, entities = [], []
+        type_ = pa.int64() if kind_of == "bigint" else pa.int32() if kind_of == "int" else pa.string()
+        made = lambda: pa.RecordBatch.from_pydict({"id": pa.array(ids, type_), "entity": pa.array(entities, type_)})
+        for (kind, _), some in groupby(rows(), key=lambda r: r[:2]):
+            for i, e in link_block(kind, [r[2:] for r in some], least):
+                ids.append(i)
+                entities.append(e)
+            if len(ids) > 10_000:
+                yield made()
+                ids.clear()
+                entities.clear()
+        if ids:
+            yield made()
+
+    few = (read if none else read.join(narrow, block, "left_anti")).repartition(*block).sortWithinPartitions(*block)
+    linked = few.mapInArrow(run, f"id {kind_of}, entity {kind_of}")
+    if not none:
+        linked = linked.unionByName(_link_across(read.join(narrow, block, "left_semi"), least, chunk))
+    linked = checkpoint(linked.distinct())
+    rest = df.filter(F.col("name").isNull() | F.col("field").isNull()).select("id", F.col("id").alias("entity")).distinct()
+    return linked.unionByName(rest.join(linked.select("id").distinct(), "id", "left_anti"))
+
+
+def _link_across(read: DataFrame, least: float, chunk: int) -> DataFrame:
+    """`link_names` for readings of large blocks, by joins."""
+    spelled = ["kind", "field", "core", "parts", "facet", "initial"]
     nodes = checkpoint(read.groupBy(*spelled).agg(F.min("id").alias("node")))
     of = read.join(nodes, spelled).select("id", "node")
-    info = nodes.select("node", "kind", "core", "facet", "initial", (F.size("facet") == 1).alias("closed"))
+    info = nodes.select("node", "kind", F.struct("core", "parts", "facet", "initial").alias("read"), (F.size("facet") == 1).alias("closed"))
     side = lambda x: info.select(*[F.col(c).alias(f"{x}_{c}") for c in info.columns]).withColumnRenamed(f"{x}_node", x)
-    pairs = candidate_pairs(nodes).join(side("a"), "a").join(side("b"), "b")
-    open_ = (F.size("a_facet") == 0) | (F.size("b_facet") == 0)
-    begins = lambda f, i: F.exists(f, lambda x: x.startswith(i))
-    fits = F.when(F.col("a_kind") != "person", open_ | F.arrays_overlap("a_facet", "b_facet")).otherwise(
-        F.arrays_overlap("a_facet", "b_facet")
-        | ((F.size("a_facet") == 0) & (F.size("b_facet") > 0) & begins("b_facet", F.col("a_initial")))
-        | ((F.size("b_facet") == 0) & (F.size("a_facet") > 0) & begins("a_facet", F.col("b_initial")))
-        | ((F.size("a_facet") == 0) & (F.size("b_facet") == 0) & (F.col("a_initial") == F.col("b_initial")))
-    )
-    scored = pairs.filter(fits).withColumn("ratio", lcs_ratio("a_core", "b_core")).filter(F.col("ratio") >= ratio)
+    pairs = candidate_pairs(nodes, chunk=chunk).join(side("a"), "a").join(side("b"), "b")
+    scored = pairs.withColumn("ratio", likenesses("a_kind", "a_read", "b_read", F.lit(least))).filter(F.col("ratio") >= least)
     links = checkpoint(scored.select("a", "b", "ratio", "a_closed", "b_closed"))
     firm = components(links.filter("a_closed and b_closed"))
     entity = info.filter("closed").select("node").join(firm, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     loose = links.filter("a_closed and not b_closed").select(F.col("b").alias("node"), F.col("a").alias("to"), "ratio").unionByName(links.filter("b_closed and not a_closed").select(F.col("a").alias("node"), F.col("b").alias("to"), "ratio"))
     options = loose.join(entity.withColumnRenamed("node", "to"), "to").groupBy("node", "component").agg(F.max("ratio").alias("ratio"))
-    top = options.groupBy("node").agg(F.max("ratio").alias("best"))
-    tied = options.join(top, "node").filter("ratio = best").groupBy("node").agg(F.count("*").alias("n"), F.min("component").alias("component"))
-    tied = checkpoint(tied)
-    alone = links.filter("not a_closed and not b_closed").join(tied.select(F.col("node").alias("a")), "a", "left_anti").join(tied.select(F.col("node").alias("b")), "b", "left_anti")
-    own = components(alone.select("a", "b"))
-    found = checkpoint(entity.unionByName(tied.filter("n = 1").select("node", "component")).unionByName(own))
-    linked = of.join(found, "node", "left").select("id", F.coalesce("component", "node").alias("entity"))
-    rest = df.filter(F.col("name").isNull() | F.col("field").isNull()).select("id", F.col("id").alias("entity")).distinct()
-    return linked.unionByName(rest.join(linked.select("id"), "id", "left_anti")).distinct()
+    best = options.groupBy("node").agg(F.max("ratio").alias("best"))
+    joined = checkpoint(options.join(best, "node").filter("ratio = best").select("node", "component"))
+    taken = joined.select("node").distinct()
+    alone = links.filter("not a_closed and not b_closed").join(taken.withColumnRenamed("node", "a"), "a", "left_anti").join(taken.withColumnRenamed("node", "b"), "b", "left_anti")
+    found = checkpoint(entity.unionByName(joined).unionByName(components(alone.select("a", "b"))))
+    return of.join(found, "node", "left").select("id", F.coalesce("component", "node").alias("entity"))
 
 
 def entity_pairs(linked: DataFrame) -> DataFrame:

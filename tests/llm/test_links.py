@@ -11,15 +11,15 @@ from tessagraph.llm.recall import recall
 
 @pytest.mark.parametrize("name", ["Matthew Trombemwyn", "Trombemwyn, Matt", 'Matthew "Matt" Trombemwyn', "TROMBEMWYN Matthew", "Dr. matthew  trómbemwyn", "MatthewTrombemwyn", "Mathew J. Trombemwyn", "trombemwyn matthew"])
 def test_persons(name):
-    assert read_person(name) == ("trombemwyn", ["matthew"], "")
+    assert read_person(name) == (["trombemwyn"], ["matthew"], "")
 
 
 def test_other_readings():
-    assert read_person("T. Weasgro") == ("weasgro", [], "t") == read_person("Weasgro, T.")
+    assert read_person("T. Weasgro") == (["weasgro"], [], "t") == read_person("Weasgro, T.")
     assert read_person("Ted Weasgro")[1] == ["edward", "theodore"]
     for n in ("Foods Trumcrai Grp", "Trumcrai Fds Grp.", "Trumcrai (Jodapimu) Foods Grp.", "The Trumcrai-Foods Company Limited", "TRUMCRAI FOODS"):
-        assert read_company(n, "Jodapimu") == ("trumcrai", ["foods"], "")
-    assert read_company("Trumcrai Grp", "x", "Foods")[1] == ["foods"] and read_company("Inc.", None)[0] == "inc" and read_person("") == ("", [], "")
+        assert read_company(n, "Jodapimu") == (["trumcrai"], ["foods"], "")
+    assert read_company("Trumcrai Grp", "x", "Foods")[1] == ["foods"] and read_company("Inc.", None)[0] == ["inc"] and read_person("") == ([], [], "")
 
 
 def test_lcs_and_slips():
@@ -42,15 +42,27 @@ def rows(spark, data):
 
 
 @pytest.mark.parametrize("chunk", [2, 500])
-def test_links(spark, monkeypatch, chunk):
-    import tessagraph.llm.names as names
-
-    monkeypatch.setattr(names.candidate_pairs, "__defaults__", (names.SUFFIX, chunk))
+def test_links(spark, chunk):
     data = [(i, "person", n, "1950-01-01", None, None, "z") for i, n in [("a", "Joseph Troscoley"), ("b", "Troscoley, Joe"), ("c", "Jospeh Troscoley"), ("d", "Josephine Troscoley"), ("e", "J. Troscoley"), ("f", "Robert Troscoley"), ("g", "R. Troscoely"), ("h", "Q. Alone"), ("i", "Q. Alone"), ("j", None)]]
     data += [("k", "person", "Joseph Troscoley", "1950-01-02", None, None, "z"), ("l", "person", "Joseph Troscoley", None, None, None, "z"), ("a", "person", "Joseph Troscoley", "1950-01-01", None, None, "z")]
     data += [(i, "company", n, "1990|X", "X", None, "z") for i, n in [("m", "Bimbork Energy Inc."), ("n", "Bimbork Enrg."), ("o", "Bimbork Mining"), ("p", "Bimbork Inc"), ("q", "Zarkel Foods"), ("r", "Zarkle Ltd")]]
-    got = {(r.id_a, r.id_b) for r in entity_pairs(link_names(rows(spark, data))).collect()}
-    assert got == {("a", "b"), ("a", "c"), ("b", "c"), ("f", "g"), ("h", "i"), ("m", "n"), ("q", "r")}
+    # Names that no list has: a slip in the given name, another given name, and another line of business.
+    data += [(i, "person", n, "1960-01-01", None, None, "z") for i, n in [("s", "Siobhan Keller"), ("t", "Siobahn Keller"), ("u", "Siegrun Keller")]]
+    data += [(i, "company", n, "1991|X", "X", None, "z") for i, n in [("v", "Nuvizeve Brewing"), ("w", "Nuvizeve Fishing"), ("x", "Nuvizeve Brewng Ltd")]]
+    got = {(r.id_a, r.id_b) for r in entity_pairs(link_names(rows(spark, data), chunk=chunk)).collect()}
+    want = {("a", "b"), ("a", "c"), ("b", "c"), ("f", "g"), ("h", "i"), ("m", "n"), ("q", "r"), ("s", "t"), ("v", "x")}
+    assert got == want | {(x, "e") for x in "abcd"} | {(x, "p") for x in "mno"}  # readings that fit two entities go with both
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_tasks_and_joins_link_alike(spark, seed):
+    rng = random.Random(seed)
+    given, last = ["Robert", "Bob", "Robrt", "R.", "Rosalind", "Edward", "Ted", "E.", "Theodore"], ["Weasgro", "Wesgro", "Weasgor", "Troscoley", "Trosley"]
+    trade = ["Energy", "Enrg", "Foods", "", "Mining"]
+    data = [(f"p{i:03}", "person", f"{rng.choice(given)} {rng.choice(last)}", f"1950-01-0{rng.randrange(1, 3)}", None, None, "z") for i in range(60)]
+    data += [(f"c{i:03}", "company", f"{rng.choice(last)} {rng.choice(trade)} Ltd", "1990|X", "X", None, "z") for i in range(40)]
+    one, many = ({tuple(r) for r in link_names(rows(spark, data), chunk=c).collect()} for c in (500, 3))
+    assert one == many and len({e for _, e in one}) > 5
 
 
 def test_links_empty(spark):
