@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessagraph.errors import NotFoundError
 from tessagraph.operators.orphans import canonical_endpoint
-from tessagraph.session import table
+from tessagraph.session import checkpoint, split_join, stored, table, version
 
 
 def _matches(df: DataFrame, label: str | None, properties: dict | None) -> DataFrame:
@@ -137,14 +138,34 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
 
 
 def graph_of_tables(spark: SparkSession, sf_dir: str) -> PropertyGraph:
-    """The graph of a data directory: each vertex as last loaded, each edge once, edges without both vertices left out."""
-    rows = table(spark, sf_dir, "vertices").unionByName(table(spark, sf_dir, "base_vertices")).filter(F.col("properties").isNotNull())
+    """The graph of a data directory: each vertex as last loaded unless it was removed after that, each edge once, edges
+    without both vertices left out.
+
+    Both tables are made once per application and state of the files, and then read from the shared folder.
+    """
+    names = ("vertices", "base_vertices", "edges", "vertex_removals", "vertexlabels")
+    raw = {n: table(spark, sf_dir, n) for n in names}
+    key = "graph-" + hashlib.blake2b(version(*raw.values()).encode(), digest_size=12).hexdigest()
+    v = stored(spark, f"{key}-vertices", lambda: _present_vertices(raw))
+    return PropertyGraph(v, stored(spark, f"{key}-edges", lambda: _known_edges(raw, v)))
+
+
+def _present_vertices(raw: dict[str, DataFrame]) -> DataFrame:
+    rows = raw["vertices"].unionByName(raw["base_vertices"]).filter(F.col("properties").isNotNull())
     last = Window.partitionBy("id").orderBy(F.desc("loaded_at"), "label", F.col("properties.name"), F.col("properties.city"))
-    v = rows.withColumn("r", F.row_number().over(last)).filter("r = 1").select("id", "label", "properties.*")
+    v = rows.withColumn("r", F.row_number().over(last)).filter("r = 1")
+    gone = raw["vertex_removals"].groupBy(F.col("vertex_id").alias("id"), "label").agg(F.max("removed_at").alias("removed_at"))
+    v = v.join(gone, ["id", "label"], "left").filter(F.col("removed_at").isNull() | (F.col("removed_at") <= F.col("loaded_at")))
+    return v.select("id", "label", "properties.*")
+
+
+def _known_edges(raw: dict[str, DataFrame], v: DataFrame) -> DataFrame:
     # The schema table is metadata of a few rows.
-    keyed = {r.label: r.label_id for r in table(spark, sf_dir, "vertexlabels").filter(F.size("primary_keys") > 0).collect()}
-    e = table(spark, sf_dir, "edges").filter(F.col("outV").isNotNull() & F.col("inV").isNotNull())
-    e = e.select(F.col("edge_id").alias("id"), "label", canonical_endpoint(F.col("outV"), F.col("outVLabel"), keyed).alias("src"), canonical_endpoint(F.col("inV"), F.col("inVLabel"), keyed).alias("dst"), "outVLabel", "inVLabel", "properties.*").distinct()
+    keyed = {r.label: r.label_id for r in raw["vertexlabels"].filter(F.size("primary_keys") > 0).collect()}
+    e = raw["edges"].filter(F.col("outV").isNotNull() & F.col("inV").isNotNull())
+    e = checkpoint(e.select(F.col("edge_id").alias("id"), "label", canonical_endpoint(F.col("outV"), F.col("outVLabel"), keyed).alias("src"), canonical_endpoint(F.col("inV"), F.col("inVLabel"), keyed).alias("dst"), "outVLabel", "inVLabel", "properties.*").distinct())
     for end, lab in (("src", "outVLabel"), ("dst", "inVLabel")):
-        e = e.join(v.select(F.col("id").alias(end), F.col("label").alias(lab)), [end, lab], "left_semi")
-    return PropertyGraph(v, e.select("id", "label", "src", "dst", "date", "city", "weight", "shareholdingRatio"))
+        # Endpoints are counted first, so that the rows of a hub stay where they are.
+        ends = e.groupBy(end, lab).agg((F.count("*") >= 100_000).alias("heavy")).join(v.select(F.col("id").alias(end), F.col("label").alias(lab)), [end, lab], "left_semi")
+        e = split_join(e, checkpoint(ends), [end, lab], "heavy")
+    return e.select("id", "label", "src", "dst", "date", "city", "weight", "shareholdingRatio")

@@ -10,7 +10,7 @@ from tessagraph.operators import learning as L
 from tessagraph.operators import messages as M
 from tessagraph.operators import metrics as S
 from tessagraph.operators import vectors as N
-from tessagraph.plans.graph_sql import E, undirected
+from tessagraph.plans.graph_sql import E, levels, undirected
 from tessagraph.session import checkpoint, table
 
 
@@ -221,7 +221,7 @@ _COS = f"({_DOT} / (sqrt({_DOT.format(a='{a}', b='{a}')}) * sqrt({_DOT.format(a=
 _E = "WITH RECURSIVE " + E + " "
 _KNOWS = "WITH RECURSIVE " + undirected(("knows",)) + ", x AS (SELECT id AS node, coalesce(age, 0) / 100 AS val FROM v WHERE label = 'person'), k AS (SELECT src, dst FROM e WHERE label = 'knows')"
 _Q = "q AS (SELECT embedding AS q FROM embeddings ORDER BY vec_id LIMIT 1)"
-_DEP = "WITH RECURSIVE " + undirected(("reports_to",)) + ", bfs(s0, n, d) AS (SELECT id, id, 0 FROM v WHERE label = 'department' UNION SELECT s0, u.dst, d + 1 FROM bfs JOIN u ON u.src = n WHERE d < 2), c AS (SELECT s0 AS source, n AS node, 1 / (min(d) + 1) AS c FROM bfs GROUP BY ALL)"
+_DEP = "WITH RECURSIVE " + undirected(("reports_to",)) + ", " + levels("bfs", "SELECT id, id, 0 FROM v WHERE label = 'department'", "u", "s0") + ", c AS (SELECT s0 AS source, n AS node, 1 / (d + 1) AS c FROM bfs)"
 SQL = {
     "vec_search_l2": f"WITH {_Q}, t AS (SELECT vec_id AS id, {_L2.format(a='embedding', b='q')} AS distance FROM embeddings, q ORDER BY distance, id LIMIT 10) SELECT id, round(distance, 6) AS distance FROM t WHERE distance < 1.9",
     "vec_search_cosine": f"WITH {_Q}, t AS (SELECT vec_id AS id, 1 - {_COS.format(a='embedding', b='q')} AS distance FROM embeddings, q ORDER BY distance, id LIMIT 10) SELECT id, abs(round(distance, 6)) AS distance FROM t WHERE distance < 0.95",
@@ -238,9 +238,9 @@ SQL = {
     "gml_subgraphs": "WITH RECURSIVE " + undirected(("knows", "created")) + ", p AS (SELECT id AS pair, src AS a, dst AS b FROM e WHERE label = 'knows' AND src <> dst), n AS (SELECT pair, a AS node FROM p UNION SELECT pair, b FROM p UNION SELECT pair, u.dst FROM p JOIN u ON u.src IN (a, b)), g AS (SELECT n.pair, count(*) AS edges FROM n JOIN u ON u.src = n.node JOIN n m ON m.pair = n.pair AND m.node = u.dst JOIN p ON p.pair = n.pair WHERE NOT (u.src = a AND u.dst = b) AND NOT (u.src = b AND u.dst = a) GROUP BY n.pair) SELECT pair, count(*) AS nodes, any_value(coalesce(edges, 0)) AS edges FROM n LEFT JOIN g USING (pair) GROUP BY pair",
     "gml_drnl": "WITH RECURSIVE " + undirected(("knows", "created")) + """, p AS (SELECT id AS pair, src AS a, dst AS b FROM e WHERE label = 'knows' AND src <> dst), n AS (SELECT pair, a AS node FROM p UNION SELECT pair, b FROM p UNION SELECT pair, u.dst FROM p JOIN u ON u.src IN (a, b)),
 g AS (SELECT n.pair, u.src, u.dst, a, b FROM n JOIN u ON u.src = n.node JOIN n m ON m.pair = n.pair AND m.node = u.dst JOIN p ON p.pair = n.pair WHERE NOT (u.src = a AND u.dst = b) AND NOT (u.src = b AND u.dst = a)),
-xa(pair, node, d) AS (SELECT pair, a, 0 FROM p UNION SELECT xa.pair, g.dst, d + 1 FROM xa JOIN g ON g.pair = xa.pair AND g.src = xa.node AND g.src <> g.b AND g.dst <> g.b WHERE d < 4),
-xb(pair, node, d) AS (SELECT pair, b, 0 FROM p UNION SELECT xb.pair, g.dst, d + 1 FROM xb JOIN g ON g.pair = xb.pair AND g.src = xb.node AND g.src <> g.a AND g.dst <> g.a WHERE d < 4),
-da AS (SELECT pair, node, min(d) AS x FROM xa GROUP BY ALL), db AS (SELECT pair, node, min(d) AS y FROM xb GROUP BY ALL),
+ga AS (SELECT pair, src, dst FROM g WHERE src <> b AND dst <> b), gb AS (SELECT pair, src, dst FROM g WHERE src <> a AND dst <> a),
+""" + levels("xa", "SELECT pair, a, 0 FROM p", "ga", "pair") + ", " + levels("xb", "SELECT pair, b, 0 FROM p", "gb", "pair") + """,
+da AS (SELECT pair, n AS node, d AS x FROM xa), db AS (SELECT pair, n AS node, d AS y FROM xb),
 z AS (SELECT CASE WHEN n.node IN (p.a, p.b) THEN 1 ELSE coalesce(1 + CASE WHEN x < y THEN x ELSE y END + ((x + y) // 2) * ((x + y) // 2 + (x + y) % 2 - 1), 0) END AS z FROM n JOIN p USING (pair) LEFT JOIN da ON da.pair = n.pair AND da.node = n.node LEFT JOIN db ON db.pair = n.pair AND db.node = n.node)
 SELECT CAST(z AS INT) AS z, count(*) AS nodes FROM z GROUP BY 1""",
     "gml_sample_neighbors": _E + ", s AS (SELECT DISTINCT src, dst FROM e JOIN v ON v.id = dst AND v.label = 'company' WHERE e.label = 'serve') SELECT src, dst FROM s QUALIFY row_number() OVER (PARTITION BY dst ORDER BY length(src), src) <= 5",

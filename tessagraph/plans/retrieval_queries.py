@@ -123,12 +123,12 @@ QUERIES = {f.__name__: f for f in (kg_triples, kg_load_vertices, kg_load_rejecte
 
 _E, _V = "WITH RECURSIVE " + E, "WITH " + V
 _K = _V + ", k AS (SELECT DISTINCT CAST(price AS BIGINT) AS q, unnest([name, name || 'zz']) AS keyword FROM v WHERE label = 'software' AND price < 60), h AS (SELECT q, keyword, v.id FROM k JOIN v ON v.id IN (keyword, '1:' || keyword, '2:' || keyword, '3:' || keyword, '4:' || keyword, '5:' || keyword) QUALIFY row_number() OVER (PARTITION BY q ORDER BY v.id, keyword) <= 8)"
-_P = _E + """, a AS (SELECT src, dst, id, false AS back FROM e WHERE label IN ('created', 'knows') UNION ALL SELECT dst, src, id, true FROM e WHERE label IN ('created', 'knows') AND src <> dst),
-c AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY src ORDER BY id, back) <= 4),
-st AS (SELECT DISTINCT CAST(price AS BIGINT) AS q, id AS start FROM v WHERE label = 'software' AND price < 60),
+_P = _E + """, a AS (SELECT src, dst, id, false AS back FROM e UNION ALL SELECT dst, src, id, true FROM e WHERE src <> dst),
+c AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY src ORDER BY id, back) <= 40),
+st AS (SELECT DISTINCT CAST(price AS BIGINT) AS q, id AS start FROM v WHERE label = 'software'),
 one AS (SELECT q, start, [start, c.dst] AS p, [NULL, c.id] AS es FROM st JOIN c ON c.src = start WHERE c.dst <> start),
 two AS (SELECT q, start, list_append(p, c.dst) AS p, list_append(es, c.id) AS es FROM one JOIN c ON c.src = p[2] WHERE NOT list_contains(p, c.dst)),
-pth AS (SELECT *, row_number() OVER (PARTITION BY q, start ORDER BY len(p), p, es) AS path_no FROM (FROM one UNION ALL FROM two) QUALIFY path_no <= 6)"""
+pth AS (SELECT *, row_number() OVER (PARTITION BY q, start ORDER BY len(p), p, es) AS path_no FROM (FROM one UNION ALL FROM two) QUALIFY path_no <= 30)"""
 SQL = {
     "kg_triples": _E + " SELECT label AS p, count(*) AS n, count(DISTINCT src) AS subjects FROM e WHERE label IN ('created', 'knows') AND NOT contains(src, '(') AND NOT contains(dst, '(') AND NOT contains(src, ', ') AND NOT contains(dst, ', ') GROUP BY label",
     "kg_load_vertices": _V + " SELECT '1:' || name AS id, label, max(coalesce(CAST(age AS VARCHAR), '0')) AS age, NULL AS price FROM v WHERE label = 'person' GROUP BY name, label UNION ALL SELECT '2:' || name, label, NULL, max(CAST(price AS VARCHAR)) FROM v WHERE label = 'software' AND (price IS NULL OR price % 7 <> 0) GROUP BY name, label",

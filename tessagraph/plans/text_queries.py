@@ -90,7 +90,7 @@ _CODE = _strip("regexp_extract(gremlin, '(?s)```gremlin(.*?)```', 1)")
 SQL = {
     "txt_sentences": f"WITH x AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '{X.SENTENCE}'), lambda s: {_strip('s')}), lambda s: s <> '') AS s FROM documents WHERE text IS NOT NULL) SELECT doc_id, CAST(generate_subscripts(s, 1) - 1 AS INT) AS no, unnest(s) AS sentence FROM x",
     "txt_words": f"WITH x AS (SELECT pair_id, {_tok('query')} AS t FROM gremlin_pairs) SELECT pair_id, array_to_string(list_sort(list_distinct(list_concat(t, list_filter(flatten(list_transform(t, lambda w: regexp_extract_all(w, '[\\p{{L}}\\p{{N}}_]+'))), lambda w: w NOT IN ({_STOP}))))), ' ') AS words FROM x",
-    "txt_cooccurrence": f"WITH x AS (SELECT doc_id, list_filter({_tok('text')}, lambda w: w NOT IN ({_STOP})) AS t FROM documents WHERE lang = 'en'), w AS (SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM x), p AS (SELECT a.doc_id, least(a.w, b.w) AS a, greatest(a.w, b.w) AS b FROM w a JOIN w b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i + 1 AND a.i + 2 WHERE a.w <> b.w) SELECT a, b, count(DISTINCT doc_id) AS docs, count(*) AS n FROM p GROUP BY a, b HAVING count(DISTINCT doc_id) >= 5",
+    "txt_cooccurrence": f"WITH x AS (SELECT doc_id, list_filter({_tok('text')}, lambda w: w NOT IN ({_STOP})) AS t FROM documents), w AS (SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM x), p AS (SELECT a.doc_id, least(a.w, b.w) AS a, greatest(a.w, b.w) AS b FROM w a JOIN w b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i + 1 AND a.i + 2 WHERE a.w <> b.w) SELECT a, b, count(DISTINCT doc_id) AS docs, count(*) AS n FROM p GROUP BY a, b HAVING count(DISTINCT doc_id) >= 5",
     "txt_bleu": f"""WITH q AS (SELECT string_split('the worker of the archived registry feeds each missing scheduler', ' ') AS r), x AS (SELECT doc_id, {_tok('text')} AS c, r FROM documents, q WHERE text IS NOT NULL),
 h AS (SELECT doc_id, len(c) AS lc, len(r) AS lr, list_sum(list_transform(list_distinct(r), lambda g: least(len(list_filter(r, lambda y: y = g)), len(list_filter(c, lambda y: y = g))))) AS h1,
  list_sum(list_transform(list_distinct(list_transform(range(1, len(r)), lambda i: r[i] || ' ' || r[i + 1])), lambda g: least(len(list_filter(range(1, len(r)), lambda i: r[i] || ' ' || r[i + 1] = g)), len(list_filter(range(1, len(c)), lambda i: c[i] || ' ' || c[i + 1] = g))))) AS h2 FROM x)

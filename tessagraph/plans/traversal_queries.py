@@ -187,7 +187,10 @@ QUERIES = {f.__name__: f for f in (
     weighted_paths, multi_node_paths, simple_paths, template_paths, weighted_template, crosspoints, rings, rays, fusiform, personal_rank, neighbor_rank,
 )}
 
-_U = undirected(SOCIAL)
+_U, _ALL = undirected(SOCIAL), undirected(SOCIAL, every=True)
+#: The nodes of each level with the smallest of their shortest paths.
+_LEVELS = "l0 AS (SELECT s AS n, [s] AS p FROM s), " + ", ".join(f"l{i} AS (SELECT u.dst AS n, min(list_append(p, u.dst)) AS p FROM l{i - 1} JOIN u ON u.src = n WHERE u.dst NOT IN ({' UNION ALL '.join(f'SELECT n FROM l{j}' for j in range(i))}) GROUP BY u.dst)" for i in (1, 2, 3, 4))
+_END = "t AS (SELECT max(n) AS t FROM l4)"
 _BFS = "bfs(n, d) AS (SELECT s, 0 FROM s UNION SELECT u.dst, d + 1 FROM bfs JOIN u ON u.src = n WHERE d < {0}), least AS (SELECT n, min(d) AS d FROM bfs GROUP BY n)"
 _WALK = "walk(p, n) AS (SELECT [s], s FROM s UNION ALL SELECT list_append(p, u.dst), u.dst FROM walk JOIN u ON u.src = n WHERE len(p) <= {0} AND NOT list_contains(p, u.dst))"
 _T = ", t AS (SELECT max(n) AS t FROM least WHERE d = {0})"
@@ -205,16 +208,16 @@ SQL = {
     "relations": _with(E) + " SELECT DISTINCT a.label || '--' || e.label || '-->' || b.label AS relation FROM e JOIN v a ON a.id = src JOIN v b ON b.id = dst",
     "degrees": _with(E) + " SELECT src AS id, count(*) AS degree FROM (SELECT src, dst FROM e UNION SELECT dst, src FROM e) GROUP BY src",
     "remove_vertices": _with(E) + ", gone AS (SELECT id FROM v WHERE label = 'company' AND industry = 'Energy') SELECT label, count(*) AS edges FROM e WHERE src NOT IN (FROM gone) AND dst NOT IN (FROM gone) GROUP BY label",
-    "k_out": _with(_U, _BFS.format(3)) + " SELECT s AS source, n AS node FROM least, s WHERE d = 3",
-    "k_neighbor": _with(_U, _BFS.format(4)) + " SELECT s AS source, n AS node, d AS depth FROM least, s WHERE d > 0",
+    "k_out": _with(_ALL, _LEVELS) + " SELECT s AS source, n AS node FROM l3, s",
+    "k_neighbor": _with(_ALL, _LEVELS) + " SELECT s AS source, n AS node, d AS depth FROM (" + " UNION ALL ".join(f"SELECT n, {i} AS d FROM l{i}" for i in (1, 2, 3, 4)) + "), s",
     "k_neighbor_all": _with(undirected(("reports_to",)), "bfs(s0, n, d) AS (SELECT id, id, 0 FROM v WHERE label = 'department' UNION SELECT s0, u.dst, d + 1 FROM bfs JOIN u ON u.src = n WHERE d < 2), least AS (SELECT s0, n, min(d) AS d FROM bfs GROUP BY ALL)") + " SELECT s0 AS source, d AS depth, count(*) AS n FROM least WHERE d > 0 GROUP BY ALL",
     "same_neighbors": _with(E) + ", u AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e), top AS (SELECT src FROM e WHERE label = 'serve' GROUP BY src ORDER BY count(*) DESC, src LIMIT 2) SELECT dst AS node FROM u WHERE src IN (FROM top) GROUP BY dst HAVING count(*) = 2",
-    "jaccard_top": _with(undirected(("created",))) + ", deg AS (SELECT src, count(*) AS n FROM u GROUP BY src), c AS (SELECT x.dst AS a, y.dst AS b, count(*) AS common FROM u x JOIN u y ON x.src = y.src AND x.dst < y.dst WHERE x.src IN (SELECT src FROM deg WHERE n <= 1000) AND x.dst LIKE '1:%' GROUP BY ALL) SELECT a, b, common, round(common / (p.n + q.n - common), 6) AS jaccard FROM c JOIN deg p ON p.src = a JOIN deg q ON q.src = b ORDER BY jaccard DESC, common DESC, a, b LIMIT 10",
-    "shortest_paths_from": _with(_U, _WALK.format(4)) + ", best AS (SELECT n, min(len(p)) AS l FROM walk GROUP BY n) SELECT s AS source, w.n AS node, CAST(l - 1 AS DOUBLE) AS weight, array_to_string(min(p), '>') AS path FROM walk w JOIN best b ON w.n = b.n AND len(p) = l, s WHERE w.n <> s GROUP BY ALL",
-    "shortest_path": _with(_U, _BFS.format(4) + _T.format(4), _WALK.format(4)) + " SELECT s AS source, t AS node, 4.0::DOUBLE AS weight, array_to_string(min(p), '>') AS path FROM walk, s, t WHERE n = t AND len(p) = 5 GROUP BY s, t",
-    "all_shortest_paths": _with(_U, _BFS.format(4) + _T.format(4), _WALK.format(4)) + " SELECT array_to_string(p, '>') AS path FROM walk, t WHERE n = t AND len(p) = 5",
+    "jaccard_top": _with(undirected(("created",))) + ", deg AS (SELECT src, count(*) AS n FROM u GROUP BY src), c AS (SELECT x.dst AS a, y.dst AS b, count(*) AS common FROM u x JOIN u y ON x.src = y.src AND x.dst < y.dst WHERE x.dst LIKE '1:%' GROUP BY ALL) SELECT a, b, common, round(common / (p.n + q.n - common), 6) AS jaccard FROM c JOIN deg p ON p.src = a JOIN deg q ON q.src = b ORDER BY jaccard DESC, common DESC, a, b LIMIT 10",
+    "shortest_paths_from": _with(_ALL, _LEVELS) + " SELECT s AS source, n AS node, CAST(len(p) - 1 AS DOUBLE) AS weight, array_to_string(p, '>') AS path FROM (" + " UNION ALL ".join(f"FROM l{i}" for i in (1, 2, 3, 4)) + "), s",
+    "shortest_path": _with(_ALL, _LEVELS, _END) + " SELECT s AS source, t AS node, 4.0::DOUBLE AS weight, array_to_string(p, '>') AS path FROM l4 JOIN t ON n = t, s",
+    "all_shortest_paths": _with(_ALL, _LEVELS, _END, "b3 AS (SELECT n FROM l3 WHERE n IN (SELECT src FROM u JOIN t ON dst = t))", "b2 AS (SELECT n FROM l2 WHERE n IN (SELECT src FROM u WHERE dst IN (FROM b3)))", "b1 AS (SELECT n FROM l1 WHERE n IN (SELECT src FROM u WHERE dst IN (FROM b2)))") + " SELECT array_to_string([s, b1.n, b2.n, b3.n, t], '>') AS path FROM s, t, b1 JOIN u x ON x.src = b1.n JOIN b2 ON b2.n = x.dst JOIN u y ON y.src = b2.n JOIN b3 ON b3.n = y.dst",
     "weighted_paths": _with(undirected(("partners",)), "st AS (SELECT src, dst, min(w) AS w FROM (SELECT src, dst, coalesce(weight, 1.0) AS w FROM e WHERE label = 'partners' UNION ALL SELECT dst, src, coalesce(weight, 1.0) FROM e WHERE label = 'partners') GROUP BY ALL)", "walk(p, n, w) AS (SELECT [s], s, 0.0::DOUBLE FROM s UNION ALL SELECT list_append(p, st.dst), st.dst, walk.w + st.w FROM walk JOIN st ON st.src = n WHERE len(p) <= 3 AND NOT list_contains(p, st.dst))") + " SELECT s AS source, n AS node, round(w, 6) AS weight, array_to_string(p, '>') AS path FROM walk, s WHERE n <> s QUALIFY row_number() OVER (PARTITION BY n ORDER BY w, p) = 1",
-    "multi_node_paths": _with(_U, _BFS.format(2)) + ", top AS (SELECT n FROM least WHERE d > 0 ORDER BY n LIMIT 4), b2(s0, n, d) AS (SELECT n, n, 0 FROM top UNION SELECT s0, u.dst, d + 1 FROM b2 JOIN u ON u.src = n WHERE d < 4) SELECT s0 AS source, n AS node, CAST(min(d) AS DOUBLE) AS weight FROM b2 WHERE n IN (FROM top) AND s0 < n GROUP BY ALL",
+    "multi_node_paths": _with(_ALL, _LEVELS, "top AS (SELECT n FROM (FROM l1 UNION ALL FROM l2) ORDER BY n LIMIT 4)", "b2(s0, n, d) AS (SELECT n, n, 0 FROM top UNION SELECT s0, u.dst, d + 1 FROM b2 JOIN u ON u.src = n WHERE d < 4)") + " SELECT s0 AS source, n AS node, CAST(min(d) AS DOUBLE) AS weight FROM b2 WHERE n IN (FROM top) AND s0 < n GROUP BY ALL",
     "simple_paths": _with(_U, _BFS.format(2) + _T.format(2), _WALK.format(4)) + " SELECT s AS source, t AS target, array_to_string(p, '>') AS path FROM walk, s, t WHERE n = t",
     "template_paths": _with(E) + " SELECT a.src AS source, array_to_string([a.src, a.dst, b.dst, c.src], '>') AS path FROM e a JOIN e b ON b.src = a.dst AND b.label = 'created' JOIN e c ON c.dst = b.dst AND c.label = 'created' JOIN v ON v.id = a.src AND v.label = 'person' WHERE a.label = 'knows' AND a.src <> a.dst AND c.src NOT IN (a.src, a.dst)",
     "weighted_template": _with(undirected(("partners",)), "st AS (SELECT src, dst, coalesce(weight, 1.0) AS w FROM e WHERE label = 'partners' UNION ALL SELECT dst, src, coalesce(weight, 1.0) FROM e WHERE label = 'partners' AND src <> dst)") + " SELECT array_to_string([s, a.dst, b.dst], '>') AS path, round(a.w + b.w, 6) AS weight FROM s JOIN st a ON a.src = s JOIN st b ON b.src = a.dst WHERE a.dst <> s AND b.dst NOT IN (s, a.dst)",
