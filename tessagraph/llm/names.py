@@ -43,8 +43,8 @@ _PLAIN = str.maketrans({"ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "
 SUFFIX, RATIO = 3, 0.75
 #: Ratios from which given names that no list has are one, and below which two words are different ones.
 GIVEN, WORD = 0.85, 0.5
-#: Rows of one kind and field that one task links by itself; larger blocks are indexed across tasks, by suffix and in chunks of this size.
-CHUNK = 500
+#: Rows of one kind and field that one task links by itself; larger blocks are indexed across tasks, by suffix and in chunks of PAIRED.
+CHUNK, PAIRED = 5_000, 500
 
 
 def plain(s: str) -> str:
@@ -267,7 +267,7 @@ def link_block(kind: str, rows: list[tuple], least: float, suffix: int = SUFFIX)
     return out
 
 
-def candidate_pairs(nodes: DataFrame, suffix: int = SUFFIX, chunk: int = CHUNK) -> DataFrame:
+def candidate_pairs(nodes: DataFrame, suffix: int = SUFFIX, chunk: int = PAIRED) -> DataFrame:
     """(a, b): ids a < b of nodes (node, kind, field, core, facet) of one kind and field that share a suffix of a part.
 
     The index holds, for the core and each facet, the suffix of the least length (a part that is shorter as a whole): two parts
@@ -363,7 +363,7 @@ def link_names(df: DataFrame, least: float = RATIO, chunk: int = CHUNK) -> DataF
     few = (read if none else read.join(narrow, block, "left_anti")).repartition(*block).sortWithinPartitions(*block)
     linked = few.mapInArrow(run, f"id {kind_of}, entity {kind_of}")
     if not none:
-        linked = linked.unionByName(_link_across(read.join(narrow, block, "left_semi"), least, chunk))
+        linked = linked.unionByName(_link_across(read.join(narrow, block, "left_semi"), least, min(chunk, PAIRED)))
     linked = checkpoint(linked.distinct())
     rest = df.filter(F.col("name").isNull() | F.col("field").isNull()).select("id", F.col("id").alias("entity")).distinct()
     return linked.unionByName(rest.join(linked.select("id").distinct(), "id", "left_anti"))
