@@ -27,16 +27,18 @@ REFUSALS = [
 OTHER_HEADS = ["select", "match", "optional", "with", "prefix", "ask", "construct", "describe", "insert", "update", "delete", "create", "merge", "call", "unwind", "for", "let", "return", "query", "mutation", "db"]
 
 _FENCE = r"(?i)```+[ \t]*(?:gremlin|groovy|sql|cypher|sparql|json|text|java|python|plaintext)?"
-_EDGE = r"^[\s\p{Z}\x0B\x85]+|[\s\p{Z}\x0B\x85]+$"
-#: What may stand before a traversal: comment lines, prompts, an assignment, the long way to name its source. (pattern, replacement)
-_HEADS = [(r"^(?:[ \t]*(?://|#|--)[^\n]*\n\s*)+((?i:g|graph)\s*\.)", r"$1"), (r"^(?:(?i:gremlin)\s*>|:>|>+)\s*", ""), (r"^(?:def\s+|var\s+)?\w+\s*=\s*((?i:g|graph)\s*\.)", r"$1"), (r"^(?i:graph)\s*\.\s*(?i:traversal)\s*\(\s*\)", "g"), (r"^[\"'](g\s*\.\s*[VE]\s*\()", r"$1")]
+_BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+#: Comment lines, which may stand before and in a traversal, and how one begins.
+_COMMENT, _BEGIN = r"(?m)^[ \t]*(?://|#|--)[^\n]*(?:\n|$)", r"^\s*(?i:g|graph)\s*\."
+#: What else may stand before a traversal: prompts, an assignment, the long way to name its source. (pattern, replacement)
+_HEADS = [(r"^\s+", ""), (r"^(?:(?i:gremlin)\s*>|:>|>+)\s*", ""), (r"^(?:def\s+|var\s+)?\w+\s*=\s*((?i:g|graph)\s*\.)", r"$1"), (r"^(?i:graph)\s*\.\s*(?i:traversal)\s*\(\s*\)", "g"), (r"^[\"'](g\s*\.\s*[VE]\s*\()", r"$1")]
 _TRAVERSAL = r"^(?i:g)\s*(?:$|…|\.\s*(?:$|…|\.|(?i:V|E|addV|addE|inject|with|tx|io|mergeV|mergeE)))"
-_QUOTED = r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'"
-_TAIL, _STEP = r"(?:[,(\[{…+=&|]|\.\.\.)\s*;?\s*$", r"(?:\.\s*\w*|\W\.)\s*;?\s*$"
+_ESCAPE, _QUOTED = r"(?s)\\.", r"\"[^\"]*\"|'[^']*'"
+_TAIL, _STEP = r"(?:[,(\[{…+=&|]|\.\.\.)$", r"(?:\.\s*\w*|\W\.)$"
 _LABELS = "the|your|user|original|my|that|is|was|question|query|prompt|input|asked|you|q|问题|提问|问|题目|原问题|用户|您的|你的|是|answer|回答|答案"
 #: Letters outside the block of a query's own words: Latin with marks, and every other script.
 _SCRIPT = r"[\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{2AF}\x{370}-\x{1FFF}\x{2C00}-\x{2DFF}\x{3040}-\x{D7FF}\x{F900}-\x{FFDC}\x{10000}-\x{2FFFF}]"
-_PROSE, _OTHER = r"[A-Za-z]{2,},? +[A-Za-z]{2,}", r"^(?i:\{|(?:" + "|".join(OTHER_HEADS) + r")[\s.({?*])"
+_PROSE, _OTHER = r"[A-Za-z]{2},? +[A-Za-z]{2}", r"^(?i:\{|(?:" + "|".join(OTHER_HEADS) + r")[\s.({?*])"
 #: Letters and digits from which on an answer that begins like the question counts as its copy.
 PREFIX = 12
 
@@ -64,33 +66,37 @@ def pair_defects(df: DataFrame, question: str, answer: str) -> DataFrame:
     'empty': null, nothing but punctuation, or only a placeholder. 'truncated': an unclosed quote, a bracket that its own kind does
     not close, or an abrupt end (a separator or an ellipsis in any language; in a traversal a step without its brackets
     too). 'refusal': begins by declining, in one of ten languages. 'copy': the question, once or repeated, with at most
-    labels around it; or it begins with the question, or is the beginning of at least half of it (both from PREFIX letters
+    twelve labels around it; or it begins with the question, or is the beginning of at least half of it (both from PREFIX letters
     on). 'other_language': no traversal, and the scripts do not fit (letters outside the basic Latin block beyond
     quotes), or words follow each other as in prose, or it begins like another query language. The rules do not exclude each
     other: a refusal in prose is in another language too. Code fences, comments before a traversal, prompts, the long name of
     its source and typographic quotes are no defects. A null question copies nothing. Whole values are read.
     """
-    body = _swap(F.coalesce(F.col(answer), F.lit("")), (_FENCE, "\n"), (r"[‘’‛′＇`]", "'"), (r"[“”„″＂]", '"'), (_EDGE, ""))
-    found = let(F.struct(_swap(body, *_HEADS).alias("code"), _bare(F.col(question)).alias("q")), lambda x: let(_shape(x), _rules))
+    raw = F.coalesce(F.col(answer), F.lit(""))
+    raw = F.translate(F.when(raw.contains("```"), _swap(raw, (_FENCE, "\n"))).otherwise(raw), "‘’‛′＇`“”„″＂", "''''''" + '"' * 5)
+    code = let(F.trim(raw, F.lit(_BLANKS)), lambda b: F.when(b.rlike(r"^[gG]\s*\."), b).otherwise(let(_swap(b, (_COMMENT, "")), lambda c: _swap(F.when(c.rlike(_BEGIN), c).otherwise(b), *_HEADS))))
+    found = let(code, lambda c: let(F.struct(c.alias("code"), F.col(question).alias("question"), c.rlike(_TRAVERSAL).alias("traversal"), _swap(c, (_ESCAPE, ""), (_QUOTED, "S")).alias("open")), _rules))
     return df.withColumn("defects", found)
 
 
-def _shape(x: Column) -> Column:
-    bare = _swap(x.code, (_QUOTED, "S"))
-    return F.struct(x.code.alias("code"), x.q.alias("q"), _bare(x.code).alias("bare"), x.code.rlike(_TRAVERSAL).alias("traversal"), bare.alias("open"))
-
-
 def _rules(z: Column) -> Column:
-    empty = (z.bare == "") | z.bare.isin(PLACEHOLDERS)
+    """A traversal can only be broken off: it holds more than a placeholder, begins with no refusal and with no question's words."""
     quote = F.regexp_replace(z.open, r"([\p{L}])'([\p{L}])", "$1$2").rlike(r"[\"']")
-    cut = quote | open_brackets(z.open).rlike(r"[(\[{]") | z.open.rlike(_TAIL) | (z.traversal & (z.open.rlike(_STEP) | (F.length(F.regexp_replace(z.open, r"\s", "")) <= 2)))
+    tail = F.rtrim(z.open, F.lit(_BLANKS + ";"))
+    cut = quote | tail.rlike(_TAIL) | (z.traversal & (tail.rlike(_STEP) | (F.length(F.regexp_replace(z.open, r"\s", "")) <= 2))) | open_brackets(z.open).rlike(r"[(\[{]")
+    text = let(F.struct(_bare(z.code).alias("bare"), _bare(z.question).alias("q")), lambda y: _text_rules(z, y, cut))
+    none = F.array().cast("array<string>")
+    return F.when(z.traversal, F.when(cut, F.array(F.lit("truncated"))).otherwise(none)).otherwise(text)
+
+
+def _text_rules(z: Column, y: Column, cut: Column) -> Column:
     refusal = F.lower(F.regexp_replace(z.code, r"^[\s\p{Z}#/*\-\"'>(\[]+", "")).rlike("^(?:" + "|".join(REFUSALS) + ")")
-    left = F.replace(z.bare, z.q, F.lit(""))
-    own = F.regexp_replace(z.bare, f"^(?:{_LABELS})+", "")
-    begins = lambda b: b.startswith(z.q) | (z.q.startswith(b) & (F.length(b) >= PREFIX) & (2 * F.length(b) >= F.length(z.q)))
-    copy = (z.q != "") & ((z.bare.contains(z.q) & ((left == "") | left.rlike(f"^(?:{_LABELS})*$"))) | ((F.length(z.q) >= PREFIX) & (begins(z.bare) | begins(own))))
-    other = ~z.traversal & (z.open.rlike(_SCRIPT) | z.open.rlike(_PROSE) | z.open.rlike(_OTHER))
-    rules = {"empty": empty, "truncated": cut & (z.bare != ""), "refusal": refusal, "copy": copy, "other_language": other}
+    left = F.replace(y.bare, y.q, F.lit(""))
+    own = F.regexp_replace(y.bare, f"^(?:{_LABELS}){{1,12}}", "")
+    begins = lambda b: b.startswith(y.q) | (y.q.startswith(b) & (F.length(b) >= PREFIX) & (2 * F.length(b) >= F.length(y.q)))
+    copy = (y.q != "") & ((y.bare.contains(y.q) & ((left == "") | left.rlike(f"^(?:{_LABELS}){{0,12}}$"))) | ((F.length(y.q) >= PREFIX) & (begins(y.bare) | begins(own))))
+    other = z.open.rlike(_SCRIPT) | z.open.rlike(_PROSE) | z.open.rlike(_OTHER)
+    rules = {"empty": (y.bare == "") | y.bare.isin(PLACEHOLDERS), "truncated": cut & (y.bare != ""), "refusal": refusal, "copy": copy, "other_language": other}
     return F.filter(F.array(*[F.when(hit, name) for name, hit in rules.items()]), lambda d: d.isNotNull())
 
 
@@ -106,23 +112,26 @@ def defect_sql() -> str:
     bare = lambda c: f"lower({swap(c, '[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}]', '')})"
     hit = lambda c, p: f"regexp_matches({c}, {text(p)})"
     body = "coalesce(gremlin, '')"
-    for p, by in ((_FENCE, "\n"), ("[‘’‛′＇`]", "'"), ("[“”„″＂]", '"'), (_EDGE, "")):
+    for p, by in ((_FENCE, "\n"), ("[‘’‛′＇`]", "'"), ("[“”„″＂]", '"')):
         body = swap(body, p, by)
-    code = "body"
+    blanks = " || ".join(f"chr({ord(c)})" for c in _BLANKS)
+    body = f"trim({body}, {blanks})"
+    tail = f"rtrim(open, {blanks} || ';')"
+    code = f"(CASE WHEN {hit(swap('body', _COMMENT, ''), _BEGIN)} THEN {swap('body', _COMMENT, '')} ELSE body END)"
     for p, by in _HEADS:
         code = swap(code, p, by)
     begins = lambda b: f"(starts_with({b}, q) OR (starts_with(q, {b}) AND length({b}) >= {PREFIX} AND 2 * length({b}) >= length(q)))"
     closed = "list_reduce(list_prepend(regexp_replace(open, '[^()\\[\\]{}]', '', 'g'), list_transform(range(length(open)), lambda i: '')), lambda s, i: replace(replace(replace(s, '()', ''), '[]', ''), '{}', ''))"
-    cut = f"""({hit(swap("open", "([" + chr(92) + "p{L}])'([" + chr(92) + "p{L}])", "$1$2"), "[" + chr(34) + "']")} OR {hit(closed, "[([{]")} OR {hit("open", _TAIL)} OR (traversal AND ({hit("open", _STEP)} OR length({swap("open", chr(92) + "s", "")}) <= 2)))"""
+    cut = f"""({hit(swap("open", "([" + chr(92) + "p{L}])'([" + chr(92) + "p{L}])", "$1$2"), "[" + chr(34) + "']")} OR {hit(closed, "[([{]")} OR {hit(tail, _TAIL)} OR (traversal AND ({hit(tail, _STEP)} OR length({swap("open", chr(92) + "s", "")}) <= 2)))"""
     return f"""
 WITH a AS (SELECT pair_id, source, lang, coalesce({bare("query")}, '') AS q0, query IS NULL AS no_q, {body} AS body FROM gremlin_pairs),
 b AS (SELECT *, q0 AS q, {code} AS code FROM a),
-c AS (SELECT *, {bare("code")} AS bare, {hit("code", _TRAVERSAL)} AS traversal, {swap("code", _QUOTED, "S")} AS open FROM b),
-d AS (SELECT *, replace(bare, q, '') AS left_, {swap("bare", f"^(?:{_LABELS})+", "")} AS own FROM c),
+c AS (SELECT *, {bare("code")} AS bare, {hit("code", _TRAVERSAL)} AS traversal, {swap(swap("code", _ESCAPE, ""), _QUOTED, "S")} AS open FROM b),
+d AS (SELECT *, replace(bare, q, '') AS left_, {swap("bare", f"^(?:{_LABELS}){{1,12}}", "")} AS own FROM c),
 e AS (SELECT pair_id, source, lang, list_filter([
   CASE WHEN bare = '' OR bare IN ({", ".join(map(text, PLACEHOLDERS))}) THEN 'empty' END,
   CASE WHEN {cut} AND bare <> '' THEN 'truncated' END,
   CASE WHEN {hit("lower(" + swap("code", "^[" + chr(92) + "s" + chr(92) + "p{Z}#/*" + chr(92) + "-" + chr(34) + "'>(" + chr(92) + "[]+", "") + ")", "^(?:" + "|".join(REFUSALS) + ")")} THEN 'refusal' END,
-  CASE WHEN q <> '' AND ((contains(bare, q) AND (left_ = '' OR {hit("left_", f"^(?:{_LABELS})*$")})) OR (length(q) >= {PREFIX} AND ({begins("bare")} OR {begins("own")}))) THEN 'copy' END,
+  CASE WHEN q <> '' AND ((contains(bare, q) AND (left_ = '' OR {hit("left_", f"^(?:{_LABELS}){{0,12}}$")})) OR (length(q) >= {PREFIX} AND ({begins("bare")} OR {begins("own")}))) THEN 'copy' END,
   CASE WHEN NOT traversal AND ({hit("open", _SCRIPT)} OR {hit("open", _PROSE)} OR {hit("open", _OTHER)}) THEN 'other_language' END], lambda x: x IS NOT NULL) AS defects FROM d)
 """

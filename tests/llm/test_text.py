@@ -61,7 +61,7 @@ def test_every_defect_comes_out(spark):
     cases = [
         ("g.V().has('name','x'].count()", ["truncated"]), ("g.V().hasLabel(']').out(]", ["truncated"]), ("g.V().hasLabel(')').out()", []), ("graph.traversal().V().count()", []), (":> g.V().count()", []), ("x = g.V().count()", []),
         ("Je regrette, impossible.", ["refusal", "other_language"]), ("Ich möchte das nicht beantworten.", ["refusal", "other_language"]), ("SELECT a FROM b WHERE (c = 'x", ["truncated", "other_language"]), ("Which companies does", ["copy", "other_language"]),
-        ("Which companies does Ann serve? g.V().count()", ["copy", "other_language"]), ("Sorry, which companies does Ann serve", ["refusal", "other_language"]), ("...", ["empty"]), ("Анна служит", ["other_language"]), ("42", []), ("g" * 90_000, []),
+        ("Which companies does Ann serve? g.V().count()", ["copy", "other_language"]), ("Sorry, which companies does Ann serve", ["refusal", "other_language"]), ("...", ["empty"]), ("Анна служит", ["other_language"]), ("42", []), ("g" * 90_000, []), ("g.V()" + " " * 90_000 + ".out()", []), ("x" + " " * 90_000 + "x", []), ("g.V('" + "\\n" * 30_000 + "')", []), ("(" * 3_000, ["empty"]), ("# a\n  " * 9_000 + "g.V()", []),
     ]
     df = spark.createDataFrame([(i, q, a) for i, (a, _) in enumerate(cases)], "pair_id int, query string, gremlin string")
     got = {r.pair_id: list(r.defects) for r in pair_defects(df, "query", "gremlin").collect()}
