@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -94,3 +94,74 @@ def batch_answers(questions: DataFrame, template: str, model: Callable[[str], st
     x = questions if context is None else questions.join(context, "q", "left")
     cols = {"query": F.col("question")} | ({} if context is None else {"context": F.col("context")})
     return x.select("q", "question", generate(fill(template, **cols), model).alias("answer"))
+
+
+@dataclass(frozen=True)
+class TextModel:
+    """A text generator: `call` from prompt to answer; where a provider streams, `stream` gives the answer piece by piece."""
+
+    call: Callable[[str], str]
+    stream: Callable[[str], Iterator[str]] | None = None
+    count: Callable[[str], int] = lambda text: len(text.split())
+    name: str = "own"
+
+    def __call__(self, prompt: str) -> str:
+        return self.call(prompt)
+
+    def pieces(self, prompt: str) -> Iterator[str]:
+        """The answer in pieces; in one where the provider does not stream."""
+        yield from self.stream(prompt) if self.stream else [self.call(prompt)]
+
+    async def later(self, prompt: str) -> str:
+        """The answer without blocking the caller's loop."""
+        import asyncio
+
+        return await asyncio.to_thread(self.call, prompt)
+
+    def tokens(self, text: str) -> int:
+        return self.count(text)
+
+
+#: What models are asked for: answers, extraction, and query texts (fixed values).
+ROLES = ("chat", "extract", "query")
+
+
+@dataclass
+class Models:
+    """Providers by name, and which one plays each role; embedders and rerankers likewise. Nothing here talks to a network itself."""
+
+    providers: dict[str, Callable[[], TextModel]] = field(default_factory=dict)
+    roles: dict[str, str] = field(default_factory=dict)
+    embedders: dict[str, Callable[[list[str]], np.ndarray]] = field(default_factory=lambda: {"hashing": hashing_embedder()})
+
+    def register(self, name: str, make: Callable[[], TextModel]) -> Models:
+        self.providers[name] = make
+        return self
+
+    def assign(self, role: str, name: str) -> Models:
+        if role not in ROLES or name not in self.providers:
+            raise ValueError(f"no role {role!r} or no provider {name!r}")
+        self.roles[role] = name
+        return self
+
+    def of(self, role: str) -> TextModel:
+        """The model of a role; the chat model where the role has none."""
+        name = self.roles.get(role) or self.roles.get("chat")
+        if name is None:
+            raise ValueError(f"no provider for {role!r}")
+        return self.providers[name]()
+
+    def embedder(self, name: str = "hashing") -> Callable[[list[str]], np.ndarray]:
+        return self.embedders[name]
+
+
+def answer_sheet(questions: DataFrame, kinds: Mapping[str, Callable[[DataFrame], DataFrame]], preview: int | None = None) -> DataFrame:
+    """(q, question, one column per kind): a sheet of questions (q, question) answered in several ways at once; `preview` rows at most.
+
+    kinds: column name -> from (q, question) to (q, .., answer), such as partial calls of `plans.flows.answers`.
+    """
+    asked = questions if preview is None else questions.orderBy("q").limit(preview)
+    out = asked.select("q", "question")
+    for name, f in kinds.items():
+        out = out.join(f(asked).select("q", F.col("answer").alias(name)), "q", "left")
+    return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 import re
 
 import numpy as np
@@ -69,21 +70,26 @@ def _rank(ts: list[str], window: int, alpha: float, rounds: int) -> list[tuple[s
     b = np.concatenate([x[k:] for k in range(1, window + 1)] or [x[:0]])
     a, b = a[a != b], b[a != b]
     n = len(names)
-    if not len(a):
-        return [(w, 0.0) for w in names]
+    if not n:
+        return []
     out = np.bincount(a, minlength=n) + np.bincount(b, minlength=n)
     r = np.full(n, 1 / n)
     for _ in range(rounds):
         share = r / np.maximum(out, 1)
-        r = (1 - alpha) / n + alpha * (np.bincount(a, share[b], n) + np.bincount(b, share[a], n))
+        # What words without neighbours hold goes to all words alike.
+        new = (1 - alpha + alpha * r[out == 0].sum()) / n + alpha * (np.bincount(a, share[b], n) + np.bincount(b, share[a], n))
+        done, r = np.abs(new - r).sum() < 1e-12 * n, new
+        if done:
+            break
     r = r / r.max()
     return [(w, round(float(s), 9)) for w, s in zip(names, r)]
 
 
-def textrank(tokens_col: Column, window: int = 3, alpha: float = 0.85, rounds: int = 30, double_tokens: bool = False) -> Column:
+def textrank(tokens_col: Column, window: int = 3, alpha: float = 0.85, rounds: int = 100, double_tokens: bool = False) -> Column:
     """array<struct<word, score>>: rank in the graph of words at most `window` apart, over the largest rank.
 
-    double_tokens repeats every token, as some rankers do. A text with a single word scores 0.
+    double_tokens repeats every token, as some rankers do. The best word of a text scores 1, a single word too; it ends when
+    the ranks stand still.
     """
     window = window if 1 <= window <= 10 else 3
 
@@ -203,3 +209,33 @@ def chunks(text: Column, mode: str = "paragraph", size: int = 500, overlap: int
         return col.map(lambda t: split_text(t, size, overlap))
 
     return split(text)
+
+
+def legacy_chunks(text: Column, mode: str = "paragraph", language: str = "zh") -> Column:
+    """The older splitter: 'paragraph' is 500 with 30 overlapping, 'sentence' 50 without, both recursive by the language's marks."""
+    marks = {"zh": ["\n\n", "\n", "。", "，"], "en": ["\n\n", "\n", ".", ",", " "]}[language]
+    if mode == "document":
+        return chunks(text, "document")
+    size, overlap = {"paragraph": (500, 30), "sentence": (50, 0)}[mode]
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def split(col: pd.Series) -> pd.Series:
+        return col.map(lambda t: split_text(t, size, overlap, marks))
+
+    return split(text)
+
+
+def tagged_tokens(text: Column, tagger: Callable[[list[str]], list[str]] | None = None, keep: Sequence[str] = ("NN", "NNP", "NNS", "JJ"), language: str = "english") -> Column:
+    """Tokens whose part of speech `tagger` names among `keep`; without a tagger all that are no stop words.
+
+    The tagger is any function from a text's tokens to their tags; it runs in Arrow batches.
+    """
+    t = without_stop_words(tokens(text), language)
+    if tagger is None:
+        return t
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def run(col: pd.Series) -> pd.Series:
+        return col.map(lambda ts: [w for w, tag in zip(ts, tagger(list(ts))) if tag in keep] if ts is not None else [])
+
+    return run(t)

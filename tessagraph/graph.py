@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +33,19 @@ def _page(df: DataFrame, key: str, page: str | None, limit: int) -> DataFrame:
     return df.orderBy(key).limit(limit) if limit > 0 else df
 
 
+def quoted_id(value: object, path: bool = False) -> str:
+    """A vertex id as JSON (texts in quotes, UUIDs behind U), for a path with every reserved sign escaped.
+
+    Whole numbers must fit 64 bits; truth values and other types are errors.
+    """
+    if isinstance(value, bool) or not isinstance(value, (str, int, uuid.UUID)):
+        raise TypeError(f"no vertex id: {value!r}")
+    if isinstance(value, int) and not -(1 << 63) <= value < 1 << 63:
+        raise ValueError(f"{value} does not fit 64 bits")
+    text = f"U{json.dumps(str(value))}" if isinstance(value, uuid.UUID) else json.dumps(value)
+    return quote(text, safe="") if path else text
+
+
 @dataclass(frozen=True)
 class PropertyGraph:
     """vertices (id, label, properties...) and edges (id, label, src, dst, properties...), ids unique."""
@@ -103,6 +119,20 @@ class PropertyGraph:
         at = F.col("id").isin(list(ids))
         return PropertyGraph(self.vertices.withColumns({k: F.when(~at, F.col(k)) for k in keys}), self.edges)
 
+    def append_edge_properties(self, ids: Sequence, properties: dict[str, Column]) -> PropertyGraph:
+        """`append_properties` for edges."""
+        return PropertyGraph(self.vertices, PropertyGraph(self.edges, self.edges).append_properties(ids, properties).vertices)
+
+    def eliminate_edge_properties(self, ids: Sequence, keys: Sequence[str]) -> PropertyGraph:
+        return PropertyGraph(self.vertices, PropertyGraph(self.edges, self.edges).eliminate_properties(ids, keys).vertices)
+
+    def rebuilt(self, label: str | None = None) -> PropertyGraph:
+        """The graph with derived tables made anew: edges of a label (or all) whose endpoints are gone leave, repeated ids count once."""
+        at = F.lit(True) if label is None else F.col("label") == label
+        ids = self.vertices.select("id").distinct()
+        own = self.edges.filter(at).dropDuplicates(["id"]).join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+        return PropertyGraph(self.vertices.dropDuplicates(["id"]), own if label is None else self.edges.filter(~at).unionByName(own))
+
     def remove_vertices(self, ids: DataFrame) -> PropertyGraph:
         """Without the vertices `ids` (id) and without their edges."""
         gone = ids.select("id").distinct()

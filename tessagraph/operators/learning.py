@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
@@ -64,11 +64,19 @@ def mask_splits(edges: DataFrame, masks: dict[str, str]) -> DataFrame:
     return union_all([edges.filter(F.col(c) == 1).select("src", "dst", F.lit(s).alias("split")) for s, c in masks.items()])
 
 
-def negative_edges(positive: DataFrame, nodes: int, per_edge: int = 1, seed: int = 7) -> DataFrame:
-    """(src, dst): pairs of node numbers that are no edge, about per_edge for each edge, drawn by hash; loops and repeats go."""
-    h = lambda salt: F.pmod(F.xxhash64("src", "dst", F.lit(seed), "k", F.lit(salt)), F.lit(nodes))
-    drawn = positive.select("src", "dst", F.explode(F.sequence(F.lit(1), F.lit(per_edge))).alias("k")).select(h(1).alias("src"), h(2).alias("dst")).filter("src <> dst").distinct()
-    return drawn.join(positive.select("src", "dst"), ["src", "dst"], "left_anti")
+def negative_edges(positive: DataFrame, nodes: int, per_edge: int = 1, seed: int = 7, attempts: int = 8, draw: Callable[[Column, int], Column] | None = None) -> DataFrame:
+    """(src, dst): per_edge pairs of node numbers for each edge that are no edge and no loop, drawn by hash; repeats count once.
+
+    Each place draws `attempts` times and keeps its first pair that is free, so that a place stays empty only if all its draws
+    hit edges. `draw` gives a whole number for a column and a salt; by default a 64-bit hash.
+    """
+    draw = draw or (lambda c, salt: F.xxhash64(c, F.lit(seed), F.lit(salt)))
+    e = positive.select("src", "dst").distinct()
+    place = e.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(per_edge - 1)), lambda k: (F.col("src") * nodes + F.col("dst")) * per_edge + k)).alias("place"))
+    tries = place.select("place", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))).alias("try")).withColumn("c", F.col("place") * attempts + F.col("try"))
+    drawn = tries.select("place", "try", F.pmod(draw(F.col("c"), 1), F.lit(nodes)).alias("src"), F.pmod(draw(F.col("c"), 2), F.lit(nodes)).alias("dst")).filter("src <> dst")
+    free = drawn.join(e, ["src", "dst"], "left_anti")
+    return free.groupBy("place").agg(F.min(F.struct("try", "src", "dst")).alias("m")).select("m.src", "m.dst").distinct()
 
 
 def path_lengths(steps: DataFrame, sources: DataFrame, cutoff: int | None = None) -> DataFrame:
@@ -202,3 +210,35 @@ def target_encode(df: DataFrame, cat_col: str, y: str, train: Column) -> DataFra
     m = df.filter(train).groupBy(F.col(cat_col).alias("_c")).agg(F.avg(y).alias(f"{cat_col}_enc"))
     overall = df.filter(train).agg(F.avg(y).alias("_all"))
     return df.join(m, F.col(cat_col).eqNullSafe(F.col("_c")), "left").drop("_c").crossJoin(F.broadcast(overall)).withColumn(f"{cat_col}_enc", F.coalesce(f"{cat_col}_enc", "_all")).drop("_all")
+
+
+def rewired(edges: DataFrame, nodes: int, share: float = 0.01, seed: int = 7) -> DataFrame:
+    """(src, dst) of dense edges (src, dst): about `share` of them lead to another node, unless that edge exists already; no loops,
+    both directions."""
+    e = edges.select("src", "dst").distinct()
+    h = arithmetic_hash(F.col("src") * nodes + F.col("dst"), seed)
+    picked = e.filter(h / 1_000_003 < share).withColumn("new", F.pmod(arithmetic_hash(F.col("src") * nodes + F.col("dst"), seed + 1), F.lit(nodes)))
+    moved = picked.join(e.select("src", F.col("dst").alias("new")), ["src", "new"], "left_anti")
+    kept = e.join(moved.select("src", "dst"), ["src", "dst"], "left_anti").unionByName(moved.select("src", F.col("new").alias("dst")))
+    return bidirected(kept.filter("src <> dst"))
+
+
+def block_pairs(nodes: DataFrame, size: int = 20) -> DataFrame:
+    """(a, b): pairs a > b of dense nodes (idx) in one block of `size` following numbers; at most size - 1 a node."""
+    low = F.col("idx") - F.col("idx") % size
+    pairs = nodes.select(F.col("idx").alias("a"), F.explode(F.when(F.col("idx") > low, F.sequence(low, F.col("idx") - 1)).otherwise(F.array().cast("array<bigint>"))).alias("b"))
+    return pairs.join(nodes.select(F.col("idx").alias("b")), "b", "left_semi").select("a", "b")
+
+
+def labelled_pairs(edges: DataFrame, nodes: int, negatives: int = 1, ratio: float | None = None, seed: int = 7) -> DataFrame:
+    """(src, dst, label): edges as 1 beside absent pairs as 0; with `ratio`, about that share of the edges and their negatives."""
+    e = edges.select("src", "dst").distinct()
+    if ratio is not None:
+        e = e.filter(arithmetic_hash(F.col("src") * nodes + F.col("dst"), seed + 3) / 1_000_003 < ratio)
+    no = negative_edges(edges, nodes, negatives).join(e.select("src").distinct(), "src", "left_semi") if ratio is not None else negative_edges(edges, nodes, negatives)
+    return e.withColumn("label", F.lit(1)).unionByName(no.select("src", "dst", F.lit(0).alias("label")))
+
+
+def split_graphs(graphs: DataFrame, draw: Column) -> DataFrame:
+    """`graphs` (graph_id) with `split`: 70 % train, 20 % valid, 10 % test by a draw in [0, 1)."""
+    return graphs.withColumn("split", F.when(draw < 0.7, "train").when(draw < 0.9, "valid").otherwise("test"))

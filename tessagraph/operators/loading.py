@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessagraph.errors import GraphError
-from tessagraph.schema import GraphSchema
+from tessagraph.errors import GraphError, SchemaError
+from tessagraph.schema import GraphSchema, schema_of_dict
+from tessagraph.session import checkpoint
 
 ELEMENT = "struct<id:string,label:string,type:string,properties:map<string,string>,outV:string,outVLabel:string,inV:string,inVLabel:string>"
 
@@ -31,7 +34,8 @@ def typed_graph(df: DataFrame, schema: GraphSchema, text_col: str = "text") -> t
     """(vertices (id, label, name, properties), edges (label, src, dst)) of typed triples.
 
     A triple of a vertex label is a property of the vertex 'label-subject', whose key is matched without case; of several
-    values the largest stays. A triple of an edge label is an edge between the vertices of the label's ends.
+    values the largest stays. A triple of an edge label is an edge between the vertices of the label's ends, which are vertices
+    even if no triple gives them a property.
     """
     t = df.select(F.inline(typed_triples(F.col(text_col)))).select(*[F.trim(c).alias(c) for c in ("s", "p", "o", "label")])
     props = df.sparkSession.createDataFrame([(v.name, p.lower(), p) for v in schema.vertex_labels.values() for p in v.properties], "label string, low string, key string")
@@ -40,7 +44,10 @@ def typed_graph(df: DataFrame, schema: GraphSchema, text_col: str = "text") -> t
     vals = facts.groupBy("label", "s", "key").agg(F.max("o").alias("o"))
     v = vals.groupBy("label", "s").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "o")))).alias("properties"))
     vid = lambda label, name: F.concat_ws("-", label, name)
-    edges = t.join(F.broadcast(ends), "label").select("label", vid(F.col("source"), F.col("s")).alias("src"), vid(F.col("target"), F.col("o")).alias("dst")).distinct()
+    linked = t.join(F.broadcast(ends), "label")
+    edges = linked.select("label", vid(F.col("source"), F.col("s")).alias("src"), vid(F.col("target"), F.col("o")).alias("dst")).distinct()
+    named = linked.select(F.inline(F.array(F.struct(F.col("source").alias("label"), "s"), F.struct(F.col("target").alias("label"), F.col("o").alias("s"))))).distinct()
+    v = named.join(v, ["label", "s"], "full").withColumn("properties", F.coalesce("properties", F.create_map().cast("map<string,string>")))
     return v.select(vid(F.col("label"), F.col("s")).alias("id"), "label", F.col("s").alias("name"), "properties"), edges
 
 
@@ -134,3 +141,64 @@ def require_graph(vertices: DataFrame, edges: DataFrame) -> None:
     """Raises if there is neither a vertex nor an edge."""
     if vertices.isEmpty() and edges.isEmpty():
         raise GraphError("no vertices and no edges")
+
+
+def labelled_blocks(text: Column) -> tuple[Column, Column]:
+    """(nodes array<struct<name, label, properties>>, links array<struct<start, end, type, properties>>) of an answer with the headings
+    'Nodes:' and 'Relationships:' and bracketed lists below them.
+
+    An item is '[name, label, {properties}]' or '[start, type, end, {properties}]'; quotes and blanks around parts are taken
+    off; properties that are no JSON are empty; items with too few parts are left out.
+    """
+    block = lambda head, stop: F.regexp_extract(text, rf"(?s){head}:(.*?)(?:{stop}:|$)", 1)
+    items = lambda b: F.regexp_extract_all(b, F.lit(r"\[([^\[\]]*)\]"), F.lit(1))
+    part = lambda i, n: F.trim(F.replace(F.get(F.split(F.regexp_replace(i, r"(?s)\{.*", ""), ","), F.lit(n)), F.lit('"')))
+    props = lambda i: F.coalesce(F.from_json(F.replace(F.regexp_replace(F.regexp_extract(i, r"(?s)\{.*\}", 0), r"\bTrue\b", "true"), F.lit("\\")), "map<string,string>"), F.create_map().cast("map<string,string>"))
+    nodes = F.transform(items(block("Nodes", "Relationships")), lambda i: F.struct(part(i, 0).alias("name"), part(i, 1).alias("label"), props(i).alias("properties")))
+    links = F.transform(items(block("Relationships", "Nodes")), lambda i: F.struct(part(i, 0).alias("start"), part(i, 2).alias("end"), part(i, 1).alias("type"), props(i).alias("properties")))
+    return F.filter(nodes, lambda x: (x["name"] != "") & (F.coalesce(x["label"], F.lit("")) != "")), F.filter(links, lambda x: (x["start"] != "") & (F.coalesce(x["end"], F.lit("")) != ""))
+
+
+def extract_triples(docs: DataFrame, model: Callable[[str], str], template: str = "{text}", schema: GraphSchema | None = None) -> tuple[DataFrame, DataFrame]:
+    """(vertices, edges) that a model's triples give, per chunk of docs (id, text): typed by a schema, or free without one."""
+    from tessagraph.functions.models import fill, generate
+    from tessagraph.functions.text import chunks
+
+    answered = checkpoint(docs.select(F.explode(chunks(F.col("text"))).alias("text")).select(generate(fill(template, text=F.col("text")), model).alias("text")))
+    return typed_graph(answered, schema) if schema is not None else free_graph(answered.select(F.inline(triples(F.col("text")))))
+
+
+def unify_predicates(rows: DataFrame, model: Callable[[str], str], template: str = "{names}") -> DataFrame:
+    """Triples (s, p, o) with predicates of one meaning under one name.
+
+    A model sees the distinct predicates (a vocabulary, not the triples) and answers with lines 'name -> unified name';
+    what it does not name stays.
+    """
+    names = sorted(r.p for r in rows.select("p").distinct().collect())
+    said = model(template.replace("{names}", "\n".join(names)))
+    pairs = [tuple(x.strip() for x in line.split("->", 1)) for line in said.splitlines() if "->" in line]
+    known = {a: b for a, b in pairs if a in names and b}
+    if not known:
+        return rows.select("s", "p", "o").distinct()
+    to = rows.sparkSession.createDataFrame(sorted(known.items()), "p string, q string")
+    return rows.join(F.broadcast(to), "p", "left").select("s", F.coalesce("q", "p").alias("p"), "o").distinct()  # at most the vocabulary
+
+
+def model_schema(samples: Sequence[str], model: Callable[[str], str], template: str = "{samples}") -> GraphSchema:
+    """The schema that a model writes as JSON for sample texts, completed and checked; SchemaError if it is none."""
+    import json
+    import re
+
+    said = model(template.replace("{samples}", "\n".join(samples)))
+    body = re.search(r"(?s)\{.*\}", re.sub(r"```[a-zA-Z]*", "", said or ""))
+    try:
+        return schema_of_dict(json.loads(body.group(0)) if body else {})
+    except json.JSONDecodeError as e:
+        raise SchemaError(f"no JSON: {e}") from e
+
+
+def extraction_prompt(sample: str, scenario: str, example: str, model: Callable[[str], str], template: str = "{example}\n{scenario}\n{sample}") -> str:
+    """The extraction prompt that a model writes for a scenario after a worked example."""
+    if not all(x and x.strip() for x in (sample, scenario, example)):
+        raise SchemaError("a sample, a scenario and an example are needed")
+    return model(template.replace("{example}", example).replace("{scenario}", scenario).replace("{sample}", sample)).strip()

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessagraph.graph import union_all
 from tessagraph.session import checkpoint
 
 
@@ -81,12 +85,12 @@ def correct_and_smooth(soft: DataFrame, labels: DataFrame, edges: DataFrame, rou
 
 
 def mean_of_powers(x: DataFrame, edges: DataFrame, k: int, adj: str = "DAD") -> DataFrame:
-    """(x + A x + .. + A^k x) / (k + 1)."""
-    w, cur, parts = checkpoint(normalized(edges, adj)), x, [(x, 1 / (k + 1))]
+    """(x + A x + .. + A^k x) / (k + 1); summed first and divided once."""
+    w, cur, parts = checkpoint(normalized(edges, adj)), x, [(x, 1.0)]
     for _ in range(k):
         cur = checkpoint(propagate(cur, w))
-        parts.append((cur, 1 / (k + 1)))
-    return _mix(parts)
+        parts.append((cur, 1.0))
+    return _mix(parts).withColumn("val", F.col("val") / (k + 1))
 
 
 def personalized(x: DataFrame, edges: DataFrame, k: int, alpha: float) -> DataFrame:
@@ -120,9 +124,91 @@ def attention(x: DataFrame, edges: DataFrame, beta: float = 1.0) -> DataFrame:
 
 
 def softmax_aggregate(m: DataFrame, beta: float = 1.0) -> DataFrame:
-    """(node, dim, val) of messages (dst, dim, val): per node and dimension the mean weighted by softmax(beta * val)."""
-    e = F.exp(F.col("val") * beta)
-    return m.groupBy(F.col("dst").alias("node"), "dim").agg((F.sum(F.col("val") * e) / F.sum(e)).alias("val"))
+    """(node, dim, val) of messages (dst, dim, val): per node and dimension the mean weighted by softmax(beta * val).
+
+    The largest exponent of each group is taken off first, so that values of any size give finite weights.
+    """
+    by = ["dst", "dim"]
+    top = m.groupBy(*by).agg(F.max(F.col("val") * beta).alias("top"))
+    e = F.exp(F.col("val") * beta - F.col("top"))
+    return m.join(top, by).groupBy(F.col("dst").alias("node"), "dim").agg((F.sum(F.col("val") * e) / F.sum(e)).alias("val"))
+
+
+def message_norm(x: DataFrame, m: DataFrame, scale: float = 1.0) -> DataFrame:
+    """(node, dim, val): messages m at length 1 times the length of the node's own x times `scale`; zero messages stay zero."""
+    length = lambda df, name: df.groupBy("node").agg(F.sqrt(F.sum(F.col("val") * F.col("val"))).alias(name))
+    y = m.join(length(m, "a"), "node").join(length(x, "b"), "node", "left")
+    return y.select("node", "dim", F.coalesce(F.try_divide(F.col("val"), F.col("a")) * F.coalesce("b", F.lit(0.0)) * scale, F.lit(0.0)).alias("val"))
+
+
+def jumping_sum(x: DataFrame, edges: DataFrame, k: int, dims: int, mode: str = "cat") -> DataFrame:
+    """(node, dim, val): the states of hops 0..k side by side ('cat', hop h in dimensions h * dims ..) or their largest ('max'),
+    summed over each node's sources."""
+    w, cur, hops = checkpoint(normalized(edges)), x, [x]
+    for _ in range(k):
+        cur = checkpoint(propagate(cur, w))
+        hops.append(cur)
+    if mode == "cat":
+        all_ = [h.withColumn("dim", F.col("dim") + i * dims) for i, h in enumerate(hops)]
+        return aggregate(union_all(all_), edges)
+    return aggregate(union_all(hops).groupBy("node", "dim").agg(F.max("val").alias("val")), edges)
+
+
+def recursive_stacks(x: DataFrame, edges: DataFrame, stacks: Sequence[tuple[float, float]], rounds: int) -> DataFrame:
+    """(node, dim, val): the mean over stacks (w, v) of `rounds` rounds of h <- max(0, w * A h + v * x), from h = x."""
+    adj, outs = checkpoint(normalized(edges)), []
+    for w, v in stacks:
+        h = x
+        for _ in range(rounds):
+            h = checkpoint(_mix([(propagate(h, adj), w), (x, v)]).withColumn("val", F.greatest(F.lit(0.0), "val")))
+        outs.append((h, 1 / len(stacks)))
+    return _mix(outs)
+
+
+def anchor_messages(x: DataFrame, anchors: DataFrame, position: Sequence[float]) -> tuple[DataFrame, DataFrame]:
+    """(structure (node, dim, val), positions (node, set, val)) of anchors (node, set, anchor, closeness).
+
+    The message from a set is max(0, x of the node + closeness * x of its anchor); structure is the mean of a node's
+    messages, the position in a set the product of its message with `position`.
+    """
+    own = x.select("node", "dim", F.col("val").alias("own"))
+    far = x.select(F.col("node").alias("anchor"), "dim", F.col("val").alias("far"))
+    m = anchors.join(far, "anchor").join(own, ["node", "dim"]).select("node", "set", "dim", F.greatest(F.lit(0.0), F.col("own") + F.col("closeness") * F.col("far")).alias("val"))
+    weight = F.element_at(F.lit([float(v) for v in position]), F.col("dim") + 1)
+    return m.groupBy("node", "dim").agg(F.avg("val").alias("val")), m.groupBy("node", "set").agg(F.sum(F.col("val") * weight).alias("val"))
+
+
+def attention_readout(x: DataFrame, graph_of: DataFrame, gate: Sequence[float]) -> DataFrame:
+    """(graph_id, dim, val): the nodes of each graph weighted by the softmax of their products with `gate`."""
+    g = x.withColumn("g", F.element_at(F.lit([float(v) for v in gate]), F.col("dim") + 1) * F.col("val")).groupBy("node").agg(F.sum("g").alias("g")).join(graph_of, "node")
+    top = g.groupBy("graph_id").agg(F.max("g").alias("top"))
+    g = g.join(top, "graph_id").withColumn("e", F.exp(F.col("g") - F.col("top")))
+    w = g.join(g.groupBy("graph_id").agg(F.sum("e").alias("all")), "graph_id").select("node", "graph_id", (F.col("e") / F.col("all")).alias("w"))
+    return x.join(w, "node").groupBy("graph_id", "dim").agg(F.sum(F.col("val") * F.col("w")).alias("val"))
+
+
+@dataclass(frozen=True)
+class ShareBandit:
+    """The share of sources that each relation keeps: a step down when the mean distance of the kept sources grew, else a step
+    up, within (0, 1]; settled once the last ten moves nearly cancel out (from the tenth epoch on)."""
+
+    share: dict[str, float]
+    step: float = 0.02
+    last: dict[str, float] = field(default_factory=dict)
+    moves: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    settled: frozenset[str] = frozenset()
+
+    def update(self, epoch: int, distance: dict[str, float]) -> ShareBandit:
+        """The state after an epoch whose kept sources lay at these mean distances."""
+        share, last, moves, settled = dict(self.share), dict(self.last), dict(self.moves), set(self.settled)
+        for r in distance.keys() - self.settled:
+            move = -1 if self.last.get(r, 0.0) < distance[r] else 1
+            moved = share[r] + move * self.step
+            share[r] = moved if 0 < moved <= 1 else share[r]
+            last[r], moves[r] = distance[r], (*moves.get(r, ()), move)[-10:]
+            if epoch >= 9 and abs(sum(moves[r])) <= 2:
+                settled.add(r)
+        return ShareBandit(share, self.step, last, moves, frozenset(settled))
 
 
 def power_mean_aggregate(m: DataFrame, p: float = 1.0, lo: float = 1e-7, hi: float = 100.0) -> DataFrame:

@@ -59,10 +59,8 @@ class EarlyStopping:
         return self.step - self.best_step >= self.patience
 
 
-def cosine_decay(step: int, largest: float, warmup: int, total: int) -> float:
-    """Rises in a line to the largest value, then falls along a cosine to 0 at `total`."""
-    if step < warmup:
-        return largest * step / warmup
-    if step <= total:
-        return largest * (1 + math.cos((step - warmup) * math.pi / (total - warmup))) / 2
-    raise ValueError(f"step {step} is beyond {total}")
+def warmed_cosine(steps: DataFrame, largest: float, warmup: int, total: int) -> DataFrame:
+    """`steps` (step) with `rate`: a ramp over the warm-up times half a cosine wave over the rest; null beyond `total`."""
+    ramp = F.least(F.lit(1.0), F.col("step") / F.lit(max(warmup, 1)))
+    phase = F.greatest(F.lit(0.0), (F.col("step") - warmup) / F.lit(max(total - warmup, 1)))
+    return steps.withColumn("rate", F.when(F.col("step").between(0, total), largest * ramp * (F.cos(phase * math.pi) + 1) / 2))

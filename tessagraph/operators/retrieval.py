@@ -5,7 +5,7 @@ Everything is keyed by `q`, the number of a question, so that a table of questio
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,3 +119,71 @@ def numbered_context(ranked: DataFrame, graph_first: bool = True) -> DataFrame:
     x = ranked.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(place, "rank")))
     lines = F.array_sort(F.collect_list(F.struct("n", "text")))  # at most the quota of a question
     return x.groupBy("q").agg(lines.alias("l")).select("q", F.array_join(F.transform("l", lambda s: F.concat(s.n.cast("string"), F.lit(". "), s.text)), "\n").alias("context"))
+
+
+def semantic_ids(keywords: DataFrame, vertices: DataFrame, labels: int, near: Callable[[DataFrame], DataFrame], limit: int = 8) -> DataFrame:
+    """(q, id): exact matches of keywords (q, keyword), and for those without one what `near` finds; each id once per question.
+
+    near: from (q, keyword) to (q, id), such as a search of an index of ids.
+    """
+    hits, left = exact_matches(keywords, vertices, labels, limit)
+    return hits.select("q", "id").unionByName(near(left).select("q", "id")).distinct()
+
+
+def property_starts(keywords: DataFrame, vertices: DataFrame, properties: Sequence[str]) -> DataFrame:
+    """(q, id): vertices one of whose properties is a keyword (q, keyword), for expansions that do not begin with ids."""
+    values = vertices.select("id", F.explode(F.array_distinct(F.array(*[F.col(p).cast("string") for p in properties]))).alias("keyword")).filter("keyword is not null")
+    return keywords.join(values, "keyword").select("q", "id").distinct()
+
+
+def vertex_details(vertices: DataFrame, ids: DataFrame, limit: int = 20) -> DataFrame:
+    """(id, label, properties): the first `limit` of the vertices `ids` (id), for a recall's report."""
+    return vertices.join(ids.select("id").distinct(), "id", "left_semi").select("id", "label", property_map(vertices).alias("properties")).orderBy("id").limit(max(0, limit))
+
+
+def near_neighbours_first(questions: DataFrame, g: PropertyGraph, paths: DataFrame, score: Column | None = None) -> DataFrame:
+    """`paths` with `order` per question: by the ranks of their vertices' texts against the question, first depth first.
+
+    questions: (q, question). At each depth the distinct vertices are ranked by the score (by default BLEU over two orders),
+    then by id; a path that ends earlier comes after those that go on.
+    """
+    v = paths.select("q", F.posexplode("path").alias("depth", "n")).select("q", "depth", F.col("n.vertex").alias("id")).distinct()
+    texts = g.vertices.select("id", element_text(F.col("id"), property_map(g.vertices)).alias("text"))
+    x = v.join(texts, "id", "left").join(questions, "q").withColumns({"_q": tokens(F.col("question")), "_t": tokens(F.coalesce("text", F.lit("")))})
+    x = x.withColumn("score", F.round(score if score is not None else bleu(F.col("_q"), F.col("_t"), 2), 9))
+    ranks = x.withColumn("rank", F.row_number().over(Window.partitionBy("q", "depth").orderBy(F.desc("score"), "id"))).select("q", "depth", "id", "rank")
+    longest = paths.groupBy("q").agg(F.max(F.size("path")).alias("most"))
+    p = paths.select("q", "start", "path_no", F.posexplode("path").alias("depth", "n")).select("q", "start", "path_no", "depth", F.col("n.vertex").alias("id")).join(ranks, ["q", "depth", "id"])
+    p = p.groupBy("q", "start", "path_no").agg(F.array_sort(F.collect_list(F.struct("depth", "rank"))).alias("r")).join(longest, "q")  # at most depth + 1 places
+    missing = F.array_repeat(F.lit(1 << 30), F.col("most") - F.size("r"))
+    p = p.withColumn("r", F.concat(F.transform("r", lambda s: s["rank"]), missing))
+    p = p.withColumn("order", F.row_number().over(Window.partitionBy("q").orderBy("r", "start", "path_no"))).select("q", "start", "path_no", "order")
+    return paths.join(p, ["q", "start", "path_no"])
+
+
+def rerank_top(found: DataFrame, questions: DataFrame, scorer: Callable[[str, str], float], top: int | None = None) -> DataFrame:
+    """(q, text, score, rank): texts by an external scorer; `top` of each question, which must not be negative, all without it."""
+    from tessagraph.functions.models import rerank_score
+
+    if top is not None and top < 0:
+        raise ValueError(f"{top} texts of each question")
+    x = found.select("q", "text").distinct().join(questions, "q").withColumn("score", rerank_score(F.col("question"), F.col("text"), scorer))
+    x = x.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "text"))).select("q", "text", "score", "rank")
+    return x if top is None else x.filter(F.col("rank") <= top)
+
+
+def graph_results(g: PropertyGraph, queries: Mapping[int, str | None], fallback: Callable[[Sequence[int]], DataFrame], limit: int = 100) -> DataFrame:
+    """(q, source, text): what the query texts of questions give; questions without rows or with a faulty text take the fallback.
+
+    A text is run per question, as users ask a handful at once; fallback: from question numbers to (q, source, text).
+    """
+    from tessagraph.operators.query_text import try_text
+
+    parts, left = [], []
+    for q, text in sorted(queries.items()):
+        rows = try_text(g, text, limit)[0] if text else None
+        if rows is None or rows.isEmpty():
+            left.append(q)
+        else:
+            parts.append(rows.select(F.lit(q).cast("bigint").alias("q"), F.lit("graph").alias("source"), F.to_json(F.struct(*rows.columns)).alias("text")))
+    return union_all(parts + ([fallback(left)] if left or not parts else []))

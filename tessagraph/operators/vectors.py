@@ -197,3 +197,19 @@ class VectorIndex:
     def clean(self) -> None:
         fs, p = self._fs()
         fs.delete(p, True)
+
+
+def index_path(root: str, graph: str, kind: str, space: str | None = None) -> str:
+    """Where an index is kept: root/[space_]graph/kind, for kinds such as 'chunks', 'ids' and 'examples'."""
+    return f"{root.rstrip('/')}/{f'{space}_{graph}' if space else graph}/{kind}"
+
+
+#: What an index measures, by the name of its backend; the default is 'flat'.
+BACKENDS = {"flat": "l2sq", "inner": "cosine", "cosine": "cosine"}
+
+
+def index_of(spark: SparkSession, path: str, backend: str = "flat") -> VectorIndex:
+    """An index by the name of its backend; unknown names are errors."""
+    if backend not in BACKENDS:
+        raise GraphError(f"no backend {backend!r}, but {', '.join(BACKENDS)}")
+    return VectorIndex(spark, path, BACKENDS[backend])

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,8 @@ from tessagraph.functions.models import batch_answers, embed, fill, generate
 from tessagraph.functions.text import chunks, fenced_code, textrank, tokens, top_keywords, without_stop_words
 from tessagraph.graph import PropertyGraph
 from tessagraph.operators.loading import json_graph, load_edges, load_vertices
-from tessagraph.operators.retrieval import exact_matches, expand, merge_rerank, numbered_context, path_texts
+from tessagraph.operators.query_text import try_text
+from tessagraph.operators.retrieval import exact_matches, expand, merge_rerank, numbered_context, path_texts, property_starts
 from tessagraph.operators.vectors import VectorIndex, refresh, search_many
 from tessagraph.schema import GraphSchema
 from tessagraph.session import checkpoint
@@ -100,8 +101,99 @@ def answers(questions: DataFrame, kind: str, model: Callable[[str], str], g: Pro
     return batch_answers(questions, "{context}\n{query}", model, numbered_context(ranked, s.graph_ratio >= 0.5))
 
 
-def text_to_query(questions: DataFrame, examples: VectorIndex, embedder, model: Callable[[str], str], k: int = 1) -> DataFrame:
-    """(q, question, query): a model's fenced query, prompted with the most similar example pairs."""
+def example_index(pairs: DataFrame, index: VectorIndex, embedder) -> VectorIndex:
+    """Example pairs (query, gremlin) stored under their question's vector; an empty table gives an empty index."""
+    rows = pairs.filter("query is not null and gremlin is not null").select(F.xxhash64("query", "gremlin").alias("id"), F.to_json(F.struct("query", "gremlin")).alias("payload"), embed(F.col("query"), embedder).alias("vec")).dropDuplicates(["id"])
+    return index.write(rows)
+
+
+def text_to_query(questions: DataFrame, examples: VectorIndex | None, embedder, model: Callable[[str], str], k: int = 2, schema: str = "") -> DataFrame:
+    """(q, question, raw_query, query): a model's fenced queries, prompted with the question alone, and with the k most similar
+    example pairs as well."""
+    bare = batch_answers(questions, schema.replace("{", "").replace("}", "") + "{query}", model).select("q", "question", fenced_code(F.col("answer")).alias("raw_query"))
+    if examples is None or k < 1:
+        return bare.withColumn("query", F.col("raw_query"))
     near = vector_recall(questions, examples, embedder, Settings(vector_k=k, threshold=1.8))
-    ctx = near.groupBy("q").agg(F.array_join(F.array_sort(F.collect_list("text")), "\n").alias("context"))
-    return batch_answers(questions, "{context}\n{query}", model, ctx).select("q", "question", fenced_code(F.col("answer")).alias("query"))
+    ctx = near.groupBy("q").agg(F.array_join(F.array_sort(F.collect_list("text")), "\n").alias("context"))  # at most k examples
+    shown = batch_answers(questions, "{context}\n{query}", model, ctx).select("q", fenced_code(F.col("answer")).alias("query"))
+    return bare.join(shown, "q")
+
+
+def ask_in_words(questions: DataFrame, g: PropertyGraph, examples: VectorIndex | None, embedder, model: Callable[[str], str], limit: int = 100) -> list[dict]:
+    """For each question its queries, and their rows or what went wrong: {q, query, rows, error, raw_query, raw_rows, raw_error}."""
+    out = []
+    for r in checkpoint(text_to_query(questions, examples, embedder, model)).orderBy("q").collect():  # the questions asked at once
+        done = {"q": r.q}
+        for name in ("", "raw_"):
+            rows, error = try_text(g, r[f"{name}query"], limit)
+            try:
+                done |= {f"{name}query": r[f"{name}query"], f"{name}rows": None if rows is None else [x.asDict(True) for x in rows.limit(limit).collect()], f"{name}error": error}
+            except Exception as e:  # noqa: BLE001  # what a query does when it runs is part of the answer
+                done |= {f"{name}query": r[f"{name}query"], f"{name}rows": None, f"{name}error": str(e).splitlines()[0][:500]}
+        out.append(done)
+    return out
+
+
+def index_report(g: PropertyGraph, *indices: VectorIndex) -> dict:
+    """Counts of the graph, and of each index that exists; an index that cannot be read counts as absent."""
+    s = g.summary(0, 0).select("vertex_num", "edge_num").first()
+    out = {"vertices": s.vertex_num, "edges": s.edge_num, "indices": []}
+    for i in indices:
+        try:
+            r = i.info().first() if i.exists() else None
+        except Exception:  # noqa: BLE001
+            r = None
+        out["indices"].append(None if r is None else {"dim": r.dim, "rows": r.rows})
+    return out
+
+
+def graph_only(questions: DataFrame, g: PropertyGraph, labels: int, model: Callable[[str], str] | None = None, s: Settings = Settings(), stop: str | None = None) -> DataFrame:
+    """The answer from the graph alone, or what it has at an earlier point: stop 'vertices' gives (q, id), 'recall' (q, source, text)."""
+    if stop == "vertices":
+        return exact_matches(keywords_of(questions, s.keywords), g.vertices, labels)[0].select("q", "id").distinct()
+    if stop == "recall" or model is None:
+        return graph_recall(questions, g, labels, s)
+    return answers(questions, "graph", model, g, labels, s=s)
+
+
+@dataclass(frozen=True)
+class Chain:
+    """A fluent pipeline over a table of questions (q, question): every step returns a new chain; `found` holds its results so far."""
+
+    questions: DataFrame
+    g: PropertyGraph | None = None
+    labels: int = 0
+    s: Settings = Settings()
+    words: DataFrame | None = None
+    starts: DataFrame | None = None
+    found: DataFrame | None = None
+
+    def keywords(self, k: int | None = None) -> Chain:
+        return replace(self, words=keywords_of(self.questions, k or self.s.keywords))
+
+    def match(self) -> Chain:
+        words = self.words if self.words is not None else keywords_of(self.questions, self.s.keywords)
+        return replace(self, starts=exact_matches(words, self.g.vertices, self.labels)[0].select("q", "id").distinct())
+
+    def match_properties(self, *properties: str) -> Chain:
+        words = self.words if self.words is not None else keywords_of(self.questions, self.s.keywords)
+        return replace(self, starts=property_starts(words, self.g.vertices, properties))
+
+    def expand(self) -> Chain:
+        paths = expand(self.g, self.starts, self.s.depth, self.s.per_step, self.s.max_paths)
+        return self._with(path_texts(self.g, paths).select("q", F.lit("graph").alias("source"), "text"))
+
+    def vectors(self, index: VectorIndex, embedder) -> Chain:
+        return self._with(vector_recall(self.questions, index, embedder, self.s))
+
+    def _with(self, rows: DataFrame) -> Chain:
+        return replace(self, found=rows if self.found is None else self.found.unionByName(rows))
+
+    def merge(self) -> Chain:
+        return replace(self, found=merge_rerank(self.questions, self.found, self.s.top, self.s.graph_ratio))
+
+    def answer(self, model: Callable[[str], str]) -> DataFrame:
+        """(q, question, answer) from the merged texts, or without any."""
+        if self.found is None:
+            return batch_answers(self.questions, "{query}", model)
+        return batch_answers(self.questions, "{context}\n{query}", model, numbered_context(self.found, self.s.graph_ratio >= 0.5))

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tessagraph.graph import graph_of_tables
 from tessagraph.operators.gremlin import P, Source
 from tessagraph.operators.gremlin import anonymous as __
+from tessagraph.operators.query_text import check_texts, run_text
 from tessagraph.plans.graph_sql import E, V
+from tessagraph.session import table
 
 
 def _g(spark: SparkSession, d: str) -> Source:
@@ -102,11 +104,64 @@ def g_value_maps(spark: SparkSession, d: str) -> DataFrame:
     return t.select(F.array_join(F.transform(F.array_sort(F.map_entries("value")), lambda x: F.concat(x.key, F.lit("="), F.array_join(x.value, "|"))), ";").alias("value"))
 
 
+def _text(spark: SparkSession, d: str, query: str) -> DataFrame:
+    return run_text(graph_of_tables(spark, d), query, None)
+
+
+def g_text_staff(spark: SparkSession, d: str) -> DataFrame:
+    return _text(spark, d, "g.V().has('company','industry','Energy').as('c').in('serve').has('age', gt(60)).where(out('created')).dedup().values('name')")
+
+
+def g_text_order(spark: SparkSession, d: str) -> DataFrame:
+    x = _text(spark, d, "g.V().hasLabel('software').has('price', between(20, 300)).order().by('price', desc).limit(10).valueMap('name','price').toList()")
+    return x.select(F.col("value.name")[0].alias("name"), F.col("value.price")[0].alias("price"))
+
+
+def g_text_project(spark: SparkSession, d: str) -> DataFrame:
+    x = _text(spark, d, "g.V().has('company','industry','Travel').as('a').project('id','staff','investors').by(id).by(select('a').in('serve').count()).by(select('a').in('personInvest').id().fold());")
+    return x.withColumn("investors", F.array_join("investors", ","))
+
+
+def g_text_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Names along branches, and the labels of the edges between them."""
+    x = _text(spark, d, "g.V().has('company','industry','Travel').outE('branch').inV().path().by('name').by('label')")
+    return x.select(F.array_join("value", ">", "-").alias("path"))
+
+
+def g_text_other_ends(spark: SparkSession, d: str) -> DataFrame:
+    return _text(spark, d, "g.V().has('company','industry','Energy').as('a').bothE('companyInvest').has('shareholdingRatio', gte(50)).where(otherV().hasLabel('company')).otherV().where(neq('a')).groupCount().by('industry')")
+
+
+def g_text_bag(spark: SparkSession, d: str) -> DataFrame:
+    """How many departments there are, beside the ids of all."""
+    x = _text(spark, d, "g.V().hasLabel('department').aggregate('ids').count().as('count').select('count','ids')")
+    return x.withColumn("ids", F.array_join("ids", ","))
+
+
+def g_text_limit(spark: SparkSession, d: str) -> DataFrame:
+    """A text without a limit gets one of 100."""
+    return run_text(graph_of_tables(spark, d), "g.V().hasLabel('person').not(out('knows')).id()")
+
+
+def g_text_readable(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the answers of all pairs can be read as traversals, by source."""
+    x = check_texts(table(spark, d, "gremlin_pairs").select("source", "gremlin"), "gremlin")
+    return x.groupBy("source", F.col("problem").isNull().alias("readable")).agg(F.count("*").alias("pairs"))
+
+
 QUERIES = {f.__name__: f for f in (
+    g_text_staff, g_text_order, g_text_project, g_text_paths, g_text_other_ends, g_text_bag, g_text_limit, g_text_readable,
     g_has_values, g_containing, g_out_in_both, g_edge_ends, g_project, g_where, g_where_tags, g_match, g_order_limit, g_fold_unfold, g_count_none, g_coalesce, g_repeat_emit, g_edges_values, g_default_limit, g_drop, g_value_maps,
 )}
 _E, _V = "WITH RECURSIVE " + E + " ", "WITH " + V + " "
 SQL = {
+    "g_text_staff": _E + "SELECT value FROM (SELECT DISTINCT p.id, p.name AS value FROM v c JOIN e ON e.dst = c.id AND e.label = 'serve' JOIN v p ON p.id = e.src WHERE c.label = 'company' AND c.industry = 'Energy' AND p.age > 60 AND p.id IN (SELECT src FROM e WHERE label = 'created')) WHERE value IS NOT NULL",
+    "g_text_order": _V + "SELECT name, CAST(price AS VARCHAR) AS price FROM v WHERE label = 'software' AND price >= 20 AND price < 300 ORDER BY v.price DESC, id LIMIT 10",
+    "g_text_project": _E + "SELECT v.id, (SELECT count(*) FROM e WHERE dst = v.id AND label = 'serve') AS staff, (SELECT coalesce(string_agg(src, ',' ORDER BY src), '') FROM e WHERE dst = v.id AND label = 'personInvest') AS investors FROM v WHERE label = 'company' AND industry = 'Travel'",
+    "g_text_paths": _E + "SELECT coalesce(a.name, '-') || '>branch>' || coalesce(b.name, '-') AS path FROM v a JOIN e ON e.src = a.id AND e.label = 'branch' JOIN v b ON b.id = e.dst WHERE a.label = 'company' AND a.industry = 'Travel'",
+    "g_text_other_ends": _E + ", m AS (SELECT src AS a, dst AS b FROM e WHERE label = 'companyInvest' AND shareholdingRatio >= 50 UNION ALL SELECT dst, src FROM e WHERE label = 'companyInvest' AND shareholdingRatio >= 50) SELECT b.industry, count(*) AS count FROM m JOIN v a ON a.id = m.a AND a.label = 'company' AND a.industry = 'Energy' JOIN v b ON b.id = m.b AND b.label = 'company' WHERE m.a <> m.b GROUP BY b.industry",
+    "g_text_bag": _V + "SELECT count(*) AS count, string_agg(id, ',' ORDER BY id) AS ids FROM v WHERE label = 'department'",
+    "g_text_limit": _E + "SELECT id AS value FROM v WHERE label = 'person' AND id NOT IN (SELECT src FROM e WHERE label = 'knows') ORDER BY id LIMIT 100",
     "g_has_values": _V + "SELECT name AS value FROM v WHERE label = 'company' AND industry IN ('Energy', 'Media') AND establishmentYear >= 1960 AND establishmentYear < 1980 AND name IS NOT NULL",
     "g_containing": _V + "SELECT id AS value FROM v WHERE label = 'person' AND contains(name, 'an') AND age < 40",
     "g_out_in_both": _E + ", p AS (SELECT id FROM v WHERE label = 'person' AND starts_with(city, 'Port')), m AS (SELECT 'out' AS way, dst AS id FROM p JOIN e ON src = p.id AND e.label IN ('serve', 'created') UNION ALL SELECT 'in', src FROM p JOIN e ON dst = p.id AND e.label = 'knows' UNION ALL SELECT 'both', dst FROM p JOIN e ON src = p.id AND e.label = 'partners' UNION ALL SELECT 'both', src FROM p JOIN e ON dst = p.id AND e.label = 'partners') SELECT label, count(*) AS count, way FROM m JOIN v USING (id) GROUP BY label, way",

@@ -10,7 +10,7 @@ from tessagraph.operators import learning as L
 from tessagraph.operators import messages as M
 from tessagraph.operators import metrics as S
 from tessagraph.operators import vectors as N
-from tessagraph.plans.graph_sql import E, levels, undirected
+from tessagraph.plans.graph_sql import E, V, levels, undirected
 from tessagraph.session import checkpoint, table
 
 
@@ -86,7 +86,7 @@ def gml_split_edges(spark, d):
 
 def gml_negative_edges(spark, d):
     n, e = L.convert_graph(_social(spark, d, ("knows",)).vertices.filter("label = 'person'").select("id"), _social(spark, d, ("knows",)).edges.select("src", "dst"))
-    return L.negative_edges(e.select(F.col("src_idx").alias("src"), F.col("dst_idx").alias("dst")), n.count(), 2)
+    return L.negative_edges(e.select(F.col("src_idx").alias("src"), F.col("dst_idx").alias("dst")), n.count(), 2, draw=L.arithmetic_hash)
 
 
 def gml_closeness(spark, d):
@@ -193,6 +193,71 @@ def msg_attention(spark, d):
     return M.attention(M.long(n), ring).groupBy("node").agg(F.round(F.sum("val"), 6).alias("total"))
 
 
+def _indexed(spark, d):
+    """(persons with idx, knows edges (src, dst) as numbers)."""
+    g = _social(spark, d, ("knows",))
+    n, e = L.convert_graph(g.vertices.filter("label = 'person'").select("id"), g.edges.select("src", "dst"))
+    return checkpoint(n), checkpoint(e.select(F.col("src_idx").alias("src"), F.col("dst_idx").alias("dst")))
+
+
+def gml_rewired(spark, d):
+    """The graph of acquaintances with about a hundredth of its edges led elsewhere."""
+    n, e = _indexed(spark, d)
+    return L.rewired(e, n.count())
+
+
+def gml_block_pairs(spark, d):
+    """Pairs of persons in one block of 20."""
+    return L.block_pairs(_indexed(spark, d)[0])
+
+
+def gml_labelled_pairs(spark, d):
+    """A tenth of the acquaintances beside the same share of absent pairs."""
+    n, e = _indexed(spark, d)
+    return L.labelled_pairs(e, n.count(), 1, 0.1).groupBy("label").agg(F.count("*").alias("pairs")).filter("label = 1")
+
+
+def gml_graph_splits(spark, d):
+    """Graphs of a collection, one per label of the features, by split."""
+    x = table(spark, d, "feat_vertices").select(F.coalesce("vertex_id", F.lit(0)).alias("graph_id"))
+    return L.split_graphs(x, L.arithmetic_hash(F.col("graph_id"), 3) / 1_000_003).groupBy("split").agg(F.count("*").alias("graphs"))
+
+
+def msg_jumping(spark, d):
+    g = _social(spark, d, ("knows",))
+    return M.jumping_sum(_ages(g), checkpoint(M_both(g)), 1, 1, "max").select("node", F.round("val", 6).alias("val"))
+
+
+def msg_stacks(spark, d):
+    g = _social(spark, d, ("knows",))
+    return M.recursive_stacks(_ages(g), checkpoint(M_both(g)), [(0.5, 1.0), (1.0, -0.5)], 1).select("node", F.round("val", 6).alias("val"))
+
+
+def msg_norm(spark, d):
+    g = _social(spark, d, ("knows",))
+    return M.message_norm(_ages(g), M.aggregate(_ages(g), g.edges, "mean"), 0.5).select("node", F.round("val", 6).alias("val"))
+
+
+def msg_anchors(spark, d):
+    """Messages from each department's nearest anchors, by headcount."""
+    v = graph_of_tables(spark, d).vertices.filter("label = 'department'")
+    x = v.select(F.col("id").alias("node"), F.lit(0).alias("dim"), (F.coalesce("headcount", F.lit(0)) / 100).alias("val"))
+    structure, position = M.anchor_messages(x, gml_nearest_anchors(spark, d), [2.0])
+    return structure.select("node", F.round("val", 6).alias("structure")).join(position.groupBy("node").agg(F.round(F.sum("val"), 6).alias("position")), "node")
+
+
+def msg_readout(spark, d):
+    """Cities as graphs: their persons' ages, weighted by attention."""
+    v = graph_of_tables(spark, d).vertices.filter("label = 'person' and city is not null")
+    x = v.select(F.col("id").alias("node"), F.lit(0).alias("dim"), (F.coalesce("age", F.lit(0)) / 100).alias("val"))
+    return M.attention_readout(x, v.select(F.col("id").alias("node"), F.col("city").alias("graph_id")), [2.0]).select("graph_id", F.round("val", 6).alias("val"))
+
+
+def met_warmed_cosine(spark, d):
+    """A learning rate for the first 200 rows of the embeddings as steps."""
+    return S.warmed_cosine(_emb(spark, d).select(F.col("vec_id").alias("step")), 0.1, 50, 400).select("step", F.round("rate", 9).alias("rate"))
+
+
 def met_scores(spark, d):
     """Accuracy of the rule 'label = id mod 10' on the embeddings, and the area under the curve of the first component for label 0."""
     e = _emb(spark, d).select("label", (F.col("vec_id") % 10).cast("int").alias("prediction"), F.col("embedding")[0].cast("double").alias("score"))
@@ -211,7 +276,7 @@ def met_class_weights(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     vec_search_l2, vec_search_cosine, vec_search_many, vec_search_cells, vec_pairwise, vec_refresh, gml_dense_index, gml_hetero_index, gml_collection_stats, gml_single_directed, gml_split_edges, gml_negative_edges, gml_closeness,
-    gml_nearest_anchors, gml_subgraphs, gml_drnl, gml_walks, gml_sample_neighbors, gml_cluster_parts, gml_node_types, gml_features, msg_mean, msg_label_propagation, msg_powers, msg_softmax, msg_closest, msg_attention, met_scores, met_hits, met_class_weights,
+    gml_nearest_anchors, gml_subgraphs, gml_drnl, gml_walks, gml_sample_neighbors, gml_cluster_parts, gml_node_types, gml_features, msg_mean, msg_label_propagation, msg_powers, msg_softmax, msg_closest, msg_attention, gml_rewired, gml_block_pairs, gml_labelled_pairs, gml_graph_splits, msg_jumping, msg_stacks, msg_norm, msg_anchors, msg_readout, met_warmed_cosine, met_scores, met_hits, met_class_weights,
 )}
 
 _D = "list_sum(list_transform(range(1, 65), lambda i: {}))"
@@ -222,7 +287,23 @@ _E = "WITH RECURSIVE " + E + " "
 _KNOWS = "WITH RECURSIVE " + undirected(("knows",)) + ", x AS (SELECT id AS node, coalesce(age, 0) / 100 AS val FROM v WHERE label = 'person'), k AS (SELECT src, dst FROM e WHERE label = 'knows')"
 _Q = "q AS (SELECT embedding AS q FROM embeddings ORDER BY vec_id LIMIT 1)"
 _DEP = "WITH RECURSIVE " + undirected(("reports_to",)) + ", " + levels("bfs", "SELECT id, id, 0 FROM v WHERE label = 'department'", "u", "s0") + ", c AS (SELECT s0 AS source, n AS node, 1 / (d + 1) AS c FROM bfs)"
+def _hash(c: str, seed: int) -> str:
+    return f"(((({c}) * 7919 + {seed}) % 1000003 * 104729 + {seed}) % 1000003)"
+
+
+_IDX = "WITH RECURSIVE " + E + ", n AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS idx FROM v WHERE label = 'person'), c AS (SELECT count(*) AS c FROM n), k AS (SELECT DISTINCT a.idx AS src, b.idx AS dst FROM e JOIN n a ON a.id = src JOIN n b ON b.id = dst WHERE label = 'knows')"
+_DAD = _KNOWS + ", b AS (SELECT src, dst FROM k UNION SELECT dst, src FROM k), g AS (SELECT src AS node, count(*) AS d FROM b GROUP BY src), w AS (SELECT src, dst, 1 / (sqrt(p.d) * sqrt(q.d)) AS w FROM b JOIN g p ON p.node = src JOIN g q ON q.node = dst), a AS (SELECT dst AS node, sum(w * val) AS val FROM w JOIN x ON node = src GROUP BY dst)"
 SQL = {
+    "gml_negative_edges": _IDX + f", t AS (SELECT src, dst, i, a, ((src * c + dst) * 2 + i) * 8 + a AS z FROM k, c, LATERAL (SELECT unnest([0, 1]) AS i), LATERAL (SELECT unnest(range(8)) AS a)), h AS (SELECT t.src AS s0, t.dst AS d0, i, a, {_hash('z', 1)} % c AS src, {_hash('z', 2)} % c AS dst FROM t, c), f AS (SELECT * FROM h WHERE src <> dst AND NOT EXISTS (SELECT 1 FROM k WHERE k.src = h.src AND k.dst = h.dst)) SELECT DISTINCT src, dst FROM (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY s0, d0, i ORDER BY a) = 1)",
+    "gml_rewired": _IDX + f", p AS (SELECT src, dst, {_hash('src * c + dst', 8)} % c AS new FROM k, c WHERE {_hash('src * c + dst', 7)} / 1000003 < 0.01), m AS (SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.src = p.src AND k.dst = p.new)), z AS (SELECT src, dst FROM k WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.src = k.src AND m.dst = k.dst) UNION SELECT src, new FROM m) SELECT src, dst FROM z WHERE src <> dst UNION SELECT dst, src FROM z WHERE src <> dst",
+    "gml_block_pairs": _IDX + " SELECT a.idx AS a, b.idx AS b FROM n a JOIN n b ON a.idx > b.idx AND a.idx // 20 = b.idx // 20",
+    "gml_labelled_pairs": _IDX + f" SELECT 1 AS label, count(*) AS pairs FROM k, c WHERE {_hash('src * c + dst', 10)} / 1000003 < 0.1 HAVING count(*) > 0",
+    "gml_graph_splits": f"SELECT CASE WHEN h < 0.7::DOUBLE THEN 'train' WHEN h < 0.9::DOUBLE THEN 'valid' ELSE 'test' END AS split, count(*) AS graphs FROM (SELECT {_hash('coalesce(vertex_id, 0)', 3)} / 1000003 AS h FROM feat_vertices) GROUP BY 1",
+    "msg_jumping": _DAD + ", h AS (SELECT node, max(val) AS val FROM (FROM x UNION ALL FROM a) GROUP BY node) SELECT dst AS node, round(sum(val), 6) AS val FROM b JOIN h ON node = src GROUP BY dst",
+    "msg_stacks": _DAD + ", sv AS (SELECT node, sum(v1) AS v1, sum(v2) AS v2 FROM (SELECT node, val * 0.5::DOUBLE AS v1, val AS v2 FROM a UNION ALL SELECT node, val, val * -0.5::DOUBLE FROM x) GROUP BY node) SELECT node, round(greatest(v1, 0) * 0.5::DOUBLE + greatest(v2, 0) * 0.5::DOUBLE, 6) AS val FROM sv",
+    "msg_norm": _KNOWS + ", m AS (SELECT dst AS node, avg(val) AS val FROM k JOIN x ON x.node = src GROUP BY dst) SELECT m.node, round(CASE WHEN m.val = 0 THEN 0 ELSE coalesce(abs(x.val), 0) * 0.5::DOUBLE END, 6) AS val FROM m LEFT JOIN x ON x.node = m.node",
+    "msg_readout": "WITH " + V + ", x AS (SELECT city AS graph_id, coalesce(age, 0) / 100 AS a FROM v WHERE label = 'person' AND city IS NOT NULL) SELECT graph_id, round(sum(a * exp(2 * a)) / sum(exp(2 * a)), 6) AS val FROM x GROUP BY graph_id",
+    "met_warmed_cosine": "SELECT vec_id AS step, round(CASE WHEN vec_id BETWEEN 0 AND 400 THEN 0.1::DOUBLE * least(1, vec_id / 50) * (cos(greatest(0, (vec_id - 50) / 350) * pi()) + 1) / 2 END, 9) AS rate FROM embeddings",
     "vec_search_l2": f"WITH {_Q}, t AS (SELECT vec_id AS id, {_L2.format(a='embedding', b='q')} AS distance FROM embeddings, q ORDER BY distance, id LIMIT 10) SELECT id, round(distance, 6) AS distance FROM t WHERE distance < 1.9",
     "vec_search_cosine": f"WITH {_Q}, t AS (SELECT vec_id AS id, 1 - {_COS.format(a='embedding', b='q')} AS distance FROM embeddings, q ORDER BY distance, id LIMIT 10) SELECT id, abs(round(distance, 6)) AS distance FROM t WHERE distance < 0.95",
     "vec_search_many": f"WITH t AS (SELECT q.vec_id AS query, e.vec_id AS id, round({_L2.format(a='q.embedding', b='e.embedding')}, 12) AS distance FROM embeddings q, embeddings e WHERE q.vec_id % 50 = 0) SELECT query, id, round(distance, 6) AS distance FROM t QUALIFY row_number() OVER (PARTITION BY query ORDER BY t.distance, id) <= 5",
@@ -256,3 +337,5 @@ SELECT CAST(z AS INT) AS z, count(*) AS nodes FROM z GROUP BY 1""",
     "met_hits": "WITH x AS (SELECT label, CAST(embedding[2] AS DOUBLE) AS s FROM embeddings) " + " UNION ALL ".join(f"SELECT {k} AS k, round(avg(CASE WHEN s > (SELECT min(s) FROM (SELECT s FROM x WHERE label >= 3 ORDER BY s DESC LIMIT {k})) THEN 1 ELSE 0 END), 6) AS hits FROM x WHERE label < 3" for k in (1, 10, 100)),
     "met_class_weights": "SELECT label, round(1 / count(*), 9) AS weight FROM embeddings GROUP BY label",
 }
+SQL["msg_anchors"] = f"""WITH an AS ({SQL["gml_nearest_anchors"]}), hv AS (SELECT id, any_value(coalesce(h, 0) / 100) AS h FROM ({"WITH " + V + " SELECT id, headcount AS h FROM v WHERE label = 'department'"}) GROUP BY id),
+m AS (SELECT node, greatest(0, o.h + closeness * f.h) AS m FROM an JOIN hv o ON o.id = node JOIN hv f ON f.id = anchor) SELECT node, round(avg(m), 6) AS structure, round(sum(2 * m), 6) AS position FROM m GROUP BY node"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -254,3 +255,26 @@ def schema_of_dict(given: dict) -> GraphSchema:
     for e in d["edgelabels"]:
         s.create(EdgeLabel(e["name"], e["source_label"], e["target_label"], tuple(e["properties"]), nullable_keys=tuple(e["properties"])))
     return s
+
+
+def checked_request(texts: str | list[str], schema: str | dict, split: str = "document", language: str = "zh") -> tuple[list[str], dict | str]:
+    """(texts that are not blank, a completed schema or the name of a graph) of an extraction request.
+
+    A schema is a dictionary, JSON text that begins with a brace, or else a graph's name of letters, digits, '_' and '-'.
+    """
+    some = [t for t in ([texts] if isinstance(texts, str) else texts) if t and t.strip()]
+    if not some:
+        raise SchemaError("no text")
+    if split not in ("document", "paragraph", "sentence") or language not in ("zh", "en"):
+        raise SchemaError(f"unknown split {split!r} or language {language!r}")
+    if isinstance(schema, dict):
+        return some, complete_schema(schema)
+    name = schema.strip()
+    if name.startswith("{"):
+        try:
+            return some, complete_schema(json.loads(name))
+        except json.JSONDecodeError as e:
+            raise SchemaError(f"no JSON: {e}") from e
+    if not re.fullmatch(r"[\w-]+", name):
+        raise SchemaError(f"{name!r} is neither JSON nor a graph's name")
+    return some, name

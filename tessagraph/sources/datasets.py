@@ -62,3 +62,17 @@ def movie_graph(spark: SparkSession) -> PropertyGraph:
     v = [("p1", "Person", "Ada North", "1970-01-01"), ("p2", "Person", "Ben South", "1980-05-05"), ("m1", "Movie", "The Hill", None), ("m2", "Movie", "The Lake", None), ("m3", "Movie", "The Road", None)]
     e = [(1, "ActedIn", "p1", "m1"), (2, "ActedIn", "p1", "m2"), (3, "ActedIn", "p2", "m2"), (4, "ActedIn", "p2", "m3")]
     return PropertyGraph(spark.createDataFrame(v, "id string, label string, name string, birthDate string"), spark.createDataFrame(e, "id bigint, label string, src string, dst string"))
+
+
+def graph_collection(nodes: DataFrame, edges: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A collection of graphs: (vertices (id, graph_id, label, feat), edges (id, label, src, dst, graph_id), graphs (graph_id, class)).
+
+    nodes: (graph_id, node, feat), edges: (graph_id, src, dst), labels: (graph_id, class); node numbers count per graph, so that ids
+    are 'graph-node'. Edges without both nodes are left out.
+    """
+    vid = lambda n: F.concat_ws("-", F.col("graph_id").cast("string"), F.col(n).cast("string"))
+    v = nodes.select(vid("node").alias("id"), "graph_id", F.lit("node").alias("label"), "feat").dropDuplicates(["id"])
+    e = edges.select(vid("src").alias("src"), vid("dst").alias("dst"), "graph_id").distinct()
+    ids = v.select("id")
+    e = e.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    return v, e.select(F.xxhash64("src", "dst").alias("id"), F.lit("edge").alias("label"), "src", "dst", "graph_id"), labels.select("graph_id", "class")

@@ -119,12 +119,11 @@ def test_messages(spark):
     assert p == pytest.approx(np.sqrt(5))
 
 
-def test_scores():
+def test_scores(spark):
     s = S.EarlyStopping(patience=2)
     assert [s.update(v) for v in (3, 2, 2.5, 2.1)] == [False, False, False, True] and s.best_step == 1
-    assert S.cosine_decay(0, 1, 10, 20) == 0 and S.cosine_decay(10, 1, 10, 20) == 1 and S.cosine_decay(20, 1, 10, 20) == pytest.approx(0)
-    with pytest.raises(ValueError):
-        S.cosine_decay(21, 1, 10, 20)
+    rates = {r.step: r.rate for r in S.warmed_cosine(spark.createDataFrame([(0,), (5,), (10,), (15,), (20,), (21,)], "step int"), 1.0, 10, 20).collect()}
+    assert rates == {0: 0.0, 5: 0.5, 10: 1.0, 15: pytest.approx(0.5), 20: pytest.approx(0), 21: None}
 
 
 def test_score_tables(spark):
