@@ -37,8 +37,10 @@ BUSINESS = {
     "finance": "fin", "insurance": "ins", "pharmaceuticals": "pharma pharm", "logistics": "logist", "travel": "trvl", "aviation": "avn", "printing": "prtg", "foods": "fds food", "instruments": "instr", "bakery": "bkry",
 }
 FORMAL = {s: sorted(f for f, x in SHORT_FORMS.items() if s in x.split()) for x in SHORT_FORMS.values() for s in x.split()} | {f: [f] for f in SHORT_FORMS}
+_LONGEST = sorted((k for k in FORMAL if len(k) >= 4), key=len, reverse=True)
 TRADE = {s: b for b, x in BUSINESS.items() for s in [b, *x.split()]}
 _PLAIN = str.maketrans({"ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ð": "d", "þ": "th", "ı": "i"})
+_NICKNAME = re.compile(r"[\"“”„«»(]")
 #: Suffix length of the index; and the ratio of the longest common subsequence from which two cores are one.
 SUFFIX, RATIO = 3, 0.75
 #: Ratios from which given names that no list has are one, and below which two words are different ones.
@@ -49,6 +51,8 @@ CHUNK, PAIRED = 5_000, 500
 
 def plain(s: str) -> str:
     """Without accents; other letters stay."""
+    if s.isascii():
+        return s
     return "".join(c for c in unicodedata.normalize("NFKD", s.translate(_PLAIN)) if not unicodedata.combining(c))
 
 
@@ -95,7 +99,7 @@ def _trade(word: str) -> str:
 
 def read_person(name: str) -> tuple[list[str], list[str], str]:
     """(parts of the surname, formal given names, initial): any order of the parts; the initial stands only where no given name does."""
-    s = re.sub(r"[\"“”„«»][^\"“”„«»]*[\"“”„«»]|\([^()]*\)", " ", name)
+    s = re.sub(r"[\"“”„«»][^\"“”„«»]*[\"“”„«»]|\([^()]*\)", " ", name) if _NICKNAME.search(name) else name
     if not re.search(r"[\s,.]", s.strip()):
         s = re.sub(r"(?<=[^\W\d_])(?=[A-ZÀ-Þ][a-zà-þ])", " ", s)
     s = plain(s)
@@ -112,8 +116,8 @@ def read_person(name: str) -> tuple[list[str], list[str], str]:
     if last:
         return last, [], initials[0] if initials else ""
     if len(full) == 1 and not initials:
-        for k in sorted(FORMAL, key=len, reverse=True):
-            if len(k) >= 4 and full[0].startswith(k) and len(full[0]) >= len(k) + 3:
+        for k in _LONGEST:
+            if full[0].startswith(k) and len(full[0]) >= len(k) + 3:
                 return [full[0][len(k) :]], FORMAL[k], ""
     if len(full) == 1:
         return full[:1], [], initials[0] if initials else ""
