@@ -49,7 +49,7 @@ def kg_load_rejected(spark: SparkSession, d: str) -> DataFrame:
 def kg_long_ids(spark: SparkSession, d: str) -> DataFrame:
     from tessagraph.functions.text import short_ids
 
-    return short_ids(graph_of_tables(spark, d).vertices, "id", 30).groupBy("label").agg(F.count("*").alias("n"))
+    return short_ids(graph_of_tables(spark, d).vertices, "id", 256).groupBy("label").agg(F.count("*").alias("n"))
 
 
 def _keywords(spark: SparkSession, d: str) -> DataFrame:
@@ -133,7 +133,7 @@ SQL = {
     "kg_triples": _E + " SELECT label AS p, count(*) AS n, count(DISTINCT src) AS subjects FROM e WHERE label IN ('created', 'knows') AND NOT contains(src, '(') AND NOT contains(dst, '(') AND NOT contains(src, ', ') AND NOT contains(dst, ', ') GROUP BY label",
     "kg_load_vertices": _V + " SELECT '1:' || name AS id, label, max(coalesce(CAST(age AS VARCHAR), '0')) AS age, NULL AS price FROM v WHERE label = 'person' GROUP BY name, label UNION ALL SELECT '2:' || name, label, NULL, max(CAST(price AS VARCHAR)) FROM v WHERE label = 'software' AND (price IS NULL OR price % 7 <> 0) GROUP BY name, label",
     "kg_load_rejected": _V + " SELECT label, CASE WHEN label = 'software' THEN 'type' ELSE 'label' END AS why, count(*) AS n FROM v WHERE label NOT IN ('person', 'software') OR (label = 'software' AND price % 7 = 0) GROUP BY ALL",
-    "kg_long_ids": _V + " SELECT label, count(*) AS n FROM v WHERE strlen(id) < 30 GROUP BY label",
+    "kg_long_ids": _V + " SELECT label, count(*) AS n FROM v WHERE strlen(id) < 256 GROUP BY label",
     "rag_exact_match": _K + " SELECT * FROM h",
     "rag_unmatched": _K + " SELECT q, keyword FROM k WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.q = k.q AND contains(h.id, k.keyword))",
     "rag_fuzzy_match": "WITH t AS (SELECT q.vec_id AS query, e.vec_id AS id, list_sum(list_transform(range(1, 65), lambda i: (CAST(q.embedding[i] AS DOUBLE) - e.embedding[i]) ** 2)) AS d FROM embeddings q, embeddings e WHERE q.vec_id % 50 = 0), r AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY query ORDER BY round(d, 12), id) <= 2) SELECT query, id, round(d, 6) AS distance FROM r WHERE d < 2 AND query <> id",
