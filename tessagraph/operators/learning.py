@@ -21,15 +21,16 @@ def arithmetic_hash(c: Column, seed: int, m: int = 1_000_003) -> Column:
 def dense_index(df: DataFrame, key: str, per: Sequence[str] = ()) -> DataFrame:
     """`df` with `idx`: 0.. in the order of the key, per group of `per` if given.
 
-    Without groups the rows are range-partitioned by the key and numbered from the counts of the partitions before, so
-    that no task sees them all. Equal keys follow in any order.
+    The rows are range-partitioned by group and key and numbered from the counts of the partitions before, so that no task sees
+    all of a group. Equal keys follow in any order.
     """
-    if per:
-        return df.withColumn("idx", F.row_number().over(Window.partitionBy(*per).orderBy(key)) - 1)
-    spread = checkpoint(df.repartitionByRange(key).withColumn("_p", F.spark_partition_id()))
-    before = spread.groupBy("_p").agg(F.count("*").alias("_n")).withColumn("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    inner = F.row_number().over(Window.partitionBy("_p").orderBy(key)) - 1
-    return spread.withColumn("_r", inner).join(F.broadcast(before), "_p").withColumn("idx", F.col("_r") + F.col("_b")).drop("_p", "_r", "_b")
+    own = list(per)
+    spread = checkpoint(df.repartitionByRange(*own, key).withColumn("_p", F.spark_partition_id()))
+    before = spread.groupBy(*own, "_p").agg(F.count("*").alias("_n")).withColumn("_b", F.coalesce(F.sum("_n").over(Window.partitionBy(*own).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    inner = F.row_number().over(Window.partitionBy(*own, "_p").orderBy(key)) - 1
+    on = [F.equal_null(F.col(f"a.{c}"), F.col(f"b.{c}")) for c in [*own, "_p"]]
+    numbered = spread.withColumn("_r", inner).alias("a").join(before.alias("b") if own else F.broadcast(before).alias("b"), on)
+    return numbered.select(*[F.col(f"a.{c}") for c in df.columns], (F.col("_r") + F.col("_b")).alias("idx"))
 
 
 def convert_graph(nodes: DataFrame, edges: DataFrame, per: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -141,15 +142,20 @@ def drnl_labels(nodes: DataFrame, edges: DataFrame, pairs: DataFrame) -> DataFra
 
 
 def random_walks(steps: DataFrame, sources: DataFrame, walks: int, length: int, seed: int = 7) -> DataFrame:
-    """(source, walk, path): walks of up to `length` nodes; the next node is the one with the largest hash of walk and step.
+    """(source, walk, path): walks of up to `length` nodes; the next node's number among the neighbours is a hash of walk and step.
 
-    A walk ends early at a node without steps.
+    Neighbours are numbered first, so that a walk meets one row of its node's neighbours and not all those of a hub. A walk
+    ends early at a node without steps.
     """
-    steps = checkpoint(steps.select("src", "dst").distinct())
+    steps = dense_index(steps.select("src", "dst").distinct(), "dst", ["src"]).select("src", "dst", F.col("idx").cast("bigint").alias("at"))
+    steps = checkpoint(steps.join(steps.groupBy("src").agg(F.count("*").alias("deg")), "src"))
+    degree = steps.filter("at = 0").select(F.col("src").alias("node"), "deg")
     w = sources.select("source", F.explode(F.sequence(F.lit(0), F.lit(walks - 1))).alias("walk"), F.array("source").alias("path"))
     for i in range(length - 1):
-        nxt = w.join(steps, F.element_at("path", -1) == F.col("src"), "left")
-        w = checkpoint(nxt.groupBy("source", "walk", "path").agg(F.max_by("dst", F.xxhash64(F.lit(seed), F.lit(i), "source", "walk", "dst")).alias("to")).select("source", "walk", F.when(F.col("to").isNotNull() & (F.size("path") == i + 1), F.concat("path", F.array("to"))).otherwise(F.col("path")).alias("path")))
+        w = w.withColumn("node", F.element_at("path", -1)).join(degree, "node", "left")
+        w = w.withColumn("at", F.pmod(F.xxhash64(F.lit(seed), F.lit(i), "source", "walk"), F.col("deg"))).drop("deg")
+        w = w.join(steps.select(F.col("src").alias("node"), "at", "dst"), ["node", "at"], "left")
+        w = checkpoint(w.select("source", "walk", F.when(F.col("dst").isNotNull() & (F.size("path") == i + 1), F.concat("path", F.array("dst"))).otherwise(F.col("path")).alias("path")))
     return w
 
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessagraph.session import checkpoint
+
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     return df.agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"))
@@ -25,11 +27,12 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 def auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One row: area under the curve by ranks, ties at their mean; null without both classes.
 
-    Ranks come from the counts per distinct score, so that the only unpartitioned window runs over distinct scores.
+    Ranks come from the counts per distinct score, range-partitioned by score: only the partitions' totals are put in one row each.
     """
-    s = df.groupBy(score).agg(F.count("*").alias("n"), F.sum((F.col(label) == 1).cast("bigint")).alias("p"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    x = s.withColumn("rank", before + (F.col("n") + 1) / 2)
+    spread = checkpoint(df.groupBy(score).agg(F.count("*").alias("n"), F.sum((F.col(label) == 1).cast("bigint")).alias("p")).repartitionByRange(score).withColumn("part", F.spark_partition_id()))
+    earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = spread.groupBy("part").agg(F.sum("n").alias("n")).withColumn("base", earlier(Window.orderBy("part"))).drop("n")  # one row per partition
+    x = spread.withColumn("before", earlier(Window.partitionBy("part").orderBy(score))).join(F.broadcast(parts), "part").withColumn("rank", F.col("base") + F.col("before") + (F.col("n") + 1) / 2)
     t = x.agg(F.sum(F.col("p") * F.col("rank")).alias("r"), F.sum("p").alias("p"), F.sum(F.col("n") - F.col("p")).alias("m"))
     return t.select(F.try_divide(F.col("r") - F.col("p") * (F.col("p") + 1) / 2, F.col("p").cast("double") * F.col("m")).alias("auc"))
 
