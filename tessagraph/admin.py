@@ -63,6 +63,16 @@ class GraphSession:
         infos = [(i, tracker.getJobInfo(i)) for i in ids]
         return [{"id": i, "status": x.status, "stages": list(x.stageIds)} for i, x in infos if x]
 
+    def conf(self) -> dict[str, str]:
+        """The session's SQL settings that differ from their defaults."""
+        return {r.key: r.value for r in self.spark.sql("SET").collect()}
+
+    def task(self, job: int) -> dict:
+        x = self.spark.sparkContext.statusTracker().getJobInfo(job)
+        if x is None:
+            raise NotFoundError(str(job))
+        return {"id": job, "status": x.status, "stages": list(x.stageIds)}
+
     def cancel(self, group: str) -> None:
         self.spark.sparkContext.cancelJobGroup(group)
 

@@ -12,6 +12,8 @@ from tessagraph.schema import GraphSchema, schema_of_dict
 from tessagraph.session import checkpoint
 
 ELEMENT = "struct<id:string,label:string,type:string,properties:map<string,string>,outV:string,outVLabel:string,inV:string,inVLabel:string>"
+#: As models may write elements: older answers name an edge's ends source and target.
+WRITTEN = ELEMENT[:-1] + ",source:string,target:string>"
 
 
 def _clean(text: Column) -> Column:
@@ -63,11 +65,13 @@ def json_graph(answer: Column) -> Column:
     Code fences and text around the JSON are ignored; malformed JSON gives an empty array. Elements without a label are left out.
     """
     body = F.regexp_extract(F.regexp_replace(answer, r"```[a-zA-Z]*", ""), r"(?s)(\{.*\}|\[.*\])", 1)
-    both = F.from_json(body, f"struct<vertices:array<{ELEMENT}>,edges:array<{ELEMENT}>>")
-    typed = lambda a, t: F.transform(F.coalesce(a, F.array().cast(f"array<{ELEMENT}>")), lambda x: x.withField("type", F.lit(t)))
-    as_list = F.from_json(body, f"array<{ELEMENT}>")
+    both = F.from_json(body, f"struct<vertices:array<{WRITTEN}>,edges:array<{WRITTEN}>>")
+    none = F.array().cast(f"array<{WRITTEN}>")
+    typed = lambda a, t: F.transform(F.coalesce(a, none), lambda x: x.withField("type", F.lit(t)))
+    as_list = F.from_json(body, f"array<{WRITTEN}>")
     out = F.when(body.startswith("["), as_list).otherwise(F.concat(typed(both.vertices, "vertex"), typed(both.edges, "edge")))
-    return F.filter(F.coalesce(out, F.array().cast(f"array<{ELEMENT}>")), lambda x: x.label.isNotNull() & x.type.isin("vertex", "edge"))
+    good = F.filter(F.coalesce(out, none), lambda x: x.label.isNotNull() & x.type.isin("vertex", "edge"))
+    return F.transform(good, lambda x: x.withField("outV", F.coalesce(x.outV, x.source)).withField("inV", F.coalesce(x.inV, x.target)).dropFields("source", "target"))
 
 
 def valid_value(data_type: str, value: Column) -> Column:

@@ -25,6 +25,14 @@ def seeds(steps: DataFrame, ids: Sequence[str]) -> DataFrame:
     return steps.sparkSession.createDataFrame([(i,) for i in ids], "source string")
 
 
+def sources_where(vertices: DataFrame, label: str | None = None, properties: dict | None = None) -> DataFrame:
+    """(source): vertices of a label whose properties have given values (a list: one of them), as the starts of path searches."""
+    v = vertices if label is None else vertices.filter(F.col("label") == label)
+    for k, want in (properties or {}).items():
+        v = v.filter(F.col(k).isin(list(want) if isinstance(want, (list, tuple, set)) else [want]))
+    return v.select(F.col("id").alias("source")).distinct()
+
+
 def levels(steps: DataFrame, sources: DataFrame, max_depth: int | None) -> list[DataFrame]:
     """(source, node, depth) for depths 0..max_depth, each node at its least distance; None: until no node is new."""
     steps = steps.select("src", "dst").distinct()

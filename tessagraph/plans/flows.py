@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessagraph.functions.models import batch_answers, embed, fill, generate
-from tessagraph.functions.text import chunks, fenced_code, textrank, tokens, top_keywords, without_stop_words
+from tessagraph.functions.text import chunks, fenced_code, hybrid_scores, parse_keywords, textrank, tokens, top_keywords, without_stop_words
 from tessagraph.graph import PropertyGraph
 from tessagraph.operators.loading import json_graph, load_edges, load_vertices
 from tessagraph.operators.query_text import try_text
@@ -17,6 +17,7 @@ from tessagraph.operators.retrieval import exact_matches, expand, merge_rerank,
 from tessagraph.operators.vectors import VectorIndex, refresh, search_many
 from tessagraph.schema import GraphSchema
 from tessagraph.session import checkpoint
+from tessagraph.streaming.streams import each_batch
 
 
 @dataclass(frozen=True)
@@ -71,6 +72,35 @@ def keywords_of(questions: DataFrame, k: int) -> DataFrame:
     return top_keywords(s, "q", "s", k).select(F.col("id").alias("q"), F.col("word").alias("keyword"))
 
 
+def extract_keywords(questions: DataFrame, k: int, method: str = "textrank", model: Callable[[str], str] | None = None, weight: float = 0.5) -> DataFrame:
+    """(q, keyword): the k best by 'textrank', by a 'model' that answers 'KEYWORDS:word:score, ..', or by both scores ('hybrid')."""
+    if method == "textrank":
+        return keywords_of(questions, k)
+    if method not in ("model", "hybrid") or model is None:
+        raise ValueError(f"no method {method!r}, or no model")
+    said = checkpoint(questions.select(F.col("q").alias("id"), generate(F.col("question"), model).alias("a"))).select("id", F.inline(parse_keywords(F.col("a"))))
+    if method == "hybrid":
+        rank = questions.select(F.col("q").alias("id"), F.inline(textrank(without_stop_words(tokens(F.col("question"))))))
+        said = hybrid_scores(rank, said, weight).select("id", "word", "score")
+    best = said.groupBy("id", "word").agg(F.max("score").alias("score")).withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "word")))
+    return best.filter(F.col("r") <= k).select(F.col("id").alias("q"), F.col("word").alias("keyword"))
+
+
+def answer_stream(stream: DataFrame, flow: Callable[[DataFrame], DataFrame], path: str, state: str, every: str | None = None):
+    """Runs a flow on each micro-batch of a stream of questions and appends its rows to a parquet path; a batch that is run again
+    after a failure replaces what it wrote."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        flow(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return each_batch(stream, run, state, every)
+
+
+def example_pairs(examples: Sequence[dict]) -> list[dict]:
+    """Examples for schemas: their descriptions and query texts alone; others, and those without both, are left out."""
+    return [{"description": e["description"], "gremlin": e["gremlin"]} for e in examples if isinstance(e, dict) and e.get("description") and e.get("gremlin")]
+
+
 def graph_recall(questions: DataFrame, g: PropertyGraph, labels: int, s: Settings = Settings(), keywords: DataFrame | None = None) -> DataFrame:
     """(q, source, text): texts of the paths around the vertices that the questions name."""
     hits, _ = exact_matches(keywords if keywords is not None else keywords_of(questions, s.keywords), g.vertices, labels)

@@ -188,3 +188,29 @@ def test_learning_data_and_tasks(spark):
     assert {r.id for r in v.collect()} == {"7-0", "7-1"} and [(r.src, r.dst, r.graph_id) for r in ed.collect()] == [("7-0", "7-1", 7)] and gr.count() == 1
     split = {r.split for r in L.split_graphs(nodes.withColumnRenamed("idx", "graph_id"), L.arithmetic_hash(F.col("graph_id"), 1) / 1_000_003).collect()}
     assert split == {"train", "valid", "test"}
+
+
+def test_keywords_streams_and_sources(spark, g, tmp_path):
+    from tessagraph.admin import GraphSession
+    from tessagraph.errors import NotFoundError
+    from tessagraph.operators.traversal import sources_where
+
+    q = spark.createDataFrame([(1, "Ann cooks stew")], "q bigint, question string")
+    said = X.CannedModel(["KEYWORDS:ann:0.9, stew:0.2, pie:1.0"])
+    assert {r.keyword for r in W.extract_keywords(q, 2, "model", said).collect()} == {"pie", "ann"}
+    assert "ann" in {r.keyword for r in W.extract_keywords(q, 3, "hybrid", said).collect()} and W.extract_keywords(q, 2).count() == 2
+    with pytest.raises(ValueError):
+        W.extract_keywords(q, 2, "other")
+    q.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(q.schema).parquet(str(tmp_path / "in"))
+    W.answer_stream(stream, lambda b: W.answers(b, "raw", X.CannedModel(["yes"])), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert [(r.q, r.answer) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [(1, "yes")]
+    assert W.example_pairs([{"description": "d", "gremlin": "g.V()", "x": 1}, {"description": "d"}, "x"]) == [{"description": "d", "gremlin": "g.V()"}]
+    assert {r.source for r in sources_where(g.vertices, "cook", {"title": ["Ann", "Zoe"]}).collect()} == {"1:Ann"} and sources_where(g.vertices).count() == 4
+    s = GraphSession(spark)
+    assert "spark.app.name" in s.conf()
+    with pytest.raises(NotFoundError):
+        s.task(10**9)
+    old = '{"vertices": [], "edges": [{"label": "makes", "source": "a", "target": "b", "properties": {}}]}'
+    e = spark.createDataFrame([(old,)], "t string").select(F.inline(D.json_graph(F.col("t")))).first()
+    assert (e.outV, e.inV, e.type) == ("a", "b", "edge")
