@@ -141,19 +141,25 @@ def drnl_labels(nodes: DataFrame, edges: DataFrame, pairs: DataFrame) -> DataFra
     return n.select("pair", "node", F.when((F.col("node") == F.col("a")) | (F.col("node") == F.col("b")), 1).otherwise(F.coalesce(z, F.lit(0))).cast("int").alias("z"))
 
 
-def random_walks(steps: DataFrame, sources: DataFrame, walks: int, length: int, seed: int = 7) -> DataFrame:
+def text_draw(*parts: Column) -> Column:
+    """A whole number below 2^32 that any SQL engine computes alike from texts and numbers."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, 8), 16, 10).cast("bigint")
+
+
+def random_walks(steps: DataFrame, sources: DataFrame, walks: int, length: int, seed: int = 7, draw: Callable[..., Column] | None = None) -> DataFrame:
     """(source, walk, path): walks of up to `length` nodes; the next node's number among the neighbours is a hash of walk and step.
 
     Neighbours are numbered first, so that a walk meets one row of its node's neighbours and not all those of a hub. A walk
-    ends early at a node without steps.
+    ends early at a node without steps. `draw` gives a whole number for columns; by default a 64-bit hash.
     """
+    draw = draw or F.xxhash64
     steps = dense_index(steps.select("src", "dst").distinct(), "dst", ["src"]).select("src", "dst", F.col("idx").cast("bigint").alias("at"))
     steps = checkpoint(steps.join(steps.groupBy("src").agg(F.count("*").alias("deg")), "src"))
     degree = steps.filter("at = 0").select(F.col("src").alias("node"), "deg")
     w = sources.select("source", F.explode(F.sequence(F.lit(0), F.lit(walks - 1))).alias("walk"), F.array("source").alias("path"))
     for i in range(length - 1):
         w = w.withColumn("node", F.element_at("path", -1)).join(degree, "node", "left")
-        w = w.withColumn("at", F.pmod(F.xxhash64(F.lit(seed), F.lit(i), "source", "walk"), F.col("deg"))).drop("deg")
+        w = w.withColumn("at", F.pmod(draw(F.lit(seed), F.lit(i), F.col("source"), F.col("walk")), F.col("deg"))).drop("deg")
         w = w.join(steps.select(F.col("src").alias("node"), "at", "dst"), ["node", "at"], "left")
         w = checkpoint(w.select("source", "walk", F.when(F.col("dst").isNotNull() & (F.size("path") == i + 1), F.concat("path", F.array("dst"))).otherwise(F.col("path")).alias("path")))
     return w

@@ -120,7 +120,7 @@ def gml_drnl(spark, d):
 
 def gml_walks(spark, d):
     g = _social(spark, d)
-    w = L.random_walks(g.undirected, g.vertices.filter("label = 'software'").select(F.col("id").alias("source")), 2, 5)
+    w = L.random_walks(g.undirected, g.vertices.filter("label = 'software'").select(F.col("id").alias("source")), 2, 5, draw=L.text_draw)
     return L.skip_grams(w, 5)
 
 
@@ -128,12 +128,12 @@ def gml_sample_neighbors(spark, d):
     g = _social(spark, d, ("serve",))
     steps = g.edges.select("src", "dst")
     seeds = g.vertices.filter("label = 'company'").select(F.col("id").alias("seed"))
-    return L.sample_neighbors(steps, seeds, 5, F.length("src"))
+    return L.sample_neighbors(steps, seeds, 5, F.md5(F.concat("src", F.lit("|"), "dst")))
 
 
 def gml_cluster_parts(spark, d):
     g = _social(spark, d)
-    part = lambda c: F.length(c) % 4
+    part = lambda c: (L.text_draw(F.col(c)) % 4).cast("int")
     return L.cluster_parts(g.edges.select("id", "src", "dst"), part("src"), part("dst")).groupBy("part").agg(F.count("*").alias("edges"))
 
 
@@ -287,6 +287,10 @@ _E = "WITH RECURSIVE " + E + " "
 _KNOWS = "WITH RECURSIVE " + undirected(("knows",)) + ", x AS (SELECT id AS node, coalesce(age, 0) / 100 AS val FROM v WHERE label = 'person'), k AS (SELECT src, dst FROM e WHERE label = 'knows')"
 _Q = "q AS (SELECT embedding AS q FROM embeddings ORDER BY vec_id LIMIT 1)"
 _DEP = "WITH RECURSIVE " + undirected(("reports_to",)) + ", " + levels("bfs", "SELECT id, id, 0 FROM v WHERE label = 'department'", "u", "s0") + ", c AS (SELECT s0 AS source, n AS node, 1 / (d + 1) AS c FROM bfs)"
+def _draw(c: str) -> str:
+    return f"CAST('0x' || substr(md5({c}), 1, 8) AS BIGINT)"
+
+
 def _hash(c: str, seed: int) -> str:
     return f"(((({c}) * 7919 + {seed}) % 1000003 * 104729 + {seed}) % 1000003)"
 
@@ -324,8 +328,9 @@ ga AS (SELECT pair, src, dst FROM g WHERE src <> b AND dst <> b), gb AS (SELECT
 da AS (SELECT pair, n AS node, d AS x FROM xa), db AS (SELECT pair, n AS node, d AS y FROM xb),
 z AS (SELECT CASE WHEN n.node IN (p.a, p.b) THEN 1 ELSE coalesce(1 + CASE WHEN x < y THEN x ELSE y END + ((x + y) // 2) * ((x + y) // 2 + (x + y) % 2 - 1), 0) END AS z FROM n JOIN p USING (pair) LEFT JOIN da ON da.pair = n.pair AND da.node = n.node LEFT JOIN db ON db.pair = n.pair AND db.node = n.node)
 SELECT CAST(z AS INT) AS z, count(*) AS nodes FROM z GROUP BY 1""",
-    "gml_sample_neighbors": _E + ", s AS (SELECT DISTINCT src, dst FROM e JOIN v ON v.id = dst AND v.label = 'company' WHERE e.label = 'serve') SELECT src, dst FROM s QUALIFY row_number() OVER (PARTITION BY dst ORDER BY length(src), src) <= 5",
-    "gml_cluster_parts": _E + "SELECT CAST(length(src) % 4 AS INT) AS part, count(*) AS edges FROM e WHERE label IN ('knows', 'created') AND length(src) % 4 = length(dst) % 4 GROUP BY 1",
+    "gml_sample_neighbors": _E + ", s AS (SELECT DISTINCT src, dst FROM e JOIN v ON v.id = dst AND v.label = 'company' WHERE e.label = 'serve') SELECT src, dst FROM s QUALIFY row_number() OVER (PARTITION BY dst ORDER BY md5(src || '|' || dst), src) <= 5",
+    "gml_cluster_parts": _E + f", p AS (SELECT {_draw('src')} % 4 AS a, {_draw('dst')} % 4 AS b FROM e WHERE label IN ('knows', 'created')) SELECT CAST(a AS INT) AS part, count(*) AS edges FROM p WHERE a = b GROUP BY a",
+    "gml_walks": "WITH RECURSIVE " + undirected(("knows", "created")) + ", st AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dst) - 1 AS at, count(*) OVER (PARTITION BY src) AS deg FROM u), w0 AS (SELECT id AS source, walk, [id] AS path FROM v, (SELECT unnest([0, 1]) AS walk) WHERE label = 'software')" + "".join(f", w{i + 1} AS (SELECT source, walk, CASE WHEN st.dst IS NULL THEN path ELSE list_append(path, st.dst) END AS path FROM w{i} LEFT JOIN st ON st.src = path[-1] AND len(path) = {i + 1} AND st.at = " + _draw("'7|" + str(i) + "|' || source || '|' || walk") + " % st.deg)" for i in range(4)) + ", x AS (SELECT source, walk, unnest(path) AS n, generate_subscripts(path, 1) AS i FROM w4) SELECT DISTINCT a.n AS a, b.n AS b FROM x a JOIN x b ON a.source = b.source AND a.walk = b.walk AND a.i <> b.i AND abs(a.i - b.i) <= 2",
     "gml_node_types": _E + "SELECT label, count(*) AS nodes FROM (SELECT label, src FROM e UNION SELECT label, dst FROM e) GROUP BY label",
     "gml_features": _E + ", p AS (SELECT id, CAST(age AS DOUBLE) AS age, city, year(birthDate) AS y FROM v WHERE label = 'person'), t AS (SELECT city, avg(y) AS m FROM p WHERE y < 1980 GROUP BY city), r AS (SELECT min(age) AS lo, max(age) AS hi, avg(y) AS m FROM p WHERE y < 1980), f AS (SELECT *, coalesce(age, lo - 1) AS a FROM p, r), q AS (SELECT min(a) AS lo2, max(a) AS hi2 FROM f WHERE y < 1980) SELECT id, round((a - lo2) / (hi2 - lo2), 6) AS age, round(coalesce(t.m, f.m), 6) AS city_enc FROM f CROSS JOIN q LEFT JOIN t ON t.city IS NOT DISTINCT FROM f.city",
     "msg_mean": _KNOWS + " SELECT dst AS node, round(avg(val), 6) AS val FROM k JOIN x ON x.node = src GROUP BY dst",
