@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -144,7 +145,11 @@ def refresh(past: DataFrame, present: DataFrame, key: str) -> tuple[DataFrame, D
 
 @dataclass(frozen=True)
 class VectorIndex:
-    """A store of (id bigint, vec, payload) on a parquet path; each change writes a new version directory."""
+    """A store of (id bigint, vec, payload) on a parquet path.
+
+    write() makes a new version directory; add() and remove() write what changes beside the last version, in numbered deltas, and
+    read() puts them together; compact() turns them into a version of its own.
+    """
 
     spark: SparkSession
     path: str
@@ -154,12 +159,22 @@ class VectorIndex:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def versions(self) -> list[int]:
+    def _names(self) -> list[str]:
+        """The directories that were written to their end."""
         fs, p = self._fs()
-        if not fs.exists(p):
-            return []
-        done = self.spark._jvm.org.apache.hadoop.fs.Path
-        return sorted(int(s.getPath().getName()[1:]) for s in fs.listStatus(p) if s.getPath().getName().startswith("v") and fs.exists(done(s.getPath(), "_SUCCESS")))
+        own = self.spark._jvm.org.apache.hadoop.fs.Path
+        return [x.getPath().getName() for x in fs.listStatus(p) if fs.exists(own(x.getPath(), "_SUCCESS"))] if fs.exists(p) else []
+
+    def versions(self) -> list[int]:
+        return sorted(int(n[1:]) for n in self._names() if re.fullmatch(r"v\d+", n))
+
+    def _deltas(self) -> list[tuple[int, str]]:
+        """(number, kind 'add' or 'gone') of the last version's changes, in order."""
+        found = [re.fullmatch(rf"v{self.versions()[-1]}_(\d+)(add|gone)", n) for n in self._names()]
+        return sorted((int(m[1]), m[2]) for m in found if m)
+
+    def _change(self, df: DataFrame, kind: str) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/v{self.versions()[-1]}_{len(self._deltas()) + 1}{kind}")
 
     def exists(self) -> bool:
         return bool(self.versions())
@@ -167,7 +182,22 @@ class VectorIndex:
     def read(self) -> DataFrame:
         if not self.exists():
             raise GraphError(f"no index at {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v{self.versions()[-1]}")
+        own, deltas = f"{self.path}/v{self.versions()[-1]}", self._deltas()
+        rows = self.spark.read.parquet(own)
+        if not deltas:
+            return rows
+        rows = rows.withColumn("_m", F.lit(0))
+        gone = None
+        for m, kind in deltas:
+            part = self.spark.read.parquet(f"{own}_{m}{kind}").withColumn("_m", F.lit(m))
+            if kind == "add":
+                rows = rows.unionByName(part, allowMissingColumns=True)
+            else:
+                gone = part if gone is None else gone.unionByName(part)
+        if gone is not None:  # a removal takes what was there before it
+            last = gone.groupBy("payload").agg(F.max("_m").alias("_g"))
+            rows = rows.join(last, "payload", "left").filter(F.col("_g").isNull() | (F.col("_m") > F.col("_g"))).drop("_g")
+        return rows.drop("_m")
 
     def write(self, df: DataFrame) -> VectorIndex:
         df.write.mode("overwrite").parquet(f"{self.path}/v{(self.versions() or [0])[-1] + 1}")
@@ -178,15 +208,22 @@ class VectorIndex:
         if not self.exists():
             return self.write(df)
         own, new = self.info().first(), df.agg(F.max(F.size("vec"))).first()[0]
-        return self.write(df if own.rows and own.dim != new else self.read().unionByName(df, allowMissingColumns=True))
+        if own.rows and own.dim != new:
+            return self.write(df)
+        self._change(df, "add")
+        return self
 
     def remove(self, payloads: DataFrame) -> int:
         """Removes rows by payload (payload); the number removed."""
-        old = self.read()
-        kept = old.join(payloads.select("payload").distinct(), "payload", "left_anti")
-        n = old.count()
-        self.write(kept)
-        return n - self.read().count()
+        keys = payloads.select("payload").distinct()
+        n = self.read().join(keys, "payload", "left_semi").count()
+        if n:
+            self._change(keys, "gone")
+        return n
+
+    def compact(self) -> VectorIndex:
+        """One version of what the last version and its changes hold."""
+        return self.write(self.read())
 
     def info(self) -> DataFrame:
         return self.read().agg(F.coalesce(F.max(F.size("vec")), F.lit(0)).alias("dim"), F.count("*").alias("rows"), F.count_distinct("payload").alias("payloads"))

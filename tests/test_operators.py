@@ -58,6 +58,8 @@ def test_vectors(spark, tmp_path):
     assert (index.info().first().dim, index.info().first().rows) == (8, 301)
     assert index.search([0.0] * 8, 1).first().id == "zero"
     assert index.remove(spark.createDataFrame([("zero",), ("none",)], "payload string")) == 1 and index.info().first().rows == 300
+    index.add(spark.createDataFrame([(999, [0.0] * 8, "zero")], "id bigint, vec array<double>, payload string"))  # what comes after a removal stays
+    assert index.info().first().rows == 301 and index.compact().info().first().rows == 301 and index.remove(spark.createDataFrame([("zero",)], "payload string")) == 1
     index.add(spark.createDataFrame([(1, [1.0], "a")], "id bigint, vec array<double>, payload string"))
     assert index.info().first().dim == 1
     index.clean()
