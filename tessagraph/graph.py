@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessagraph.errors import NotFoundError
 from tessagraph.operators.orphans import canonical_endpoint
-from tessagraph.session import checkpoint, split_join, stored, table, version
+from tessagraph.session import checkpoint, small, stored, table, version
 
 
 def _matches(df: DataFrame, label: str | None, properties: dict | None) -> DataFrame:
@@ -193,9 +193,10 @@ def _known_edges(raw: dict[str, DataFrame], v: DataFrame) -> DataFrame:
     # The schema table is metadata of a few rows.
     keyed = {r.label: r.label_id for r in raw["vertexlabels"].filter(F.size("primary_keys") > 0).collect()}
     e = raw["edges"].filter(F.col("outV").isNotNull() & F.col("inV").isNotNull())
-    e = checkpoint(e.select(F.col("edge_id").alias("id"), "label", canonical_endpoint(F.col("outV"), F.col("outVLabel"), keyed).alias("src"), canonical_endpoint(F.col("inV"), F.col("inVLabel"), keyed).alias("dst"), "outVLabel", "inVLabel", "properties.*").distinct())
+    e = e.select(F.col("edge_id").alias("id"), "label", canonical_endpoint(F.col("outV"), F.col("outVLabel"), keyed).alias("src"), canonical_endpoint(F.col("inV"), F.col("inVLabel"), keyed).alias("dst"), "outVLabel", "inVLabel", "properties.*")
+    kept = e
     for end, lab in (("src", "outVLabel"), ("dst", "inVLabel")):
-        # Endpoints are counted first, so that the rows of a hub stay where they are.
-        ends = e.groupBy(end, lab).agg((F.count("*") >= 100_000).alias("heavy")).join(v.select(F.col("id").alias(end), F.col("label").alias(lab)), [end, lab], "left_semi")
-        e = split_join(e, checkpoint(ends), [end, lab], "heavy")
-    return e.select("id", "label", "src", "dst", "date", "city", "weight", "shareholdingRatio")
+        # Endpoints are made distinct before the shuffle, so that a hub is one row of it; those without a vertex are few as a rule.
+        lost = checkpoint(e.select(end, lab).distinct().join(v.select(F.col("id").alias(end), F.col("label").alias(lab)), [end, lab], "left_anti"))
+        kept = kept.filter(F.col(lab).isNotNull()).join(F.broadcast(lost) if small(lost) else lost, [end, lab], "left_anti")
+    return kept.distinct().select("id", "label", "src", "dst", "date", "city", "weight", "shareholdingRatio")
