@@ -23,8 +23,7 @@ def _first(spark: SparkSession, d: str) -> list[float]:
 
 
 def _social(spark: SparkSession, d: str, labels: tuple[str, ...] = ("knows", "created")) -> PropertyGraph:
-    g = graph_of_tables(spark, d)
-    return PropertyGraph(g.vertices, checkpoint(g.edges.filter(F.col("label").isin(*labels))))
+    return graph_of_tables(spark, d).restrict(labels)
 
 
 def vec_search_l2(spark, d):

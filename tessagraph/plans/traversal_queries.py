@@ -12,22 +12,20 @@ from pyspark.sql import functions as F
 from tessagraph.graph import PropertyGraph, graph_of_tables
 from tessagraph.operators import traversal as T
 from tessagraph.plans.graph_sql import E, V, undirected
-from tessagraph.session import checkpoint
 
 SOCIAL = ("knows", "created")
 
 
 def _graph(spark: SparkSession, sf_dir: str, labels: tuple[str, ...] = SOCIAL) -> tuple[PropertyGraph, str]:
     g = graph_of_tables(spark, sf_dir)
-    e = checkpoint(g.edges.filter(F.col("label").isin(*labels)))
+    e = g.edges.filter(F.col("label").isin(*labels))
     return PropertyGraph(g.vertices, e), e.filter(F.col("label") == labels[0]).agg(F.min("src")).first()[0]
 
 
 def _whole(spark: SparkSession, sf_dir: str) -> tuple[PropertyGraph, str]:
     """The graph with all labels, and the smallest source of knows."""
     g = graph_of_tables(spark, sf_dir)
-    e = checkpoint(g.edges)
-    return PropertyGraph(g.vertices, e), e.filter("label = 'knows'").agg(F.min("src")).first()[0]
+    return g, g.edges.filter("label = 'knows'").agg(F.min("src")).first()[0]
 
 
 def _text(df: DataFrame) -> DataFrame:
