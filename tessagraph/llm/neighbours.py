@@ -5,16 +5,23 @@ Searches run for many queries at once on arrays; all sizes below are parameters
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessagraph.session import checkpoint, split_join
+from tessagraph.session import BROADCAST_ROWS, checkpoint, shared_dir, split_join
+
+#: Rows of one direction from which it is heavy.
+HEAVY_COPIES = 100_000
 
 
 @dataclass(frozen=True)
@@ -22,7 +29,8 @@ class GraphRule:
     """degree: edges kept per node. beam, build_beam: candidates kept in a search. relax: a candidate is pruned if it is this many
     times nearer (squared distance) to a kept neighbour than to the node. width: nodes opened per step. batch: queries at once.
     starts: nodes at which every search may begin. shard_rows: vectors from which a shard is split, while the cluster has slots
-    for more graphs; most_rows: vectors that one task's memory holds, beyond which there are more shards than slots."""
+    for more graphs; most_rows: vectors that one task's memory holds, beyond which there are more shards than slots. piece_rows: vectors
+    that a task takes to the graphs."""
 
     degree: int = 48
     beam: int = 48
@@ -33,6 +41,7 @@ class GraphRule:
     starts: int = 256
     shard_rows: int = 32_768
     most_rows: int = 500_000
+    piece_rows: int = 65_536
 
 
 def beam_search(points: np.ndarray, edges: np.ndarray, queries: np.ndarray, starts: np.ndarray, beam: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +104,7 @@ class NearLists:
         a, b, sim = a[better], b[better], sim[better]
         if not len(a):
             return
-        at = np.unique(a * len(self.ids) + b.astype(np.int64), return_index=True)[1]
+        at = np.unique(a.astype(np.int64) * len(self.ids) + b, return_index=True)[1]  # 32 bits would do for 46,340 nodes only
         a, b, sim = a[at], b[at], sim[at]
         new = ~(self.ids[a] == b[:, None]).any(1)
         a, b, sim = a[new], b[new], sim[new]
@@ -213,11 +222,24 @@ def build_graph(points: np.ndarray, rule: GraphRule, k: int = 10, seed: int = 7)
     return edges, order[: rule.starts], near
 
 
-def unit_vectors(df: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFrame:
+def own_partitions(spark: SparkSession, n: int) -> list[int]:
+    """For each of n partitions a whole number that Spark's hash partitioning sends there, so that n groups of rows get one each."""
+    tried = spark.range(n * (n.bit_length() + 12)).select(F.col("id").cast("int").alias("k"))
+    found = {r.p: r.k for r in tried.groupBy(F.pmod(F.hash("k"), F.lit(n)).alias("p")).agg(F.min("k").alias("k")).collect()}
+    return [found.get(i, i) for i in range(n)]
+
+
+#: Whole units of a unit vector's numbers: nine digits, which 32 bits hold.
+BILLION = 1_000_000_000
+
+
+def unit_vectors(df: DataFrame, id_col: str, vec_col: str, dim: int, whole: bool = False) -> DataFrame:
     """(id, unit): the usable vectors at length 1, to nine digits, so that vectors of one direction are equal.
 
-    Usable are vectors of `dim` finite numbers that are not all zero; very large and small numbers do no harm.
+    Usable are vectors of `dim` finite numbers that are not all zero; very large and small numbers do no harm. whole: the
+    numbers are billionths, as integers, which say the same in half the bytes.
     """
+    kind = pa.int32() if whole else pa.float64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -227,102 +249,182 @@ def unit_vectors(df: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFram
             good = np.isfinite(x).all(1) & (x != 0).any(1)
             x = x[good]
             x = x / np.abs(x).max(1, initial=0, keepdims=True)
-            x = np.round(x / np.sqrt((x * x).sum(1, keepdims=True)), 9) + 0.0
-            yield pa.RecordBatch.from_pydict({"id": b.column("id").filter(pa.array(good)), "unit": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), dim).cast(pa.list_(pa.float64()))})
+            x = x / np.sqrt((x * x).sum(1, keepdims=True))
+            x = np.rint(x * BILLION).astype(np.int32) if whole else np.round(x, 9) + 0.0
+            yield pa.RecordBatch.from_pydict({"id": b.column("id").filter(pa.array(good)), "unit": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), dim).cast(pa.list_(kind))})
 
     src = df.select(df[id_col].alias("id"), df[vec_col].alias("vec"))
-    return src.mapInArrow(run, f"id {dict(src.dtypes)['id']}, unit array<double>")
-
+    return src.mapInArrow(run, f"id {dict(src.dtypes)['id']}, unit array<{'int' if whole else 'double'}>")
 
-def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks] or [np.zeros(0)]).reshape(-1, dim)
 
+def fixed_lists(x: np.ndarray) -> pa.FixedSizeListArray:
+    return pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1])
 
-def graph_index(reps: DataFrame, dim: int, k: int, shards: int, rule: GraphRule) -> DataFrame:
-    """(shard, pos, id, unit, edges, start, near, near_sim): one graph per shard of `reps` (id, unit), written once."""
-
-    def build(t: pa.Table) -> pa.Table:
-        t = t.sort_by("id")
-        exact = _matrix(t["unit"], dim)
-        edges, starts, near = build_graph(exact.astype(np.float32), rule, k)
-        n, ids = t.num_rows, t["id"].to_numpy()
-        other, sims = np.empty((n, k), ids.dtype), np.empty((n, k))
-        for at in range(0, n, 8192):
-            got = near.ids[at : at + 8192]
-            sim = np.where(got >= 0, np.einsum("bd,bcd->bc", exact[at : at + 8192], exact[np.maximum(got, 0)]), -np.inf)
-            top = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-            other[at : at + 8192], sims[at : at + 8192] = ids[np.maximum(np.take_along_axis(got, top, 1), 0)], np.take_along_axis(sim, top, 1)
-        lists = lambda x, kind: pa.FixedSizeListArray.from_arrays(pa.array(x.ravel(), kind), x.shape[1]).cast(pa.list_(kind))
-        return pa.table({"shard": t["shard"], "pos": pa.array(np.arange(n, dtype=np.int32)), "id": t["id"], "unit": t["unit"], "edges": lists(edges, pa.int32()), "start": pa.array(np.isin(np.arange(n), starts)), "near": lists(other, t.schema.field("id").type), "near_sim": lists(sims, pa.float64())})
 
-    kind = dict(reps.dtypes)["id"]
-    sharded = reps.select("id", "unit", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"))
-    return checkpoint(sharded.groupBy("shard").applyInArrow(build, f"shard int, pos int, id {kind}, unit array<double>, edges array<int>, start boolean, near array<{kind}>, near_sim array<double>"))
+def read_shard(path: str, columns: list[str]) -> dict[str, np.ndarray | pa.ListArray]:
+    """Columns of a shard's file: mapped, not loaded, where the shared folder is a mounted one. Fixed lists come as matrices."""
+    files, at = fs.FileSystem.from_uri(path)
+    source = pa.memory_map(at) if isinstance(files, fs.LocalFileSystem) else files.open_input_file(at)
+    names = pa.ipc.open_file(source).schema.names
+    source.seek(0)
+    got = pa.ipc.open_file(source, options=pa.ipc.IpcReadOptions(included_fields=[names.index(c) for c in columns])).get_batch(0)
+    return {c: x.values.to_numpy().reshape(-1, x.type.list_size) if pa.types.is_fixed_size_list(x.type) else x if pa.types.is_list(x.type) else x.to_numpy(zero_copy_only=False) for c in columns for x in [got[c]]}
 
 
-def own_partitions(spark: SparkSession, n: int) -> list[int]:
-    """For each of n partitions a whole number that Spark's hash partitioning sends there, so that n groups of rows get one each."""
-    tried = spark.range(n * (n.bit_length() + 12)).select(F.col("id").cast("int").alias("k"))
-    found = {r.p: r.k for r in tried.groupBy(F.pmod(F.hash("k"), F.lit(n)).alias("p")).agg(F.min("k").alias("k")).collect()}
-    return [found.get(i, i) for i in range(n)]
+def exact_similarities(asked: np.ndarray, units: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """Of each asked vector with each of its nodes, to nine digits; -inf where a node is -1."""
+    sim = np.einsum("bd,bcd->bc", asked / BILLION, units[np.maximum(nodes, 0)] / BILLION)
+    sim[nodes < 0] = -np.inf
+    return sim
 
 
-def search_shards(index: DataFrame, dim: int, k: int, shards: int, slots: int, rule: GraphRule) -> DataFrame:
-    """(id, other, similarity): the k nearest of each vector of the index in each shard.
+def graph_index(rows: DataFrame, dim: int, k: int, shards: int, rule: GraphRule, folder: str) -> list[tuple[str, int]]:
+    """(path, nodes) of each shard: one graph per shard of `rows` (id, unit, h1, h2), written by its task into a file in `folder`.
 
-    Each shard's graph goes once to each of its tasks, of which all shards together have about as many as the cluster has
-    slots, and the vectors of the other shards stream past it in Arrow batches; a task holds one graph and one batch. In its
-    own shard a vector has met its nearest when the graph was built.
+    A node is a direction, with the first k + 1 ids of its rows. A task streams its rows, sorted by direction, onto its own disk;
+    its memory holds the vectors in single precision, their edges and the nearest so far. A file counts only if its task ended well.
     """
-    kind = dict(index.dtypes)["id"]
-    own = index.select("id", F.inline(F.arrays_zip(F.col("near").alias("other"), F.col("near_sim").alias("similarity")))).filter("similarity > double('-infinity')")
-    if shards == 1:
-        return own
-    type_ = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
-
-    def look(graph: dict, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        asked, own = _matrix(pa.chunked_array([batch["unit"]]), dim), batch["id"].to_numpy(zero_copy_only=False)
-        for i in range(0, len(asked), rule.batch):
-            q = asked[i : i + rule.batch]
-            ids, _ = beam_search(graph["points"], graph["edges"], q.astype(np.float32), graph["starts"], max(rule.beam, k), rule.width)
-            sim = np.einsum("bd,bcd->bc", q, graph["exact"][np.maximum(ids, 0)])
-            sim[ids < 0] = -np.inf
-            top = np.argsort(-sim, axis=1, kind="stable")[:, :k]
-            s, other = np.take_along_axis(sim, top, 1), graph["id"][np.maximum(np.take_along_axis(ids, top, 1), 0)]
-            good = np.isfinite(s)
-            yield pa.RecordBatch.from_pydict({"id": pa.array(np.repeat(own[i : i + rule.batch], good.sum(1)), type_), "other": pa.array(other[good], type_), "similarity": pa.array(s[good])})
+    cell = F.element_at(F.array(*[F.lit(x) for x in own_partitions(rows.sparkSession, shards)]), F.pmod("h1", F.lit(shards)).cast("int") + 1)
+    laid = rows.withColumn("cell", cell).repartition(shards, "cell").sortWithinPartitions("cell", "h1", "h2", "id")
+
+    def write(spool: BinaryIO, ids: list[pa.Array], size: list[np.ndarray]) -> tuple[str, int]:
+        count = np.concatenate(size)
+        n = len(count)
+        spool.flush()
+        units = np.memmap(spool, np.int32, "r", shape=(n, dim))
+        points = np.empty((n, dim), np.float32)
+        np.multiply(units, 1 / BILLION, out=points, casting="unsafe")
+        edges, starts, near = build_graph(points, rule, k)
+        best = np.empty((n, k), np.int32)
+        for at in range(0, n, 8192):
+            got = near.ids[at : at + 8192]
+            sim = exact_similarities(units[at : at + 8192], units, got)
+            best[at : at + 8192] = np.take_along_axis(got, np.argsort(-sim, axis=1, kind="stable")[:, :k], 1)
+        first = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+        members = pa.ListArray.from_arrays(pa.array(first), pa.concat_arrays(ids))
+        t = pa.RecordBatch.from_pydict({"unit": fixed_lists(units), "edges": fixed_lists(edges), "start": pa.array(np.isin(np.arange(n), starts).astype(np.int8)), "near": fixed_lists(best), "members": members})
+        files, at = fs.FileSystem.from_uri(path := f"{folder}/{uuid4().hex}.arrow")
+        files.create_dir(at.rpartition("/")[0])
+        with files.open_output_stream(at) as out, pa.ipc.new_file(out, t.schema) as w:
+            w.write_batch(t)
+        return path, n
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, spool, ids, size, last, seen = None, None, [], [], None, 0
+
+        def done() -> pa.RecordBatch:
+            path, n = write(spool, ids, size)
+            return pa.RecordBatch.from_pydict({"path": [path], "nodes": pa.array([n], pa.int64())})
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, graph, of = [], None, None
         for b in batches:
-            cell = b["cell"].to_numpy()
-            cut = [0, *(np.flatnonzero(np.diff(cell)) + 1), len(cell)]
+            cells = b["cell"].to_numpy()
+            cut = [0, *(np.flatnonzero(np.diff(cells)) + 1), len(cells)]
             for lo, hi in zip(cut, cut[1:]):
                 if hi == lo:
                     continue
+                if cells[lo] != of:
+                    if of is not None:
+                        yield done()
+                    of, spool, ids, size, last, seen = cells[lo], tempfile.TemporaryFile(), [], [], None, 0
                 piece = b.slice(lo, hi - lo)
-                if cell[lo] != of:
-                    parts, graph, of = [], None, cell[lo]
-                nodes = piece.filter(pc.is_valid(piece["pos"]))
-                if nodes.num_rows:
-                    parts.append(nodes)
-                rest = piece.filter(pc.is_null(piece["pos"]))
-                if not rest.num_rows or not parts:
-                    continue
-                if graph is None:
-                    t = pa.Table.from_batches(parts)
-                    exact, parts = _matrix(t["unit"], dim), [True]
-                    graph = {"exact": exact, "points": exact.astype(np.float32), "edges": np.concatenate([c.flatten().to_numpy() for c in t["edges"].chunks]).reshape(t.num_rows, -1), "starts": np.flatnonzero(t["start"].to_numpy()), "id": t["id"].to_numpy()}
-                yield from look(graph, rest)
-
-    blocks = max(1, -(-slots // shards))
-    keys = own_partitions(index.sparkSession, shards * blocks)
-    cell = F.element_at(F.array(*[F.lit(k) for k in keys]), F.col("shard") * blocks + F.col("block") + 1)
-    g = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(cell.alias("cell"), "pos", "id", "unit", "edges", "start")
-    q = index.select("id", "unit", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"), F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("shard"))).alias("shard"))
-    q = q.select(cell.alias("cell"), F.lit(None).cast("int").alias("pos"), "id", "unit", F.lit(None).cast("array<int>").alias("edges"), F.lit(None).cast("boolean").alias("start"))
-    rows = g.unionByName(q).repartition(shards * blocks, "cell").sortWithinPartitions("cell", F.col("pos").asc_nulls_last())
-    return own.unionByName(rows.mapInArrow(search, f"id {kind}, other {kind}, similarity double"))
+                key = np.stack([piece["h1"].to_numpy(), piece["h2"].to_numpy()], 1)
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]).any(1)
+                new[0] = last is None or (key[0] != last).any()
+                run = np.cumsum(new) - new[0]  # 0 is the direction that the rows before ended with, unless the first is new
+                begin = np.flatnonzero(new)
+                held = 0 if new[0] else seen
+                place = np.arange(len(key)) - (begin[run] if new[0] else np.concatenate([[-held], begin])[run])
+                kept = place <= k
+                piece["unit"].filter(pa.array(new)).flatten().to_numpy().tofile(spool)
+                ids.append(piece["id"].filter(pa.array(kept)))
+                counts = np.bincount(run[kept], minlength=run[-1] + 1)
+                if not new[0]:
+                    size[-1][-1] += counts[0]
+                    counts = counts[1:]
+                if len(counts):
+                    size.append(counts)
+                last, seen = key[-1], place[-1] + 1
+        if of is not None:
+            yield done()
+
+    return [(r.path, r.nodes) for r in laid.select("cell", "h1", "h2", "id", "unit").mapInArrow(build, "path string, nodes bigint").collect()]
+
+
+def order_by(*keys: np.ndarray) -> np.ndarray:
+    """The order by the keys, the first one first, along the last axis; strings count by their place among these."""
+    return np.lexsort([np.unique(x, return_inverse=True)[1].reshape(x.shape) if x.dtype == object else x for x in reversed(keys)], axis=-1)
+
+
+def search_shards(spark: SparkSession, kind: str, index: list[tuple[str, int]], k: int, slots: int, rule: GraphRule) -> DataFrame:
+    """(id, copied, other, similarity): for each node, by its first id, up to k + 1 rows that are nearest to its direction, and their similarities.
+
+    First come the node's own rows if it has several (copied), the smallest ids first, then those of the k nearest nodes. A task
+    takes a piece of one shard's nodes to every graph, one after the other, and keeps the k nearest so far: its memory holds one graph's
+    vectors and its piece, and no vector is shuffled. In its own shard a node has met its nearest when the graph was built.
+    """
+    blocks = [max(1, -(-slots // len(index)), -(-n // rule.piece_rows)) for _, n in index]
+    pieces = [(s, n * i // m, n * (i + 1) // m) for (s, (_, n)), m in zip(enumerate(index), blocks) for i in range(m) if n * i // m < n * (i + 1) // m]
+    type_ = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
+
+    def rep_ids(members: pa.ListArray, nodes: np.ndarray) -> np.ndarray:
+        return members.values.take(pa.array(members.offsets.to_numpy()[:-1][nodes.ravel()])).to_numpy(zero_copy_only=False).reshape(nodes.shape)
+
+    def answer(s: int, lo: int, hi: int, members: list[pa.ListArray]) -> Iterator[pa.RecordBatch]:
+        mine = read_shard(index[s][0], ["unit", "near"])
+        asked, node = mine["unit"][lo:hi], mine["near"][lo:hi].copy()
+        sim = np.concatenate([exact_similarities(asked[i : i + 8192], mine["unit"], node[i : i + 8192]) for i in range(0, hi - lo, 8192)])
+        shard = np.full(node.shape, s, np.int32)
+        rep = rep_ids(members[s], np.maximum(node, 0)).copy()
+        for other in [*range(s + 1, len(index)), *range(s)]:
+            g = read_shard(index[other][0], ["unit", "edges", "start"])
+            points, edges, starts = np.empty(g["unit"].shape, np.float32), g["edges"], np.flatnonzero(g["start"])
+            np.multiply(g["unit"], 1 / BILLION, out=points, casting="unsafe")
+            for i in range(0, len(asked), rule.batch):
+                at = slice(i, i + rule.batch)
+                ids, _ = beam_search(points, edges, (asked[at] / BILLION).astype(np.float32), starts, max(rule.beam, k), rule.width)
+                got = exact_similarities(asked[at], g["unit"], ids)
+                top = np.argsort(-got, axis=1, kind="stable")[:, :k]
+                ids, got = np.take_along_axis(ids, top, 1), np.take_along_axis(got, top, 1)
+                both = [np.concatenate(x, 1) for x in ((sim[at], got), (rep[at], rep_ids(members[other], np.maximum(ids, 0))), (shard[at], np.full_like(ids, other)), (node[at], ids))]
+                top = order_by(-both[0], both[1])[:, :k]
+                sim[at], rep[at], shard[at], node[at] = (np.take_along_axis(x, top, 1) for x in both)
+        for i in range(0, hi - lo, 4096):
+            yield rows_of(s, np.arange(lo + i, min(hi, lo + i + 4096)), shard[i : i + 4096], node[i : i + 4096], sim[i : i + 4096], members)
+
+    def rows_of(s: int, own: np.ndarray, shard: np.ndarray, node: np.ndarray, sim: np.ndarray, members: list[pa.ListArray]) -> pa.RecordBatch:
+        """The lists of the nodes `own` of shard s: their rows and those of their nearest nodes, in order."""
+        several = np.diff(members[s].offsets.to_numpy())[own] > 1
+        row, col = np.nonzero(np.isfinite(sim))
+        asks = [(s, np.flatnonzero(several), own[several], np.zeros(several.sum(), np.int8), np.ones(several.sum()))]
+        for t in np.unique(shard[row, col]):
+            r, c = row[at := shard[row, col] == t], col[at]
+            asks.append((t, r, node[r, c], np.ones(len(r), np.int8), sim[r, c]))
+        found = []
+        for t, r, p, tier, x in asks:
+            off = members[t].offsets.to_numpy()
+            many = off[p + 1] - off[p]
+            spot = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(off[p], many)
+            found.append((np.repeat(r, many), np.repeat(tier, many), np.repeat(x, many), members[t].values.take(pa.array(spot)).to_numpy(zero_copy_only=False)))
+        r, tier, x, ids = (np.concatenate(y) for y in zip(*found))
+        o = order_by(r, tier, -x, ids)
+        r, x, ids = r[o], x[o], ids[o]
+        kept = np.arange(len(r)) - np.searchsorted(r, r) <= k
+        first = pa.array(np.concatenate([[0], np.cumsum(np.bincount(r[kept], minlength=len(own)))]).astype(np.int32))
+        return pa.RecordBatch.from_pydict({"id": pa.array(rep_ids(members[s], own), type_), "copied": pa.array(several), "other": pa.ListArray.from_arrays(first, pa.array(ids[kept], type_)), "similarity": pa.ListArray.from_arrays(first, pa.array(x[kept]))})
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members = [read_shard(path, ["members"])["members"] for path, _ in index]
+        for b in batches:
+            for t in b["id"].to_pylist():
+                yield from answer(*pieces[t], members)
+
+    return spark.range(0, len(pieces), 1, len(pieces)).mapInArrow(search, f"id {kind}, copied boolean, other array<{kind}>, similarity array<double>")
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def nearest_vectors(df: DataFrame, id_col: str, vec_col: str, k: int = 10, dim: int = 64, rule: GraphRule = GraphRule()) -> DataFrame:
@@ -333,31 +435,33 @@ def nearest_vectors(df: DataFrame, id_col: str, vec_col: str, k: int = 10, dim:
     asks for, but no more than the cluster has slots unless `rule.most_rows` demands it, so that graphs grow with the vectors
     and the work grows with vectors times slots. Every node queries every shard. The index is approximate; similarities are
     exact to nine digits. Vectors that are null, of another length, all zero, or hold a null, NaN or infinity take no
-    part. Ids are unique numbers or strings. An empty table gives an empty result.
+    part. Ids are unique numbers or strings. An empty table gives an empty result. `df` is read twice; its vectors are shuffled
+    once and stored once, in the graphs' files in the shared folder, which go when the search is over.
     """
-    src = unit_vectors(df, id_col, vec_col, dim)
-    keyed = checkpoint(src.withColumns({"h1": F.xxhash64("unit"), "h2": F.xxhash64(F.lit(5), "unit")}))
-    groups = keyed.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("m"))
-    many = checkpoint(groups.filter("m > 1").withColumn("heavy", F.col("m") > 100_000))
-    copies = checkpoint(split_join(keyed.select("id", "h1", "h2"), many.drop("m"), ["h1", "h2"], "heavy"))
-    reps = checkpoint(keyed.select("id", "unit").join(copies.filter("id <> rep").select("id"), "id", "left_anti"))
-    n = reps.count()
+    spark = df.sparkSession
+    src = unit_vectors(df, id_col, vec_col, dim, whole=True).withColumns({"h1": F.xxhash64("unit"), "h2": F.xxhash64(F.lit(5), "unit")})
+    kind = dict(src.dtypes)["id"]
+    keyed = checkpoint(src.select("id", "h1", "h2"))
+    many = checkpoint(keyed.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.count("*").alias("m")).filter("m > 1").withColumn("heavy", F.col("m") > HEAVY_COPIES))
+    n = keyed.count() - (many.agg(F.sum(F.col("m") - 1)).first()[0] or 0)
     if n == 0:
-        return df.sparkSession.createDataFrame([], f"id {dict(src.dtypes)['id']}, rank int, other {dict(src.dtypes)['id']}, similarity double")
-    slots = df.sparkSession.sparkContext.defaultParallelism
+        return spark.createDataFrame([], f"id {kind}, rank int, other {kind}, similarity double")
+    copies = checkpoint(split_join(keyed, many.drop("m"), ["h1", "h2"], "heavy"))
+    slots = spark.sparkContext.defaultParallelism
     shards = max(min(slots, -(-n // rule.shard_rows)), -(-n // rule.most_rows))
-    found = search_shards(graph_index(reps, dim, k, shards, rule), dim, k, shards, slots, rule)
-    found = found.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "other"))).filter(F.col("r") <= k).drop("r")
-    near = checkpoint(found.withColumnRenamed("id", "rep"))
-    # The first k + 1 rows of each direction with copies stand for all of it.
-    first = copies.withColumn("r", F.row_number().over(Window.partitionBy("rep").orderBy("id"))).filter(F.col("r") <= k + 1).select("rep", "id")
-    own = first.select("rep", F.col("id").alias("other"), F.lit(1.0).alias("similarity"), F.lit(0).alias("tier"))
-    others = near.join(first.select(F.col("rep").alias("other"), F.col("id").alias("member")), "other", "left").select("rep", F.coalesce("member", "other").alias("other"), "similarity", F.lit(1).alias("tier"))
-    ranked = own.unionByName(others).withColumn("r", F.row_number().over(Window.partitionBy("rep").orderBy("tier", F.desc("similarity"), "other"))).filter(F.col("r") <= k + 1)
-    lists = ranked.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("r", "other", "similarity"))).alias("list"))  # at most k + 1 entries
-    heavy = many.filter("heavy").select("rep", F.lit(True).alias("heavy"))
-    side = checkpoint(lists.join(heavy, "rep", "left").withColumn("heavy", F.coalesce("heavy", F.lit(False))))
-    rows = reps.select(F.col("id"), F.col("id").alias("rep")).unionByName(copies.filter("id <> rep").select("id", "rep"))
-    joined = split_join(rows, side, ["rep"], "heavy")
+    heavy = many.filter("heavy").select("h1", "h2")
+    if 0 < heavy.count() <= BROADCAST_ROWS:  # of these directions only the first k + 1 rows travel
+        ranked = copies.join(F.broadcast(heavy), ["h1", "h2"]).withColumn("r", F.row_number().over(Window.partitionBy("h1", "h2").orderBy("id"))).filter(F.col("r") <= k + 1)
+        last = ranked.groupBy("h1", "h2").agg(F.max("id").alias("last"))
+        src = src.join(F.broadcast(last), ["h1", "h2"], "left").filter("last IS NULL OR id <= last").drop("last")
+    folder = f"{shared_dir(spark)}/graphs-{uuid4().hex}"
+    try:
+        index = graph_index(src, dim, k, shards, rule, folder)
+        lists = checkpoint(search_shards(spark, kind, index, k, slots, rule))
+    finally:
+        drop_folder(spark, folder)
+    near = lists.select("id", F.arrays_zip("other", "similarity").alias("list"))
+    side = lists.filter("copied").select(F.col("id").alias("rep"), F.arrays_zip("other", "similarity").alias("list")).join(many.select("rep", "heavy"), "rep")
+    joined = near.unionByName(split_join(copies.filter("id <> rep").select("id", "rep"), side, ["rep"], "heavy").select("id", "list"))
     mine = F.slice(F.filter("list", lambda x: x.other != F.col("id")), 1, k)
     return joined.select("id", F.posexplode(mine).alias("p", "x")).select("id", (F.col("p") + 1).alias("rank"), F.col("x.other").alias("other"), F.col("x.similarity").alias("similarity"))

@@ -1,12 +1,15 @@
 import random
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
 
+from tessagraph.llm import neighbours
 from tessagraph.llm.names import components, entity_pairs, lcs, link_names, one_slip, read_company, read_person
-from tessagraph.llm.neighbours import GraphRule, nearest_vectors
+from tessagraph.llm.neighbours import GraphRule, NearLists, nearest_vectors
 from tessagraph.llm.recall import recall
+from tessagraph.session import shared_dir
 
 
 @pytest.mark.parametrize("name", ["Matthew Trombemwyn", "Trombemwyn, Matt", 'Matthew "Matt" Trombemwyn', "TROMBEMWYN Matthew", "Dr. matthew  trómbemwyn", "MatthewTrombemwyn", "Mathew J. Trombemwyn", "trombemwyn matthew"])
@@ -132,3 +135,42 @@ def test_nearest_vectors_small_tables(spark):
 def test_recall_of_several_graphs(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/feat_vertices.parquet")
     assert recall(df, "vertex_id", "feat", rule=GraphRule(shard_rows=250), each=5) > 0.97
+
+
+def test_nodes_met_in_large_graphs():
+    """Pairs whose places in the matrix of all pairs differ by 2^32 are different pairs."""
+    near = NearLists(70_000, 1)
+    near.meet(np.array([0, 61_356], np.int32), np.array([5, 47_301], np.int32), np.array([0.5, 0.25], np.float32))
+    assert near.ids[[0, 61_356], 0].tolist() == [5, 47_301]
+
+
+def test_vectors_travel_once(spark):
+    """What is shuffled and stored does not grow with the graphs, and their files go when the search is over."""
+    df = spark.read.parquet("/root/testdata/sf0.01/feat_vertices.parquet")
+    sc, gate = spark.sparkContext._jsc.sc(), spark.sparkContext._gateway
+
+    def stages():
+        sc.listenerBus().waitUntilEmpty(30_000)
+        found = sc.statusStore().stageList(None, False, False, gate.new_array(gate.jvm.double, 0), gate.jvm.java.util.ArrayList())
+        return {x.stageId(): x.shuffleWriteBytes() for x in (found.apply(i) for i in range(found.size()))}
+
+    def moved(rows):
+        seen = stages()
+        assert nearest_vectors(df, "vertex_id", "feat", rule=GraphRule(shard_rows=rows, most_rows=rows)).count() > 5000
+        return sum(n for k, n in stages().items() if k not in seen)
+
+    assert moved(40) < 1.5 * moved(300)
+    assert not list(Path(shared_dir(spark).removeprefix("file:")).glob("graphs-*"))
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_copies_across_graphs(spark, kind, monkeypatch):
+    """Directions with many rows, in several graphs and pieces: as with one graph."""
+    data = [(i, v) for i, v, _ in vectors(120, copies=40) if i < 20_000] + [(30_000 + i, [x * 2 for x in v]) for i, v, _ in vectors(120)[:30]]
+    df = spark.createDataFrame(data, "vertex_id bigint, feat array<double>").selectExpr(f"CAST(vertex_id AS {kind}) vertex_id", "feat")
+    few = GraphRule(beam=60, shard_rows=40, most_rows=40, piece_rows=7)
+    rows = lambda rule: {(r.id, r.rank): (r.other, round(r.similarity, 6)) for r in nearest_vectors(df, "vertex_id", "feat", 10, 16, rule).collect()}
+    want = rows(GraphRule(beam=200, build_beam=200))
+    assert len(want) == 10 * len(data) and rows(few) == want
+    monkeypatch.setattr(neighbours, "HEAVY_COPIES", 3)
+    assert rows(few) == want
