@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessagraph.errors import NotFoundError
 from tessagraph.operators.orphans import canonical_endpoint
-from tessagraph.session import checkpoint, small, stored, table, version
+from tessagraph.session import checkpoint, is_stored, small, stored, table, version
 
 
 def _matches(df: DataFrame, label: str | None, properties: dict | None) -> DataFrame:
@@ -167,17 +167,22 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, dfs)
 
 
-def graph_of_tables(spark: SparkSession, sf_dir: str) -> PropertyGraph:
+def graph_of_tables(spark: SparkSession, sf_dir: str, labels: Sequence[str] = ()) -> PropertyGraph:
     """The graph of a data directory: each vertex as last loaded unless it was removed after that, each edge once, edges
     without both vertices left out.
 
-    Both tables are made once per application and state of the files, and then read from the shared folder.
+    Both tables are made once per application and state of the files, and then read from the shared folder. With `labels` the
+    graph has edges of these labels only, and no others are looked up; where the edges of all labels are stored, they serve.
     """
     names = ("vertices", "base_vertices", "edges", "vertex_removals", "vertexlabels")
     raw = {n: table(spark, sf_dir, n) for n in names}
     key = "graph-" + hashlib.blake2b(version(*raw.values()).encode(), digest_size=12).hexdigest()
     v = stored(spark, f"{key}-vertices", lambda: _present_vertices(raw))
-    return PropertyGraph(v, stored(spark, f"{key}-edges", lambda: _known_edges(raw, v)))
+    if labels and not is_stored(spark, f"{key}-edges"):
+        own = raw | {"edges": raw["edges"].filter(F.col("label").isin(list(labels)))}
+        return PropertyGraph(v, stored(spark, f"{key}-edges-{'-'.join(sorted(labels))}", lambda: _known_edges(own, v)))
+    g = PropertyGraph(v, stored(spark, f"{key}-edges", lambda: _known_edges(raw, v)))
+    return g.restrict(labels) if labels else g
 
 
 def _present_vertices(raw: dict[str, DataFrame]) -> DataFrame:

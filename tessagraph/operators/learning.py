@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessagraph.graph import union_all
+from tessagraph.operators import reach as R
 from tessagraph.operators.traversal import levels
 from tessagraph.session import checkpoint
 
@@ -82,12 +83,27 @@ def negative_edges(positive: DataFrame, nodes: int, per_edge: int = 1, seed: int
 
 def path_lengths(steps: DataFrame, sources: DataFrame, cutoff: int | None = None) -> DataFrame:
     """(source, node, depth): least numbers of steps up to the cutoff, or all, the source itself at 0."""
+    if cutoff is None:
+        return path_lists(steps, sources).select("source", F.explode("nodes").alias("node"), "depth")
     return union_all(levels(steps, sources, cutoff))
 
 
+def path_lists(steps: DataFrame, sources: DataFrame, most: int = R.MOST_STEPS) -> DataFrame:
+    """(source, depth, nodes): all of `path_lengths`, the nodes of a source and distance in lists.
+
+    The pairs are quadratic in the nodes: each source is followed within one task, so that only the result holds them all. More than
+    `most` distinct steps are joined, one round a step.
+    """
+    path, steps = R.stored_steps(steps)
+    sources = sources.select(F.col("source").cast(dict(steps.dtypes)["src"]).alias("source"))
+    if steps.count() > most:
+        return union_all(levels(steps, sources, None)).select("source", "depth", F.array("node").alias("nodes"))
+    return R.reach_in_tasks(path, sources)
+
+
 def closeness(lengths: DataFrame) -> DataFrame:
-    """(source, node, closeness): 1 / (distance + 1); pairs that aren't connected have no row (0)."""
-    return lengths.select("source", "node", (1 / (F.col("depth") + 1)).alias("closeness"))
+    """`lengths` with closeness, 1 / (distance + 1), in place of depth; pairs that aren't connected have no row (0)."""
+    return lengths.select(*[c for c in lengths.columns if c != "depth"], (1 / (F.col("depth") + 1)).alias("closeness"))
 
 
 def anchor_sets(nodes: DataFrame, n: int, seed: int = 7) -> DataFrame:

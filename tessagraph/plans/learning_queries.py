@@ -89,9 +89,10 @@ def gml_negative_edges(spark, d):
 
 
 def gml_closeness(spark, d):
-    g = _social(spark, d, ("reports_to",))
+    g = graph_of_tables(spark, d, ("reports_to",))
     start = g.vertices.filter("label = 'department'").select(F.col("id").alias("source"))
-    return L.closeness(L.path_lengths(g.undirected, start)).withColumn("closeness", F.round("closeness", 6))
+    lists = L.closeness(L.path_lists(g.undirected, start)).withColumn("closeness", F.round("closeness", 6))
+    return lists.select("source", F.explode("nodes").alias("node"), "closeness")
 
 
 def gml_nearest_anchors(spark, d):

@@ -55,11 +55,16 @@ def version(*scans: DataFrame) -> str:
     return "-".join(parts)
 
 
+def is_stored(spark: SparkSession, name: str) -> bool:
+    """Whether this application has stored the table `name`."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tables/{name}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+
+
 def stored(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
     """The table `name` of this application: made and written into the shared folder at its first use, read from there afterwards."""
     path = f"{shared_dir(spark)}/tables/{name}"
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+    if not is_stored(spark, name):
         make().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
