@@ -120,6 +120,26 @@ def nearest_anchors(close: DataFrame, anchors: DataFrame) -> DataFrame:
     return x.groupBy("node", "set").agg(F.max("closeness").alias("closeness"), F.min(F.struct((-F.col("closeness")).alias("c"), "source")).alias("m")).select("node", "set", "closeness", F.col("m.source").alias("anchor"))
 
 
+def nearest_lists(steps: DataFrame, anchors: DataFrame, most: int = R.MOST_STEPS) -> DataFrame:
+    """(set, depth, near): `nearest_anchors` of all nodes that steps reach from the sets (set, idx), as lists of (node, anchor) by distance.
+
+    Each set is spread as one, and a node keeps the smallest of its nearest anchors, so that the work grows with the sets and not
+    with the pairs of anchors and nodes. More than `most` distinct steps are joined, one round a step.
+    """
+    path, steps = R.stored_steps(steps)
+    own = anchors.select("set", F.col("idx").cast(dict(steps.dtypes)["src"]).alias("anchor"))
+    if steps.count() <= most:
+        return R.nearest_in_tasks(path, own)
+    seen = front = checkpoint(own.select("set", F.col("anchor").alias("node"), "anchor", F.lit(0).alias("depth")).distinct())
+    for depth in count(1):
+        near = front.join(steps, F.col("node") == F.col("src")).groupBy("set", F.col("dst").alias("node")).agg(F.min("anchor").alias("anchor"))
+        front = checkpoint(near.join(seen, ["set", "node"], "left_anti").withColumn("depth", F.lit(depth)))
+        if front.isEmpty():
+            break
+        seen = seen.unionByName(front)
+    return seen.select("set", "depth", F.array(F.struct("node", "anchor")).alias("near"))
+
+
 def enclosing_subgraphs(steps: DataFrame, pairs: DataFrame, hops: int = 1) -> tuple[DataFrame, DataFrame]:
     """(nodes (pair, node), edges (pair, src, dst)) within `hops` of either end of pairs (pair, a, b); the pair's own edge is left out."""
     ends = pairs.select("pair", F.col("a").alias("n")).unionByName(pairs.select("pair", F.col("b").alias("n")))

@@ -96,12 +96,12 @@ def gml_closeness(spark, d):
 
 
 def gml_nearest_anchors(spark, d):
-    g = _social(spark, d, ("reports_to",))
+    g = graph_of_tables(spark, d, ("reports_to",))
     start = g.vertices.filter("label = 'department'").select(F.col("id").alias("source"))
     nodes = L.dense_index(start.withColumnRenamed("source", "id"), "id")
     sets = L.anchor_sets(nodes, nodes.count()).join(nodes, "idx").select("set", F.col("id").alias("idx"))
-    return L.nearest_anchors(L.closeness(L.path_lengths(g.undirected, start)), sets).withColumn("closeness", F.round("closeness", 6))
-
+    lists = L.closeness(L.nearest_lists(g.undirected, sets)).withColumn("closeness", F.round("closeness", 6))
+    return lists.select("set", "closeness", F.inline("near")).select("node", "set", "closeness", "anchor")
 
 
 def gml_subgraphs(spark, d):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessagraph.operators import learning as L
+from tessagraph.plans import learning_queries
 from tessagraph.session import shared_dir
 from tests.test_whole import distances, neighbours
 
@@ -41,3 +42,27 @@ def test_lists_and_joins_agree(spark, pairs):
     assert flat(1 << 20) == {(i, n, d) for i in (0, 1, 5, 77, 12345) for n, d in distances(near, i).items()}
     if len(pairs) < 2 or pairs[0][0] == 0 and len(pairs) > 8000:
         assert flat(-1) == flat(1 << 20)
+
+
+@pytest.mark.parametrize("pairs", [random_steps(120, 260), [(f"n{i:03}", f"n{i + 1:03}") for i in range(12)], [("n001", "n001")], []])
+def test_nearest_of_sets(spark, pairs):
+    r = random.Random(2)
+    sets = sorted({(s, f"n{r.randrange(130):03}") for s in range(6) for _ in range(1 + s * s)} | {(7, "alone")})
+    near = neighbours(pairs)
+    want = {}
+    for s, a in sets:
+        for n, d in distances(near, a).items():
+            want[n, s] = min(want.get((n, s), (d, a)), (d, a))
+    steps = spark.createDataFrame(pairs, "src string, dst string")
+    anchors = spark.createDataFrame(sets, "set int, idx string")
+    for most in (1 << 20, -1):
+        rows = L.nearest_lists(steps, anchors, most).select("set", "depth", F.inline("near")).collect()
+        assert len(rows) == len(want) and {(x.node, x.set): (x.depth, x.anchor) for x in rows} == want
+    rows = L.nearest_anchors(L.closeness(L.path_lengths(steps, anchors.select(F.col("idx").alias("source")))), anchors).collect()
+    assert {(x.node, x.set): (round(1 / x.closeness) - 1, x.anchor) for x in rows} == want
+
+
+def test_anchors_of_queries_follow_no_pairs(spark, monkeypatch):
+    for f in ("path_lengths", "path_lists", "levels"):
+        monkeypatch.setattr(L, f, None)
+    assert learning_queries.gml_nearest_anchors(spark, "/root/testdata/sf0.001").count() > 0
