@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessagraph.graph import union_all
-from tessagraph.session import checkpoint
+from tessagraph.session import checkpoint, small
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -171,6 +171,8 @@ def anchor_messages(x: DataFrame, anchors: DataFrame, position: Sequence[float])
     The message from a set is max(0, x of the node + closeness * x of its anchor); structure is the mean of a node's
     messages, the position in a set the product of its message with `position`.
     """
+    if small(x):  # else each message is shuffled to either end
+        x = F.broadcast(x)
     own = x.select("node", "dim", F.col("val").alias("own"))
     far = x.select(F.col("node").alias("anchor"), "dim", F.col("val").alias("far"))
     m = anchors.join(far, "anchor").join(own, ["node", "dim"]).select("node", "set", "dim", F.greatest(F.lit(0.0), F.col("own") + F.col("closeness") * F.col("far")).alias("val"))

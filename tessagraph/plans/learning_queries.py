@@ -240,7 +240,7 @@ def msg_norm(spark, d):
 
 def msg_anchors(spark, d):
     """Messages from each department's nearest anchors, by headcount."""
-    v = graph_of_tables(spark, d).vertices.filter("label = 'department'")
+    v = graph_of_tables(spark, d, ("reports_to",)).vertices.filter("label = 'department'")
     x = v.select(F.col("id").alias("node"), F.lit(0).alias("dim"), (F.coalesce("headcount", F.lit(0)) / 100).alias("val"))
     structure, position = M.anchor_messages(x, gml_nearest_anchors(spark, d), [2.0])
     return structure.select("node", F.round("val", 6).alias("structure")).join(position.groupBy("node").agg(F.round(F.sum("val"), 6).alias("position")), "node")

@@ -1,6 +1,7 @@
 """Searches within tasks against brute force and against joins."""
 
 import random
+import shutil
 from pathlib import Path
 
 import pytest
@@ -66,3 +67,13 @@ def test_anchors_of_queries_follow_no_pairs(spark, monkeypatch):
     for f in ("path_lengths", "path_lists", "levels"):
         monkeypatch.setattr(L, f, None)
     assert learning_queries.gml_nearest_anchors(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_messages_look_up_their_label_only(spark, tmp_path):
+    d = shutil.copytree("/root/testdata/sf0.001", tmp_path / "tables", copy_function=shutil.copyfile)
+    tables = Path(shared_dir(spark).removeprefix("file:"), "tables")
+    before = set(tables.glob("*-edges*"))
+    x = learning_queries.msg_anchors(spark, str(d))
+    assert {tuple(r) for r in x.collect()} == {tuple(r) for r in learning_queries.msg_anchors(spark, "/root/testdata/sf0.001").collect()}
+    made = set(tables.glob("*-edges*")) - before
+    assert made and {r.label for p in made for r in spark.read.parquet(str(p)).select("label").distinct().collect()} == {"reports_to"}
